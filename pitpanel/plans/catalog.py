@@ -251,6 +251,80 @@ def q_head_export(spark, d):
     return spark.read.schema(df.schema).option("header", "true").csv(path)
 
 
+# --- file sources and sinks --------------------------------------------------
+
+def q_fundamentals_from_files(spark, d):
+    """SC5/SC6 + CJ3: pipe files (one read per kind, file order as "first")."""
+    from pitpanel.plans.fixture_files import write_fundamentals_files
+    from pitpanel.sources.fundamentals import read_fundamentals
+    root = work_dir(spark, "ws")
+    write_fundamentals_files(spark, _t(spark, d), root)
+    k = read_fundamentals(spark, root)
+    return fu.merged(k["WSFV"], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
+
+
+def q_wide_price_files(spark, d):
+    """SC1-SC4 + RS1 on files: all wide CSVs in one text scan."""
+    from pitpanel.plans.fixture_files import write_wide_price_files
+    from pitpanel.sources.prices import wide_prices_long
+    root = work_dir(spark, "ds")
+    write_wide_price_files(spark, _t(spark, d), root)
+    return wide_prices_long(spark, root).drop("file")
+
+
+def q_price_panel_from_files(spark, d):
+    """CJ1 from files: legs paired by suffix and currency, joined, matched."""
+    from pitpanel.plans.fixture_files import write_wide_price_files
+    from pitpanel.sources.prices import split_legs, wide_prices_long
+    t = _t(spark, d)
+    root = work_dir(spark, "ds")
+    write_wide_price_files(spark, t, root)
+    ri, mv = split_legs(wide_prices_long(spark, root))
+    return px.price_panel(ri, mv, _match_latest(t))
+
+
+def q_matching_from_files(spark, d):
+    """SC7 + CJ2: matching CSVs (plus an empty file), all columns text."""
+    from pitpanel.sources.matching import read_matching_csv
+    root = work_dir(spark, "match")
+    (fx.match_rows(_t(spark, d)).write.mode("overwrite").option("header", "true")
+     .option("encoding", "windows-1252").csv(root))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/empty.csv")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p).close()
+    return px.matching_table(read_matching_csv(spark, root))
+
+
+def q_parquet_append(spark, d):
+    """SK5 + SC10: two writes with different columns into one folder, read
+    back as one frame unioned by name."""
+    from pitpanel.sources.matching import read_parquet_folder
+    ri = fx.price_ri(_t(spark, d))
+    root = work_dir(spark, "append")
+    sinks.write_parquet(ri.where(F.col("Currency") == "LC").drop("suffix"), root, mode="append")
+    sinks.write_parquet(ri.where(F.col("Currency") == "USD"), root, mode="append")
+    return read_parquet_folder(spark, root)
+
+
+def q_csv_roundtrip(spark, d):
+    """SK2: a result panel to CSV with header, read back with its schema."""
+    df = q_panel_c_merged(spark, d)
+    root = work_dir(spark, "panel")
+    sinks.write_panel_csv(df, root)
+    return spark.read.schema(df.schema).option("header", "true").csv(root)
+
+
+def q_stream_ingest(spark, d):
+    """Streaming ingestion (availableNow) of pipe files into the item table."""
+    from pitpanel.plans.fixture_files import write_fundamentals_files
+    from pitpanel.streaming.ingest import ingest_items
+    src, out = work_dir(spark, "ws-src"), work_dir(spark, "ws-items")
+    write_fundamentals_files(spark, _t(spark, d), src)
+    ingest_items(spark, src, "WSCalendarPrd", out).awaitTermination()
+    return (spark.read.parquet(out).drop("source_file")
+            .withColumn("item_code", F.col("item_code").cast("bigint")))
+
+
 QUERIES = {
     "pivot_calendar": q_pivot_calendar,
     "pivot_reported": q_pivot_reported,
@@ -289,4 +363,11 @@ QUERIES = {
     "profile_top10": q_profile_top10,
     "value_counts": q_value_counts,
     "head_export": q_head_export,
+    "fundamentals_from_files": q_fundamentals_from_files,
+    "wide_price_files": q_wide_price_files,
+    "price_panel_from_files": q_price_panel_from_files,
+    "matching_from_files": q_matching_from_files,
+    "parquet_append": q_parquet_append,
+    "csv_roundtrip": q_csv_roundtrip,
+    "stream_ingest": q_stream_ingest,
 }

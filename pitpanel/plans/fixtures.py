@@ -131,15 +131,19 @@ def wide_prices(t: Tables) -> DataFrame:
     marker, day 31's header is not a date, and day-2 cells of every seventh
     user read ``NA``. Built with a grouped pivot over a declared header list.
     """
-    ri = price_ri(t)
+    return wide_from_leg(price_ri(t), "RI").drop("suffix")
+
+
+def wide_from_leg(ri: DataFrame, value_col: str) -> DataFrame:
+    """One leg (long) -> wide text cells, see ``wide_prices``."""
     day = F.dayofmonth("Date")
     header = (F.when(day == 15, F.concat(F.date_format("Date", "dd/MM/yyyy"), F.lit("_duplicated_0")))
               .when(day == 31, F.lit("Unnamed: 37"))
               .otherwise(F.date_format("Date", "dd/MM/yyyy")))
     uid = F.substring("DSCode", 2, 20).cast("bigint")
-    cell = F.when((day == 2) & (uid % 7 == 0), F.lit("NA")).otherwise(F.col("RI").cast("string"))
-    return (ri.select("DSCode", "Currency", header.alias("h"), cell.alias("cell"))
-            .groupBy("DSCode", "Currency").pivot("h", wide_headers()).agg(F.max("cell")))
+    cell = F.when((day == 2) & (uid % 7 == 0), F.lit("NA")).otherwise(F.col(value_col).cast("string"))
+    return (ri.select("DSCode", "Currency", "suffix", header.alias("h"), cell.alias("cell"))
+            .groupBy("DSCode", "Currency", "suffix").pivot("h", wide_headers()).agg(F.max("cell")))
 
 
 def wide_headers() -> list:

@@ -123,6 +123,25 @@ CTES = {
 }
 
 
+CTES["wide_files"] = (["fx_price_ri", "fx_price_mv"], """SELECT s.DSCode,
+  CAST(strptime(nullif(regexp_extract(days.h, '^(\\d{2}/\\d{2}/\\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
+  TRY_CAST(c.cell AS DOUBLE) AS Value, s.Currency, s.leg, '_' || CAST(s.suffix AS VARCHAR) AS suffix
+  FROM (SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
+        UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) s
+  CROSS JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
+                             WHEN d = 31 THEN 'Unnamed: 37'
+                             ELSE lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024' END AS h
+              FROM range(1, 32) t(d)) days
+  LEFT JOIN (SELECT DSCode, 'RI' AS leg, day(Date) AS d,
+                    CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
+                         ELSE CAST(RI AS VARCHAR) END AS cell FROM fx_price_ri
+             UNION ALL
+             SELECT DSCode, 'MV', day(Date),
+                    CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
+                         ELSE CAST(MV AS VARCHAR) END FROM fx_price_mv) c
+    ON c.DSCode = s.DSCode AND c.leg = s.leg AND c.d = days.d""")
+
+
 def with_ctes(body: str, *needs: str) -> str:
     order: list = []
 
@@ -165,6 +184,14 @@ def _availability(src):
  FROM {src} GROUP BY fye_bin""", src)
 
 
+_PANEL_FROM_FILES = """SELECT r.DSCode, r.Date, r.Currency, r.RI, m.MV, x.GEOGC, x.WC06105
+ FROM (SELECT DSCode, Date, Currency, suffix, Value AS RI FROM wide_files WHERE leg = 'RI') r
+ SEMI JOIN (SELECT DISTINCT suffix, Currency FROM wide_files WHERE leg = 'MV') p
+   ON r.suffix = p.suffix AND r.Currency = p.Currency
+ LEFT JOIN (SELECT DSCode, Date, Currency, suffix, Value AS MV FROM wide_files WHERE leg = 'MV') m
+   ON r.DSCode = m.DSCode AND r.Date = m.Date AND r.Currency = m.Currency AND r.suffix = m.suffix
+ LEFT JOIN match_latest_v x ON r.DSCode = x.DSCD"""
+
 _ORDER_ALL = ("ws_id, point_date, freq, fiscal_period, item_code, value, ord, l_partkey, "
               "l_suppkey, cal1_55350, cal2_55559")
 
@@ -230,6 +257,19 @@ SQL = {
  ORDER BY frequency DESC, cal2_55559 ASC NULLS FIRST LIMIT 10""", "merged"),
     "value_counts": with_ctes("""SELECT freq, count(*) AS counts FROM final
  WHERE item_code = 2003 AND freq IS NOT NULL GROUP BY freq""", "final"),
+    "fundamentals_from_files": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code,
+ replace(value, '"', '') AS value, replace(cal1_55350, '"', '') AS cal1_55350, cal1_55352, cal1_55555, cal1_57034,
+ cal2_55558, cal2_55559 FROM merged""", "merged"),
+    "wide_price_files": with_ctes("SELECT * FROM wide_files", "wide_files"),
+    "price_panel_from_files": with_ctes(_PANEL_FROM_FILES, "wide_files", "match_latest_v"),
+    "matching_from_files": with_ctes("""SELECT DSCD, WC06105, CAST(GEOGC AS VARCHAR) AS GEOGC, CAST(ISIN AS VARCHAR) AS ISIN, TIME
+ FROM (SELECT *, row_number() OVER (PARTITION BY DSCD, WC06105 ORDER BY t DESC NULLS LAST, CAST(ISIN AS VARCHAR)) AS rn
+       FROM fx_match) x WHERE rn = 1""", "fx_match"),
+    "parquet_append": with_ctes("""SELECT DSCode, Date, Currency, RI,
+ CASE WHEN Currency = 'LC' THEN NULL ELSE suffix END AS suffix FROM fx_price_ri""", "fx_price_ri"),
+    "csv_roundtrip": _availability("features_merged"),
+    "stream_ingest": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code, replace(value, '"', '') AS value
+ FROM fx_calendar""", "fx_calendar"),
     "head_export": with_ctes(
         f"SELECT * FROM final_no_cols ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _ORDER_ALL.split(', '))} LIMIT 10000",
         "final_no_cols"),

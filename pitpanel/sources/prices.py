@@ -62,11 +62,13 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
     data = (lines.where(~is_header).select("file", "rel_path", cells.alias("c"))
             .join(headers, "file")
             .where(F.size("c") >= F.col("n_dates") + n_meta))      # banner and short lines drop
-    meta_text = F.array_join(F.slice("c", F.lit(1), F.size("c") - F.col("n_dates")), ",")
+    # Lengths are clamped at 0: the filter above may run after these expressions.
+    meta_text = F.array_join(F.slice("c", F.lit(1), F.greatest(F.size("c") - F.col("n_dates"), F.lit(0))), ",")
     meta_schema = ", ".join(f"m{i} STRING" for i in range(n_meta))
     meta = F.from_csv(meta_text, meta_schema)
     code = F.element_at(F.array(*[meta[f"m{i}"] for i in range(n_meta)]), F.col("id_pos"))
-    values = F.slice("c", -F.col("n_dates"), F.col("n_dates"))
+    values = F.when(F.size("c") >= F.col("n_dates") + n_meta,
+                    F.slice("c", -F.greatest(F.col("n_dates"), F.lit(1)), F.greatest(F.col("n_dates"), F.lit(0))))
     stem = F.regexp_extract("file", r"([^/]*)\.csv$", 1)
     long = (data.select("file", "rel_path", code.alias("DSCode"),
                         F.arrays_zip(F.col("hdates").alias("h"), values.alias("v")).alias("z"))
