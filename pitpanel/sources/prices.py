@@ -51,7 +51,8 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
     lines = read_price_lines(spark, root)
     cells = F.split("line", ",")
     clean = F.transform(cells, _unquote)
-    is_header = F.array_contains(clean, id_column)
+    # Only the metadata cells are inspected per line (data lines can be very wide).
+    is_header = F.array_contains(F.transform(F.slice(cells, 1, n_meta), _unquote), id_column)
     headers = (lines.where(is_header)
                .select("file", clean.alias("h"))
                .groupBy("file").agg(F.min("h").alias("h"))          # one header per file
