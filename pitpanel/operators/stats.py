@@ -4,55 +4,87 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def nearest_quantiles(df: DataFrame, group_col: str, value_col: str,
-                      quantiles=(0.1, 0.9), names=("10thPct", "90thPct")) -> DataFrame:
-    """Exact quantiles with nearest-rank interpolation per group (AG5).
-
-    Over the n non-NULL values of a group the quantile q is the value of
-    rank round((n-1)·q)+1 (half away from zero). Computed from a histogram:
-    ``(group, value) -> count`` is aggregated map-side first, then a running
-    count per group picks the first value whose cumulative count reaches
-    the rank. Only the histogram is ever held per group; for day lags its
-    size is bounded by the number of distinct day differences, whatever
-    the row count.
+def _histogram(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """``(group, value, count)`` with a running count of non-NULL values per
+    group (``_cum``) and the group's non-NULL total (``_n``).
+
+    The grouped count is combined map-side, so what is shuffled is at most
+    one row per (task, group, distinct value); the window then holds one
+    group's distinct values — for day lags bounded by the number of days
+    in the data's date range, whatever the row count. NULL values keep a
+    row (count 0 in the running sums) so all-NULL groups still appear.
     """
-    g, v = F.col(group_col), F.col(value_col)
-    hist = (df.where(v.isNotNull())
-            .groupBy(g, v).agg(F.count(F.lit(1)).alias("_c")))
-    w_cum = Window.partitionBy(group_col).orderBy(value_col).rowsBetween(
+    v = F.col(value_col)
+    if not isinstance(df.schema[value_col].dataType, T.IntegralType):
+        raise TypeError(f"{value_col} must be integral (a day count); got {df.schema[value_col].dataType}")
+    hist = df.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    nn = F.when(v.isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    w_cum = Window.partitionBy(group_col).orderBy(F.col(value_col).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(group_col)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w_cum))
-            .withColumn("_n", F.sum("_c").over(w_all)))
-    aggs = []
-    for q, name in zip(quantiles, names):
-        rank = F.round((F.col("_n") - 1) * F.lit(float(q)), 0) + 1
-        aggs.append(F.min(F.when(F.col("_cum") >= rank, v)).cast("double").alias(name))
-    return hist.groupBy(g).agg(*aggs)
+    return (hist.withColumn("_nn", nn)
+            .withColumn("_cum", F.sum("_nn").over(w_cum))
+            .withColumn("_n", F.sum("_nn").over(Window.partitionBy(group_col))))
+
+
+def _value_at_rank(rank, value_col: str):
+    """Smallest value whose running count reaches ``rank`` (1-based)."""
+    return F.min(F.when((F.col("_nn") > 0) & (F.col("_cum") >= rank), F.col(value_col)))
+
+
+def _nearest_rank(q: float):
+    # rank round((n-1)·q)+1, half away from zero, over the n non-NULL values
+    return F.round((F.col("_n") - 1) * F.lit(float(q)), 0) + 1
+
+
+def nearest_quantiles(df: DataFrame, group_col: str, value_col: str,
+                      quantiles=(0.1, 0.9), names=("10thPct", "90thPct")) -> DataFrame:
+    """Exact quantiles with nearest-rank interpolation per group (AG5): the
+    value of rank round((n-1)·q)+1 among the group's n non-NULL values,
+    read off the value histogram (see ``_histogram``)."""
+    hist = _histogram(df, group_col, value_col)
+    return hist.groupBy(group_col).agg(
+        *[_value_at_rank(_nearest_rank(q), value_col).cast("double").alias(n)
+          for q, n in zip(quantiles, names)])
 
 
 def distribution_panel(df: DataFrame, group_col: str, value_col: str,
                        std_digits: int | None = None) -> DataFrame:
-    """Mean (1 decimal), exact median, sample std, 10th/90th pct per group
-    (AG1-AG5), sorted by group with NULL first (ST1).
+    """Mean (1 decimal), exact median, sample std and 10th/90th percentile
+    per group (AG1-AG5), sorted by group with NULL first (ST1).
 
-    Mean/std/median are one aggregation (median's buffer is a value->count
-    map, merged map-side); the quantiles come from ``nearest_quantiles``;
-    both results have one row per group and are joined null-safely.
+    One pass over the input: everything is derived from the value
+    histogram. Sums are exact decimals, so the mean and the sample
+    variance (S2 - S1²/n) / (n - 1) do not depend on summation order; the
+    median is the midpoint of the values at ranks floor((n+1)/2) and
+    ceil((n+1)/2).
     """
-    v = F.col(value_col)
-    std = F.stddev_samp(v)
+    hist = _histogram(df, group_col, value_col)
+    dec = T.DecimalType(38, 0)
+    v = F.col(value_col).cast(T.DecimalType(20, 0))
+    c = F.col("_nn").cast(T.DecimalType(20, 0))
+    stats = hist.groupBy(group_col).agg(
+        F.sum("_nn").alias("_N"),
+        F.sum((v * c).cast(dec)).alias("_S1"),
+        F.sum((v * v * c).cast(dec)).alias("_S2"),
+        _value_at_rank(F.floor((F.col("_n") + 1) / 2), value_col).alias("_lo"),
+        _value_at_rank(F.ceil((F.col("_n") + 1) / 2), value_col).alias("_hi"),
+        _value_at_rank(_nearest_rank(0.1), value_col).cast("double").alias("10thPct"),
+        _value_at_rank(_nearest_rank(0.9), value_col).cast("double").alias("90thPct"))
+    n, s1, s2 = F.col("_N"), F.col("_S1"), F.col("_S2")
+    var = F.when(n > 1, ((s2 - s1 * s1 / n) / (n - 1)).cast("double"))
+    std = F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0))))
     if std_digits is not None:
         std = F.round(std, std_digits)
-    base = df.groupBy(group_col).agg(
-        F.round(F.avg(v), 1).alias("Mean"),
-        F.median(v).cast("double").alias("Median"),
-        std.alias("StdDev"))
-    q = nearest_quantiles(df, group_col, value_col).withColumnRenamed(group_col, "_g")
-    out = base.join(q, base[group_col].eqNullSafe(q["_g"]), "left").drop("_g")
-    return out.orderBy(F.col(group_col).asc_nulls_first())
+    return (stats.select(
+        group_col,
+        F.round(F.when(n > 0, s1.cast("double") / n), 1).alias("Mean"),
+        ((F.col("_lo") + F.col("_hi")) / 2).cast("double").alias("Median"),
+        std.alias("StdDev"),
+        "10thPct", "90thPct")
+        .orderBy(F.col(group_col).asc_nulls_first()))
 
 
 def availability_panel(df: DataFrame, group_col: str, value_col: str) -> DataFrame:

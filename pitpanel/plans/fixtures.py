@@ -21,11 +21,15 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._frames: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # One reader per table: each parquet read costs a footer (schema) job.
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
 
 def _s(c) -> Column:
