@@ -20,6 +20,7 @@ from pitpanel.plans import prices as px
 from pitpanel.schemas import ITEM_KEYS, MATCH_KEYS
 from pitpanel.session import work_dir
 from pitpanel.sources import sinks
+from pitpanel.sources._charset import ensure_charset
 from pitpanel.sources.items import available_items, read_items
 
 # Items of the accruals predictor and the order that picks one row per
@@ -288,7 +289,7 @@ def q_matching_from_files(spark, d):
     from pitpanel.sources.matching import read_matching_csv
     root = work_dir(spark, "match")
     (fx.match_rows(_t(spark, d)).write.mode("overwrite").option("header", "true")
-     .option("encoding", "windows-1252").csv(root))
+     .option("encoding", ensure_charset(spark, "windows-1252")).csv(root))
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{root}/empty.csv")
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p).close()

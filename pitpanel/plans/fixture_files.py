@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.plans import fixtures as fx
+from pitpanel.sources._charset import ensure_charset
 
 
 def _rename_parts(spark: SparkSession, staging: str, target_dir: str, stem: str, ext: str) -> list:
@@ -35,7 +36,7 @@ def write_lines(spark: SparkSession, lines: DataFrame, target_dir: str, stem: st
     staging = f"{target_dir}/_staging_{stem}"
     w = lines.write.mode("overwrite")
     if encoding:
-        w = w.option("encoding", encoding)
+        w = w.option("encoding", ensure_charset(spark, encoding))
     w.text(staging)
     return _rename_parts(spark, staging, target_dir, stem, ext)
 

@@ -32,10 +32,23 @@ class Tables:
         return self._frames[name]
 
 
+def _memo(fn):
+    """Build each derived frame once per ``Tables`` (the same DataFrame object
+    is reused wherever it appears in a plan)."""
+    def wrapped(t: Tables) -> DataFrame:
+        key = "_" + fn.__name__
+        if key not in t._frames:
+            t._frames[key] = fn(t)
+        return t._frames[key]
+    wrapped.__name__, wrapped.__doc__ = fn.__name__, fn.__doc__
+    return wrapped
+
+
 def _s(c) -> Column:
     return F.col(c).cast("string")
 
 
+@_memo
 def period(t: Tables) -> DataFrame:
     """One row per order = one company-period (15,000 at sf0.01)."""
     o = t.orders
@@ -52,6 +65,7 @@ def period(t: Tables) -> DataFrame:
                     F.col("o_orderkey").alias("ord")))
 
 
+@_memo
 def facts(t: Tables) -> DataFrame:
     """EAV facts: one row per line item, item code by line number."""
     item = (F.when(F.col("l_linenumber") == 1, 2201).when(F.col("l_linenumber") == 2, 3101)
@@ -67,6 +81,7 @@ def facts(t: Tables) -> DataFrame:
                     "ord", "l_partkey", "l_suppkey"))
 
 
+@_memo
 def calendar(t: Tables) -> DataFrame:
     """Calendar-period EAV rows (4 codes per period; none for ord % 50 = 0)."""
     p = period(t).where(F.col("ord") % 50 != 0)
@@ -80,6 +95,7 @@ def calendar(t: Tables) -> DataFrame:
                     value.alias("value"), "ord")
 
 
+@_memo
 def reported(t: Tables) -> DataFrame:
     """Reported-period EAV rows (2 codes; none for ord % 33 = 0; both '0'
     for ord % 10 = 0; a stale year for ord % 4 = 0)."""
@@ -103,16 +119,19 @@ def _price_leg(t: Tables, event_type: str, name: str, drop_usd_suffix2: bool) ->
                     (F.col("user_id") % 3).alias("suffix"), name))
 
 
+@_memo
 def price_ri(t: Tables) -> DataFrame:
     """Return-index leg, long (DSCode, Date, Currency, suffix, RI)."""
     return _price_leg(t, "purchase", "RI", False)
 
 
+@_memo
 def price_mv(t: Tables) -> DataFrame:
     """Market-value leg; suffix 2 has no USD leg (an unpaired file)."""
     return _price_leg(t, "click", "MV", True)
 
 
+@_memo
 def match_rows(t: Tables) -> DataFrame:
     """Matching-file rows with ``dd/MM/yyyy`` TIME text."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")

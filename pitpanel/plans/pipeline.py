@@ -1,0 +1,97 @@
+"""File-to-file jobs, the way a user runs the pipeline.
+
+Each job is one lazy lineage ending in a write. Where several outputs
+share an expensive input (the three lag panels), the input is written
+once as a table under the cluster's shared checkpoint folder and read
+back: the lineage is cut, the shared work runs once, and a lost executor
+only re-runs tasks of the current stage instead of the whole chain.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pitpanel.operators.formulas import DEFAULT_REGISTRY, registry_codes
+from pitpanel.operators.joins import attach_item
+from pitpanel.plans import fundamentals as fu
+from pitpanel.plans import lag
+from pitpanel.plans import prices as px
+from pitpanel.plans.predictors import predictors, predictors_from_wide
+from pitpanel.session import work_dir
+from pitpanel.sources import sinks
+from pitpanel.sources.fundamentals import read_fundamentals
+from pitpanel.sources.items import available_items, read_items
+from pitpanel.sources.matching import read_matching_csv
+from pitpanel.sources.prices import split_legs, wide_prices_long
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder of the shared checkpoint folder and read
+    it back (a lineage cut that survives executor loss)."""
+    path = work_dir(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def matching_job(spark: SparkSession, matching_dir: str, out: str) -> None:
+    """CJ2: matching CSVs -> latest row per (DSCD, WC06105)."""
+    sinks.write_parquet(px.matching_table(read_matching_csv(spark, matching_dir)), out)
+
+
+def price_job(spark: SparkSession, ds_root: str, matching_path: str, out: str) -> None:
+    """CJ1: wide price files -> paired legs -> panel with matching columns."""
+    ri, mv = split_legs(wide_prices_long(spark, ds_root))
+    matching = spark.read.parquet(matching_path)
+    sinks.write_parquet(px.price_panel(ri, mv, matching), out)
+
+
+def fundamentals_job(spark: SparkSession, ws_root: str, items_out: str,
+                     facts_kind: str = "WSFV") -> None:
+    """CJ3: fundamentals files -> periods attached and filtered -> one folder
+    per item."""
+    k = read_fundamentals(spark, ws_root, [facts_kind, "WSCalendarPrd", "WSReportedPrd"])
+    final = fu.fundamentals(k[facts_kind], k["WSCalendarPrd"], k["WSReportedPrd"])
+    sinks.write_by_item(final, items_out)
+
+
+def panels(final_no_cols: DataFrame, std_digits=None) -> dict:
+    """CJ4-CJ6 from one prepared (materialized) feature table."""
+    feats = materialize(lag.lag_features(final_no_cols), "lag-features")
+    return {
+        "panel_A_diff_pit_to_fye": lag.panel_a(feats, std_digits),
+        "panel_B_diff_pit_to_ff92": lag.panel_b(feats, std_digits),
+        "panel_C_availability_at_FF92": lag.panel_c(feats),
+        "panel_after_ff92_only": lag.panel_after(feats, std_digits),
+        "panel_before_ff92_only": lag.panel_before(feats, std_digits),
+        "lag_counts": lag.lag_counts(feats),
+    }
+
+
+def panels_job(spark: SparkSession, final_path: str, out_dir: str) -> None:
+    """Write every panel as a CSV with header (SK2)."""
+    for name, df in panels(spark.read.parquet(final_path)).items():
+        sinks.write_panel_csv(df, f"{out_dir}/{name}")
+
+
+def predictors_job(spark: SparkSession, items_dir: str, out: str,
+                   registry=DEFAULT_REGISTRY, mode: str = "chain",
+                   wide_path: str | None = None) -> None:
+    """CJ7: needed items (missing ones warned and skipped) -> one row per
+    company-period -> dates -> formulas. Without any item partition, the
+    wide table's ``cal1_<code>`` columns are used (RS4)."""
+    codes = available_items(spark, items_dir, registry_codes(registry))
+    if codes:
+        df = predictors(read_items(spark, items_dir, codes), registry, mode=mode, codes=codes)
+    elif wide_path:
+        df = predictors_from_wide(spark.read.parquet(wide_path), registry)
+    else:
+        raise RuntimeError("no item partitions and no wide table")
+    sinks.write_parquet(df, out)
+
+
+def attach_item_job(spark: SparkSession, panel_path: str, items_dir: str, code: int,
+                    out: str) -> None:
+    """CJ8: price panel + one item's value on (company, exact date)."""
+    item = read_items(spark, items_dir, [code]).withColumn("point_date", F.col("point_date").cast("date"))
+    sinks.write_parquet(attach_item(spark.read.parquet(panel_path), item, f"WS{code}_PIT"), out)

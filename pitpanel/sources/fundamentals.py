@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions import parse_date
 from pitpanel.schemas import FUNDAMENTALS_LAYOUT, fundamentals_schema
+from pitpanel.sources._charset import ensure_charset
 from pitpanel.sources._fs import list_files
 
 _KIND = re.compile(r"^(WS[A-Za-z]+)")
@@ -43,7 +44,7 @@ def _with_order(df: DataFrame) -> DataFrame:
 def read_kind(spark: SparkSession, paths, kind: str, encoding: str = "windows-1252",
               typed: bool = True) -> DataFrame:
     """One read for all files of one kind."""
-    reader = (spark.read.option("sep", "|").option("encoding", encoding)
+    reader = (spark.read.option("sep", "|").option("encoding", ensure_charset(spark, encoding))
               .option("mode", "PERMISSIVE"))
     if kind in FUNDAMENTALS_LAYOUT:
         df = reader.schema(fundamentals_schema(kind)).option("header", "false").csv(list(paths))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitpanel.sources._charset import ensure_charset
+
 
 def read_matching_csv(spark: SparkSession, folder: str, encoding: str = "windows-1252",
                       schema=None) -> DataFrame:
     """All ``*.csv`` of a folder (not recursive) with header; every column is
     text (no inference). Zero-byte files yield no rows and no error."""
-    r = (spark.read.option("header", "true").option("encoding", encoding)
+    r = (spark.read.option("header", "true").option("encoding", ensure_charset(spark, encoding))
          .option("pathGlobFilter", "*.csv").option("inferSchema", "false"))
     if schema is not None:
         r = r.schema(schema)

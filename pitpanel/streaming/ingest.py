@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.schemas import fundamentals_schema
 from pitpanel.session import work_dir
+from pitpanel.sources._charset import ensure_charset
 from pitpanel.sources.fundamentals import type_fundamentals
 
 
@@ -23,7 +24,7 @@ def fundamentals_stream(spark: SparkSession, src_dir: str, kind: str,
                         encoding: str = "windows-1252") -> DataFrame:
     return type_fundamentals(
         spark.readStream.schema(fundamentals_schema(kind))
-        .option("sep", "|").option("encoding", encoding).option("header", "false")
+        .option("sep", "|").option("encoding", ensure_charset(spark, encoding)).option("header", "false")
         .option("pathGlobFilter", f"{kind}*").csv(src_dir)
         .withColumn("source_file", F.col("_metadata.file_name")))
 
