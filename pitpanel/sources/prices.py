@@ -5,10 +5,10 @@ them ``DATES`` holding the security code, then one column per date headed
 ``dd/MM/yyyy…``), then one row per security. Files differ in width.
 
 All files are scanned in ONE text read: each line is split, the header line
-of every file is found by its ``DATES`` cell, joined back to the file's data
-lines (one header row per file: AQE broadcasts it when small, else a
-shuffled join), and ``arrays_zip(header dates, cells)`` is exploded into long
-rows. No per-file job, no driver-side parsing, no schema inference.
+of every file is found by its ``DATES`` cell, its parsed dates are joined
+back to the file's data lines, and ``arrays_zip(header dates, cells)`` is
+exploded into long rows. No per-file job, no driver-side parsing, no schema
+inference; only file names are listed on the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions import header_date_text, lenient_double, parse_date
 from pitpanel.schemas import PRICE_ID_COLUMN, PRICE_META_COLUMNS
+from pitpanel.sources._fs import list_files
 
 # Leg tags in file names, removed to get the suffix that pairs MV and RI files.
 LEG_TAG_PATTERN = r"Daily(MV|Returns)(USD|LC)"
@@ -43,11 +44,23 @@ def read_price_lines(spark: SparkSession, root: str) -> DataFrame:
             .withColumn("rel_path", rel))
 
 
+# Bound for broadcasting the file -> layout map (about 200 bytes per file).
+MAX_BROADCAST_FILES = 200_000
+
+
 def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_COLUMNS,
                      id_column: str = PRICE_ID_COLUMN, strict_dates: bool = False) -> DataFrame:
     """Long rows ``(DSCode, Date, Value, Currency, leg, suffix, file)`` of every
     wide price file; NULL cells are kept, non-numeric cells become NULL (PR5),
-    non-date headers give a NULL date (SF1, SF5)."""
+    non-date headers give a NULL date (SF1, SF5).
+
+    Header lines are reduced to distinct *layouts* (files of one export
+    share their date columns), whose dates are parsed once per layout, not
+    once per cell. Each data line then joins a one-row-per-file map
+    (broadcast when the file count is under ``MAX_BROADCAST_FILES``) and its
+    layout (broadcast by AQE when small; otherwise a sort-merge join whose
+    skewed partitions AQE splits).
+    """
     lines = read_price_lines(spark, root)
     cells = F.split("line", ",")
     clean = F.transform(cells, _unquote)
@@ -56,12 +69,20 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
     headers = (lines.where(is_header)
                .select("file", clean.alias("h"))
                .groupBy("file").agg(F.min("h").alias("h"))          # one header per file
-               .select("file",
+               .withColumn("layout", F.sha2(F.array_join("h", "\u001f"), 256)))
+    file_map = headers.select("file", "layout")
+    n_files = len([p for p, _ in list_files(spark, root) if p.endswith(".csv")])
+    if n_files <= MAX_BROADCAST_FILES:
+        file_map = F.broadcast(file_map)
+    layouts = (headers.groupBy("layout").agg(F.min("h").alias("h"))
+               .select("layout",
                        F.array_position(F.slice("h", 1, n_meta), id_column).cast("int").alias("id_pos"),
                        (F.size("h") - n_meta).alias("n_dates"),
-                       F.slice("h", n_meta + 1, 1 << 30).alias("hdates")))
+                       F.transform(F.slice("h", n_meta + 1, 1 << 30),
+                                   lambda x: parse_date(header_date_text(x), "dd/MM/yyyy", strict_dates))
+                       .alias("hdates")))
     data = (lines.where(~is_header).select("file", "rel_path", cells.alias("c"))
-            .join(headers, "file")
+            .join(file_map, "file").join(layouts, "layout")
             .where(F.size("c") >= F.col("n_dates") + n_meta))      # banner and short lines drop
     # Lengths are clamped at 0: the filter above may run after these expressions.
     meta_text = F.array_join(F.slice("c", F.lit(1), F.greatest(F.size("c") - F.col("n_dates"), F.lit(0))), ",")
@@ -72,13 +93,13 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
                     F.slice("c", -F.greatest(F.col("n_dates"), F.lit(1)), F.greatest(F.col("n_dates"), F.lit(0))))
     stem = F.regexp_extract("file", r"([^/]*)\.csv$", 1)
     long = (data.select("file", "rel_path", code.alias("DSCode"),
-                        F.arrays_zip(F.col("hdates").alias("h"), values.alias("v")).alias("z"))
+                        F.arrays_zip(F.col("hdates").alias("d"), values.alias("v")).alias("z"))
             .select("file", "rel_path", "DSCode", F.inline("z")))
     currency = (F.when(F.col("rel_path").contains("LC"), "LC")
                 .when(F.col("rel_path").contains("USD"), "USD").otherwise("Unknown"))
     return long.select(
         "DSCode",
-        parse_date(header_date_text("h"), "dd/MM/yyyy", strict_dates).alias("Date"),
+        F.col("d").alias("Date"),
         lenient_double(_unquote(F.col("v"))).alias("Value"),
         currency.alias("Currency"),
         F.when(stem.contains("MV"), "MV").otherwise("RI").alias("leg"),
