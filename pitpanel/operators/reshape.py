@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions import to_number
-from pitpanel.operators.clean import first_row_per_key
 from pitpanel.schemas import FYE_CODE, ITEM_KEYS, ITEM_NAMES, item_column
 
 
@@ -53,11 +52,12 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     """Items of ``codes`` to one row per company-period (JN7 / RS3).
 
     ``chain``: inner equi-joins of one part per item on ``keys`` — the
-    faithful form: duplicates of a (key, item) multiply and NULL keys drop.
-    ``pivot``: one grouped aggregation (a single shuffle with partial
-    aggregation); equal to ``chain`` only when (key, item) is unique.
-    ``dedup``: keep the first row per (key, item) by ``order_cols`` (then
-    the rest of the row), then ``pivot``.
+    faithful form: duplicates of a (key, item) multiply and NULL keys drop;
+    one shuffle per item part.
+    ``pivot``: one grouped aggregation (a single shuffle, partial before
+    it); equal to ``chain`` only when (key, item) is unique.
+    ``dedup``: per (key, item) the value of the first row by ``order_cols``
+    and then the rest of the row, inside the same single aggregation.
     A company-period appears only when every item has a row (presence by
     row, not by non-NULL value).
     """
@@ -65,20 +65,23 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     if mode == "chain":
         parts = [_item_part(df, c, keys, value_col, item_col, strict) for c in codes]
         return reduce(lambda a, b: a.join(b, list(keys), "inner"), parts)
-    if mode == "dedup":
-        df = first_row_per_key(df.where(F.col(item_col).isin(codes)),
-                               list(keys) + [item_col], order_cols or [value_col])
-        mode = "pivot"
-    if mode != "pivot":
-        raise ValueError(f"unknown mode {mode!r}")
     item = F.col(item_col)
     num = to_number(value_col, strict)
+    if mode == "pivot":
+        pick = [F.max(F.when(item == c, num)).alias(item_column(c)) for c in codes]
+    elif mode == "dedup":
+        order = list(order_cols or [value_col])
+        rest = [c for c in df.columns if c not in order and c not in keys and c != item_col]
+        rank = F.struct(*[F.col(c) for c in order + rest])
+        pick = [F.min_by(F.when(item == c, num), F.when(item == c, rank)).alias(item_column(c))
+                for c in codes]
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
     present = reduce(lambda a, b: a & b, [F.col(f"_has_{c}") for c in codes])
     return (df.where(item.isin(codes))
             .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
             .groupBy(*keys)
-            .agg(*[F.max(F.when(item == c, num)).alias(item_column(c)) for c in codes],
-                 *[F.count_if(item == c).__gt__(0).alias(f"_has_{c}") for c in codes])
+            .agg(*pick, *[(F.count_if(item == c) > 0).alias(f"_has_{c}") for c in codes])
             .where(present)
             .drop(*[f"_has_{c}" for c in codes]))
 
