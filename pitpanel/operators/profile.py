@@ -36,3 +36,10 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def shape(df: DataFrame) -> dict:
     """Row count, column names and types (AG15); only the count runs a job."""
     return {"rows": df.count(), "columns": df.columns, "dtypes": df.dtypes}
+
+
+def profile_columns(df: DataFrame, cols=None, k: int = 10):
+    """CJ9: NULL/distinct counts of ``cols`` (default: the last two columns)
+    in one pass, plus the top-k values of each column."""
+    cols = list(cols) if cols is not None else df.columns[-2:]
+    return column_profile(df, cols), {c: top_values(df, c, k) for c in cols}

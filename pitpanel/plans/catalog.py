@@ -187,9 +187,10 @@ def q_unpivot_prices(spark, d):
 
 def q_date_header_extract(spark, d):
     long = _long_wide(_t(spark, d))
-    return long.select("DSCode", "Currency", F.col("Date").alias("header"),
-                       header_date_text("Date").alias("CleanDate"),
-                       parse_date(header_date_text("Date"), "dd/MM/yyyy").alias("Date"))
+    # The date is parsed from the extracted column (the regex runs once per row).
+    return (long.select("DSCode", "Currency", F.col("Date").alias("header"),
+                        header_date_text("Date").alias("CleanDate"))
+            .withColumn("Date", parse_date("CleanDate", "dd/MM/yyyy")))
 
 
 def q_lenient_cast(spark, d):

@@ -34,3 +34,15 @@ def test_dependent_formula(spark):
 def test_predictor_columns(spark):
     df = spark.createDataFrame([("a", 1.0, 2, 3)], "ws_id string, Acc double, n bigint, i int")
     assert predictor_columns(df) == ["Acc", "n"]
+
+
+def test_profile_and_shape(spark):
+    from pitpanel.operators.profile import profile_columns, shape, value_counts
+    df = spark.createDataFrame([("a", None), ("a", "x"), (None, "x")], "p string, q string")
+    prof, top = profile_columns(df)
+    got = {r["column_name"]: (r["null_count"], r["unique_count"]) for r in prof.collect()}
+    assert got == {"p": (1, 1), "q": (1, 1)}
+    assert [tuple(r) for r in top["q"].collect()] == [("x", 2), (None, 1)]
+    assert sorted(tuple(r) for r in value_counts(df, "p").collect()) == [("a", 2)]
+    s = shape(df)
+    assert s["rows"] == 3 and s["columns"] == ["p", "q"]
