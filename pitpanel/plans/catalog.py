@@ -323,7 +323,7 @@ def q_stream_ingest(spark, d):
     src, out = work_dir(spark, "ws-src"), work_dir(spark, "ws-items")
     write_fundamentals_files(spark, _t(spark, d), src)
     ingest_items(spark, src, "WSCalendarPrd", out).awaitTermination()
-    return (spark.read.parquet(out).drop("source_file")
+    return (spark.read.parquet(out).drop("source_file", "batch")
             .withColumn("item_code", F.col("item_code").cast("bigint")))
 
 

@@ -14,11 +14,18 @@ def available_items(spark: SparkSession, items_dir: str, codes) -> list:
     """Codes among ``codes`` that have a partition; the rest are warned about.
     Only partition folder names are listed (no data is read)."""
     present = set()
-    for name in list_dirs(spark, items_dir):
-        if name.startswith("item_code="):
-            v = name.split("=", 1)[1]
-            if v.lstrip("-").isdigit():
-                present.add(int(v))
+    level = [items_dir.rstrip("/")]
+    for _ in range(2):                       # item_code=… directly or below batch=…
+        nxt = []
+        for d in level:
+            for name in list_dirs(spark, d):
+                if name.startswith("item_code="):
+                    v = name.split("=", 1)[1]
+                    if v.lstrip("-").isdigit():
+                        present.add(int(v))
+                elif "=" in name:
+                    nxt.append(f"{d}/{name}")
+        level = nxt
     out = [int(c) for c in codes if int(c) in present]
     missing = sorted(set(int(c) for c in codes) - present)
     if missing:

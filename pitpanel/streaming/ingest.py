@@ -2,7 +2,8 @@
 
 The batch chain re-reads everything; vendors deliver new files over time.
 This runs the same scan (SC5) as a file stream and appends each micro-batch
-to the item-partitioned table (SK4). The stream checkpoint records which
+to the item-partitioned table (SK4), laid out ``batch=<n>/item_code=<code>``
+(readers prune on ``item_code`` as usual). The stream checkpoint records which
 files were processed, so a rerun only picks up new files (the streaming
 form of "skip outputs that exist", SK6) and a lost executor or driver
 restart resumes from the checkpoint. ``availableNow`` processes what is
@@ -34,14 +35,16 @@ def ingest_items(spark: SparkSession, src_dir: str, kind: str, out_dir: str,
     """Start the ingestion (trigger availableNow) and return the query handle."""
     checkpoint = checkpoint or work_dir(spark, f"ingest-{kind}")
 
-    def _append(batch: DataFrame, _epoch: int) -> None:
+    def _write_batch(batch: DataFrame, epoch: int) -> None:
+        # Each micro-batch owns the folder batch=<epoch>: a batch replayed
+        # after a failure overwrites its own output instead of appending twice.
         (batch.where(F.col("item_code").isNotNull())
          .hint("rebalance", "item_code")
-         .write.mode("append").option("compression", "zstd")
-         .partitionBy("item_code").parquet(out_dir))
+         .write.mode("overwrite").option("compression", "zstd")
+         .partitionBy("item_code").parquet(f"{out_dir}/batch={epoch}"))
 
     return (fundamentals_stream(spark, src_dir, kind).writeStream
-            .foreachBatch(_append)
+            .foreachBatch(_write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -1,7 +1,7 @@
 """File-to-file jobs on vendor-shaped files written from sf0.001."""
 
 from pitpanel.plans import fixtures as fx
-from pitpanel.plans import pipeline as pl
+from pitpanel.plans import jobs as pl
 from pitpanel.plans.catalog import q_matching_from_files, q_panel_c, q_price_panel_from_files
 from pitpanel.plans.fixture_files import write_fundamentals_files, write_wide_price_files
 from pitpanel.session import work_dir
