@@ -39,21 +39,47 @@ def _nearest_rank(q: float):
     return F.round((F.col("_n") - 1) * F.lit(float(q)), 0) + 1
 
 
+INTERPOLATIONS = ("nearest", "lower", "higher", "midpoint", "linear")
+
+
+def _quantile(q: float, value_col: str, interpolation: str = "nearest"):
+    """Aggregate expression over a ``_histogram`` frame: quantile ``q`` of the
+    group's non-NULL values. With p = (n-1)·q (0-based position): nearest =
+    rank round(p)+1; lower/higher = ranks floor(p)+1 / ceil(p)+1; midpoint =
+    their mean; linear = lower + (p - floor(p)) · (higher - lower)."""
+    if interpolation == "nearest":
+        return _value_at_rank(_nearest_rank(q), value_col).cast("double")
+    p = (F.col("_n") - 1) * F.lit(float(q))
+    lo = _value_at_rank(F.floor(p) + 1, value_col).cast("double")
+    hi = _value_at_rank(F.ceil(p) + 1, value_col).cast("double")
+    if interpolation == "lower":
+        return lo
+    if interpolation == "higher":
+        return hi
+    if interpolation == "midpoint":
+        return (lo + hi) / 2
+    if interpolation == "linear":
+        frac = F.max(p - F.floor(p))          # constant within a group
+        return lo + frac * (hi - lo)
+    raise ValueError(f"interpolation must be one of {INTERPOLATIONS}")
+
+
 def nearest_quantiles(df: DataFrame, group_col: str, value_col: str,
-                      quantiles=(0.1, 0.9), names=("10thPct", "90thPct")) -> DataFrame:
-    """Exact quantiles with nearest-rank interpolation per group (AG5): the
-    value of rank round((n-1)·q)+1 among the group's n non-NULL values,
-    read off the value histogram (see ``_histogram``)."""
+                      quantiles=(0.1, 0.9), names=("10thPct", "90thPct"),
+                      interpolation: str = "nearest") -> DataFrame:
+    """Exact quantiles per group (AG5), by default with nearest-rank
+    interpolation: the value of rank round((n-1)·q)+1 among the group's n
+    non-NULL values, read off the value histogram (see ``_histogram``)."""
     hist = _histogram(df, group_col, value_col)
     return hist.groupBy(group_col).agg(
-        *[_value_at_rank(_nearest_rank(q), value_col).cast("double").alias(n)
-          for q, n in zip(quantiles, names)])
+        *[_quantile(q, value_col, interpolation).alias(n) for q, n in zip(quantiles, names)])
 
 
 def distribution_panel(df: DataFrame, group_col: str, value_col: str,
-                       std_digits: int | None = None) -> DataFrame:
+                       std_digits: int | None = None, interpolation: str = "nearest") -> DataFrame:
     """Mean (1 decimal), exact median, sample std and 10th/90th percentile
-    per group (AG1-AG5), sorted by group with NULL first (ST1).
+    per group (AG1-AG5), sorted by group with NULL first (ST1). Percentiles
+    use ``interpolation`` (default nearest rank, see ``_quantile``).
 
     One pass over the input: everything is derived from the value
     histogram. Sums are exact decimals, so the mean and the sample
@@ -71,8 +97,8 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
         F.sum((v * v * c).cast(dec)).alias("_S2"),
         _value_at_rank(F.floor((F.col("_n") + 1) / 2), value_col).alias("_lo"),
         _value_at_rank(F.ceil((F.col("_n") + 1) / 2), value_col).alias("_hi"),
-        _value_at_rank(_nearest_rank(0.1), value_col).cast("double").alias("10thPct"),
-        _value_at_rank(_nearest_rank(0.9), value_col).cast("double").alias("90thPct"))
+        _quantile(0.1, value_col, interpolation).alias("10thPct"),
+        _quantile(0.9, value_col, interpolation).alias("90thPct"))
     n, s1, s2 = F.col("_N"), F.col("_S1"), F.col("_S2")
     var = F.when(n > 1, ((s2 - s1 * s1 / n) / (n - 1)).cast("double"))
     std = F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0))))

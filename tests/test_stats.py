@@ -60,3 +60,13 @@ def test_histogram_quantile_equals_rank(spark, vals):
     r = got[0]                              # an all-NULL group is kept, with NULL quantiles
     assert r["10thPct"] == brute_nearest(vals, 0.1)
     assert r["90thPct"] == brute_nearest(vals, 0.9)
+
+
+def test_linear_and_other_interpolations(spark):
+    df = frame(spark, [1, 2, 3, 4, 10, 20])
+    r = distribution_panel(df, "g", "v", interpolation="linear").collect()[0]
+    assert r["10thPct"] == 1.5 and r["Median"] == 3.5
+    q = nearest_quantiles(df, "g", "v", (0.5,), ("m",), "linear").collect()[0]
+    assert q["m"] == 3.5
+    for interp, want in (("lower", 3.0), ("higher", 4.0), ("midpoint", 3.5), ("nearest", 4.0)):
+        assert nearest_quantiles(df, "g", "v", (0.5,), ("m",), interp).collect()[0]["m"] == want
