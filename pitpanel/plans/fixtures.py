@@ -16,6 +16,19 @@ from pyspark.sql import functions as F
 from pitpanel.schemas import CAL1_CODES, CAL2_CODES
 
 
+# Schemas of the driver's tables used here (as written by the driver).
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 class Tables:
     """Lazy parquet readers for one scale-factor folder."""
 
@@ -28,7 +41,10 @@ class Tables:
             raise AttributeError(name)
         # One reader per table: each parquet read costs a footer (schema) job.
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read
+            if name in TABLE_SCHEMAS:            # declared: no footer job for inference
+                reader = reader.schema(TABLE_SCHEMAS[name])
+            self._frames[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._frames[name]
 
 
