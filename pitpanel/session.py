@@ -58,7 +58,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
-        # Local runs only: nothing named a shared folder, so make one.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
+        # Local runs (tests) only: nothing named a shared folder, so make one.
         root = tempfile.mkdtemp(prefix="pitpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -44,3 +44,14 @@ def test_dedup_plan_is_an_aggregate(spark):
     df = spark.createDataFrame([("k", 1)], "k string, v int")
     plan = dedup_rows(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" in plan and "Window" not in plan
+
+
+def test_period_filter_partitions_input(spark):
+    """FL1 keeps exactly the rows whose condition is TRUE; the rest are the dropped ones."""
+    from pyspark.sql import functions as F
+    vals = ["0", "1", None]
+    df = spark.createDataFrame([(a, b) for a in vals for b in vals], "a string, b string")
+    kept = drop_missing_period(df, "a", "b")
+    dropped = df.where(~F.coalesce(~((F.col("a") == "0") & (F.col("b") == "0")), F.lit(False)))
+    assert kept.count() + dropped.count() == df.count()
+    assert kept.unionByName(dropped).distinct().count() == df.distinct().count()

@@ -70,3 +70,15 @@ def test_linear_and_other_interpolations(spark):
     assert q["m"] == 3.5
     for interp, want in (("lower", 3.0), ("higher", 4.0), ("midpoint", 3.5), ("nearest", 4.0)):
         assert nearest_quantiles(df, "g", "v", (0.5,), ("m",), interp).collect()[0]["m"] == want
+
+
+def test_after_before_null_add_up(spark):
+    from pitpanel.plans import fixtures as fx
+    from pitpanel.plans import lag
+    from pitpanel.plans.catalog import _merged
+    feats = lag.lag_features(_merged(fx.Tables(spark, "/root/testdata/sf0.001")))
+    c = lag.lag_counts(feats).collect()[0]
+    nulls = feats.where(F.col("diff_to_ff92").isNull()).count()
+    assert c["n_on_or_before_ff92"] + c["n_after_ff92"] + nulls == feats.count()
+    panel = {r["fye_bin"]: r for r in lag.panel_c(feats).collect()}
+    assert sum(r["N"] for r in panel.values()) == feats.count()
