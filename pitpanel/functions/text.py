@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date part of a price-file header such as "01/02/2003_duplicated_0".
-HEADER_DATE_PATTERN = r"^(\d{2}/\d{2}/\d{4}).*"
+from pitpanel.schemas import HEADER_DATE_PATTERN
+
 
 
 def _c(c) -> Column:

@@ -91,7 +91,7 @@ def write_wide_price_files(spark: SparkSession, t: fx.Tables, root: str) -> None
     data = legs[0].unionByName(legs[1])
     files = data.select("fname").distinct()
     banner = files.select("fname", F.lit(0).alias("k"), F.lit("").alias("s"),
-                          F.concat(F.lit("Datastream export "), F.col("fname")).alias("line"))
+                          F.concat(F.lit("Price export "), F.col("fname")).alias("line"))
     header = files.select("fname", F.lit(1).alias("k"), F.lit("").alias("s"),
                           F.lit(",".join(meta + headers)).alias("line"))
     staging = f"{root}/_staging_wide"

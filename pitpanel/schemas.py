@@ -86,6 +86,16 @@ PRICE_KEYS = ["DSCode", "Date", "Currency"]
 MATCH_COLUMNS = ["DSCD", "ISIN", "LOC", "GEOGC", "WC06105", "TIME"]
 PRICE_META_COLUMNS = 7      # wide price files: date columns start at index 7
 PRICE_ID_COLUMN = "DATES"   # header cell naming the security-code column
+# Date part of a price-file header such as "01/02/2003_duplicated_0".
+HEADER_DATE_PATTERN = r"^(\d{2}/\d{2}/\d{4}).*"
+# Leg tags in price file names; removing them leaves the suffix that pairs files.
+LEG_TAG_PATTERN = r"Daily(MV|Returns)(USD|LC)"
+# Folders whose name contains this hold index files, which are skipped.
+INDEX_FOLDER_MARK = "Index Returns"
+# Currency tags looked up in the data-relative path, in this order; otherwise "Unknown".
+CURRENCY_TAGS = ("LC", "USD")
+# File-name tag of the market-value leg (otherwise the return-index leg, "RI").
+MV_TAG = "MV"
 
 # ---------------------------------------------------------------------------
 

@@ -17,12 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.functions import header_date_text, lenient_double, parse_date
-from pitpanel.schemas import PRICE_ID_COLUMN, PRICE_META_COLUMNS
+from pitpanel.schemas import (CURRENCY_TAGS, INDEX_FOLDER_MARK, LEG_TAG_PATTERN, MV_TAG,
+                              PRICE_ID_COLUMN, PRICE_META_COLUMNS)
 from pitpanel.sources._fs import list_files
 
-# Leg tags in file names, removed to get the suffix that pairs MV and RI files.
-LEG_TAG_PATTERN = r"Daily(MV|Returns)(USD|LC)"
-INDEX_FOLDER_MARK = "Index Returns"
 
 
 def _unquote(c: Column) -> Column:
@@ -95,14 +93,15 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
     long = (data.select("file", "rel_path", code.alias("DSCode"),
                         F.arrays_zip(F.col("hdates").alias("d"), values.alias("v")).alias("z"))
             .select("file", "rel_path", "DSCode", F.inline("z")))
-    currency = (F.when(F.col("rel_path").contains("LC"), "LC")
-                .when(F.col("rel_path").contains("USD"), "USD").otherwise("Unknown"))
+    currency = F.lit("Unknown")
+    for tag in reversed(CURRENCY_TAGS):                   # first tag found wins
+        currency = F.when(F.col("rel_path").contains(tag), F.lit(tag)).otherwise(currency)
     return long.select(
         "DSCode",
         F.col("d").alias("Date"),
         lenient_double(_unquote(F.col("v"))).alias("Value"),
         currency.alias("Currency"),
-        F.when(stem.contains("MV"), "MV").otherwise("RI").alias("leg"),
+        F.when(stem.contains(MV_TAG), "MV").otherwise("RI").alias("leg"),
         F.regexp_replace(stem, LEG_TAG_PATTERN, "").alias("suffix"),
         "file")
 
