@@ -56,13 +56,14 @@ def attach_periods(facts: DataFrame, cal1: DataFrame, cal2: DataFrame,
                    keys4=PERIOD_KEYS, keys3=REPORTED_KEYS) -> DataFrame:
     """facts LEFT JOIN cal1 ON keys4 LEFT JOIN cal2 ON keys3 (JN4, JN5).
 
-    Both period tables are unique on their keys (they come out of a
-    grouped pivot), so the two lookups are first resolved once per distinct
-    company-period of the facts (a small, pre-aggregated spine) and the
-    facts are then joined to that spine once. The fact table — the large
-    input — is shuffled once instead of twice. The spine join matches NULL
-    key parts null-safely, so a fact with a NULL fiscal period still gets
-    its reported period exactly as in the two-join form.
+    The two lookups are first resolved once per distinct company-period of
+    the facts (a small, pre-aggregated spine) and the facts are then joined
+    to that spine once: the fact table — the large input — is shuffled once
+    instead of twice. The result is the same as the two-join form: a fact
+    gets (matches in cal1) x (matches in cal2) rows either way (one row with
+    NULLs when nothing matches), and the spine join matches NULL key parts
+    null-safely, so a fact with a NULL fiscal period still gets its
+    reported period.
     """
     keys4, keys3 = list(keys4), list(keys3)
     spine = (facts.select(*keys4).distinct()
