@@ -265,6 +265,15 @@ def q_fundamentals_from_files(spark, d):
     return fu.merged(k["WSFV"], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
 
 
+def q_pipe_scan(spark, d):
+    """SC5/SC6 alone: one kind's pipe files, typed (codes bigint, dates parsed)."""
+    from pitpanel.plans.fixture_files import write_fundamentals_files
+    from pitpanel.sources.fundamentals import read_fundamentals
+    root = work_dir(spark, "pipe")
+    write_fundamentals_files(spark, _t(spark, d), root, kinds=["WSReportedPrd"])
+    return read_fundamentals(spark, root)["WSReportedPrd"].drop("ord")
+
+
 def q_wide_price_files(spark, d):
     """SC1-SC4 + RS1 on files: all wide CSVs in one text scan."""
     from pitpanel.plans.fixture_files import write_wide_price_files
@@ -366,6 +375,7 @@ QUERIES = {
     "value_counts": q_value_counts,
     "head_export": q_head_export,
     "fundamentals_from_files": q_fundamentals_from_files,
+    "pipe_scan": q_pipe_scan,
     "wide_price_files": q_wide_price_files,
     "price_panel_from_files": q_price_panel_from_files,
     "matching_from_files": q_matching_from_files,

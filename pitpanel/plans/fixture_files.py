@@ -51,14 +51,17 @@ def _pipe_line(df: DataFrame, cols) -> DataFrame:
     return df.select(F.concat_ws("|", *parts).alias("line"))
 
 
-def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str) -> None:
+def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str, kinds=None) -> None:
     """WSFV (facts), WSCalendarPrd and WSReportedPrd pipe files, rows in
     ``ord`` order across files so file order reproduces the fixture order."""
     six = ["ws_id", "point_date", "freq", "fiscal_period", "item_code", "value"]
-    kinds = [("WSFV", fx.facts(t), six),
-             ("WSCalendarPrd", fx.calendar(t), six),
-             ("WSReportedPrd", fx.reported(t), ["ws_id", "point_date", "freq", "item_code", "value"])]
-    for kind, df, cols in kinds:
+    all_kinds = [("WSFV", fx.facts, six),
+                 ("WSCalendarPrd", fx.calendar, six),
+                 ("WSReportedPrd", fx.reported, ["ws_id", "point_date", "freq", "item_code", "value"])]
+    for kind, make, cols in all_kinds:
+        if kinds is not None and kind not in kinds:
+            continue
+        df = make(t)
         ordered = df.orderBy("ord", "item_code", "value")
         write_lines(spark, _pipe_line(ordered, cols), root, kind, "txt", "windows-1252")
 

@@ -260,6 +260,7 @@ SQL = {
     "fundamentals_from_files": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code,
  replace(value, '"', '') AS value, replace(cal1_55350, '"', '') AS cal1_55350, cal1_55352, cal1_55555, cal1_57034,
  cal2_55558, cal2_55559 FROM merged""", "merged"),
+    "pipe_scan": with_ctes("SELECT ws_id, point_date, freq, item_code, value FROM fx_reported", "fx_reported"),
     "wide_price_files": with_ctes("SELECT * FROM wide_files", "wide_files"),
     "price_panel_from_files": with_ctes(_PANEL_FROM_FILES, "wide_files", "match_latest_v"),
     "matching_from_files": with_ctes("""SELECT DSCD, WC06105, CAST(GEOGC AS VARCHAR) AS GEOGC, CAST(ISIN AS VARCHAR) AS ISIN, TIME
