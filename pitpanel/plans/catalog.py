@@ -3,13 +3,13 @@ operator of the inventory, each over the driver's tables (see fixtures)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions import header_date_text, parse_date
 from pitpanel.operators import profile as prof
 from pitpanel.operators.clean import dedup_rows, drop_missing_period, keep_recent
-from pitpanel.operators.formulas import ACC, Predictor, predictor_columns
+from pitpanel.operators.formulas import ACC, Predictor, predictor_columns, registry_codes
 from pitpanel.operators.joins import attach_item as _attach_item
 from pitpanel.operators.reshape import items_wide, unpivot_dates
 from pitpanel.plans import fixtures as fx
@@ -163,7 +163,6 @@ DEMO_REGISTRY = (
 def q_predictor_registry(spark, d):
     t = _t(spark, d)
     path = _write_items(spark, t)
-    from pitpanel.operators.formulas import registry_codes
     codes = available_items(spark, path, registry_codes(DEMO_REGISTRY))
     return pr.predictors(read_items(spark, path, codes), DEMO_REGISTRY, mode="chain",
                          codes=codes)
