@@ -33,7 +33,8 @@ def read_price_lines(spark: SparkSession, root: str) -> DataFrame:
     root_s = root.rstrip("/")
     lines = (spark.read.option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").text(root_s)
-             .select(F.url_decode(F.col("_metadata.file_path")).alias("file"),
+             # file_path is a URI: decode %-escapes, keeping a literal "+" as is
+             .select(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")).alias("file"),
                      F.col("value").alias("line")))
     parent = F.element_at(F.split("file", "/"), -2)
     root_path = root_s.split(":", 1)[-1] if root_s.startswith("file:") else root_s

@@ -102,3 +102,10 @@ def test_row_count_observation(spark):
     df, obs = sinks.with_row_count(spark.range(7))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 7
+
+
+def test_plus_and_space_in_file_names(spark, tmpdir_uri):
+    write(f"{tmpdir_uri}/USD/DailyMVUSD_a+b c.csv", WIDE)
+    long = wide_prices_long(spark, tmpdir_uri)
+    r = long.select("suffix", "Currency", "leg").distinct().collect()
+    assert [tuple(x) for x in r] == [("_a+b c", "USD", "MV")]
