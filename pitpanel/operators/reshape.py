@@ -57,7 +57,7 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     ``pivot``: one grouped aggregation (a single shuffle, partial before
     it); equal to ``chain`` only when (key, item) is unique.
     ``dedup``: per (key, item) the value of the first row by ``order_cols``
-    and then the rest of the row, inside the same single aggregation.
+    (ties: smallest value), inside the same single aggregation.
     A company-period appears only when every item has a row (presence by
     row, not by non-NULL value).
     """
@@ -70,9 +70,10 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     if mode == "pivot":
         pick = [F.max(F.when(item == c, num)).alias(item_column(c)) for c in codes]
     elif mode == "dedup":
-        order = list(order_cols or [value_col])
-        rest = [c for c in df.columns if c not in order and c not in keys and c != item_col]
-        rank = F.struct(*[F.col(c) for c in order + rest])
+        # Only the picked value is output, so ties on the order columns are
+        # broken by the value itself: deterministic, and a small sort key.
+        order = list(order_cols or [])
+        rank = F.struct(*[F.col(c) for c in order + [value_col]])
         pick = [F.min_by(F.when(item == c, num), F.when(item == c, rank)).alias(item_column(c))
                 for c in codes]
     else:
