@@ -34,25 +34,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def matching_job(spark: SparkSession, matching_dir: str, out: str) -> None:
-    """CJ2: matching CSVs -> latest row per (DSCD, WC06105)."""
-    sinks.write_parquet(px.matching_table(read_matching_csv(spark, matching_dir)), out)
+def _write_counted(df: DataFrame, out: str, writer=sinks.write_parquet) -> int:
+    """Write and return the number of rows handed to the writer (SK7: an
+    observed metric filled by the write itself, no extra job; the item
+    writer still drops rows without an item)."""
+    df, obs = sinks.with_row_count(df)
+    writer(df, out)
+    return obs.get["rows"]
 
 
-def price_job(spark: SparkSession, ds_root: str, matching_path: str, out: str) -> None:
-    """CJ1: wide price files -> paired legs -> panel with matching columns."""
+def matching_job(spark: SparkSession, matching_dir: str, out: str) -> int:
+    """CJ2: matching CSVs -> latest row per (DSCD, WC06105). Returns rows written."""
+    return _write_counted(px.matching_table(read_matching_csv(spark, matching_dir)), out)
+
+
+def price_job(spark: SparkSession, ds_root: str, matching_path: str, out: str) -> int:
+    """CJ1: wide price files -> paired legs -> panel with matching columns.
+    Returns rows written."""
     ri, mv = split_legs(wide_prices_long(spark, ds_root))
     matching = spark.read.parquet(matching_path)
-    sinks.write_parquet(px.price_panel(ri, mv, matching), out)
+    return _write_counted(px.price_panel(ri, mv, matching), out)
 
 
 def fundamentals_job(spark: SparkSession, ws_root: str, items_out: str,
-                     facts_kind: str = "WSFV") -> None:
+                     facts_kind: str = "WSFV") -> int:
     """CJ3: fundamentals files -> periods attached and filtered -> one folder
-    per item."""
+    per item. Returns rows written."""
     k = read_fundamentals(spark, ws_root, [facts_kind, "WSCalendarPrd", "WSReportedPrd"])
     final = fu.fundamentals(k[facts_kind], k["WSCalendarPrd"], k["WSReportedPrd"])
-    sinks.write_by_item(final, items_out)
+    return _write_counted(final, items_out, sinks.write_by_item)
 
 
 def panels(final_no_cols: DataFrame, std_digits=None) -> dict:

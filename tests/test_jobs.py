@@ -13,8 +13,9 @@ def test_fundamentals_to_panels_and_predictors(spark):
     t = fx.Tables(spark, SF)
     ws, items, out = work_dir(spark, "ws"), work_dir(spark, "items"), work_dir(spark, "out")
     write_fundamentals_files(spark, t, ws)
-    pl.fundamentals_job(spark, ws, items)
+    n = pl.fundamentals_job(spark, ws, items)
     final = spark.read.parquet(items)
+    assert n == final.count() > 0
     p = pl.panels(final)
     # Files carry no order key and quote-stripped values, but the periods and
     # the lags are the same as on the in-memory chain.
@@ -31,8 +32,8 @@ def test_price_and_matching_jobs(spark):
     ds, m, out = work_dir(spark, "ds"), work_dir(spark, "m"), work_dir(spark, "o")
     write_wide_price_files(spark, t, ds)
     fx.match_rows(t).write.option("header", "true").csv(m)
-    pl.matching_job(spark, m, out + "/match")
-    pl.price_job(spark, ds, out + "/match", out + "/panel")
+    assert pl.matching_job(spark, m, out + "/match") > 0
+    assert pl.price_job(spark, ds, out + "/match", out + "/panel") > 0
     assert spark.read.parquet(out + "/panel").count() == q_price_panel_from_files(spark, SF).count()
     assert spark.read.parquet(out + "/match").count() == q_matching_from_files(spark, SF).count()
 
