@@ -61,15 +61,18 @@ def attach_periods(facts: DataFrame, cal1: DataFrame, cal2: DataFrame,
     to that spine once: the fact table — the large input — is shuffled once
     instead of twice. The result is the same as the two-join form: a fact
     gets (matches in cal1) x (matches in cal2) rows either way (one row with
-    NULLs when nothing matches), and the spine join matches NULL key parts
-    null-safely, so a fact with a NULL fiscal period still gets its
-    reported period.
+    NULLs when nothing matches), and the spine join matches the keys only
+    cal1 uses null-safely, so a fact with a NULL fiscal period still gets
+    its reported period.
     """
     keys4, keys3 = list(keys4), list(keys3)
     spine = (facts.select(*keys4).distinct()
              .join(cal1, keys4, "left")
              .join(cal2, keys3, "left"))
-    cond = reduce(lambda a, b: a & b, [facts[k].eqNullSafe(spine[k]) for k in keys4])
+    # Only keys that cal2 does not use need NULL-safe matching: a NULL in a
+    # shared key matches neither table, so a plain miss gives the same NULLs.
+    cond = reduce(lambda a, b: a & b,
+                  [facts[k] == spine[k] if k in keys3 else facts[k].eqNullSafe(spine[k]) for k in keys4])
     extra = [c for c in spine.columns if c not in keys4]
     return facts.join(spine, cond, "left").select(facts["*"], *[spine[c] for c in extra])
 

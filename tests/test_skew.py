@@ -41,8 +41,11 @@ def skewed_facts(spark, n=30000):
     # one third of the rows on company "HOT"
     return (spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 997).cast("string"))).alias("ws_id"),
-        F.lit(dt.date(2020, 1, 1)).alias("point_date"), F.lit("A").alias("freq"),
-        F.lit(2020).cast("bigint").alias("fiscal_period"), F.col("id").alias("x")))
+        # the hot company-period is one full key; the other rows vary in every key part
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).cast("int")).alias("point_date"),
+        F.when((F.col("id") % 3 == 0) | (F.col("id") % 2 == 0), "A").otherwise("B").alias("freq"),
+        F.when(F.col("id") % 3 == 0, 2020).otherwise(2015 + F.col("id") % 5).cast("bigint").alias("fiscal_period"),
+        F.col("id").alias("x")))
 
 
 def final_plan(df):
@@ -56,7 +59,7 @@ def test_period_join_splits_hot_key(spark):
         facts = skewed_facts(spark)
         keys = facts.select("ws_id", "point_date", "freq", "fiscal_period").distinct()
         cal1 = keys.withColumn("c1", F.lit("p"))
-        cal2 = keys.drop("fiscal_period").withColumn("c2", F.lit("r"))
+        cal2 = keys.drop("fiscal_period").distinct().withColumn("c2", F.lit("r"))
         out = attach_periods(facts, cal1, cal2)
         rows, plan = final_plan(out)
         assert len(rows) == 30000 and all(r["c1"] == "p" and r["c2"] == "r" for r in rows)
