@@ -137,7 +137,10 @@ def q_lag_counts(spark, d):
 # --- items and predictors -------------------------------------------------------
 
 def q_items_wide_chain(spark, d):
-    return items_wide(_final(_t(spark, d)), ACC_CODES, mode="chain")
+    # Every item part scans the input: write it once (shared folder) instead
+    # of re-deriving it per item.
+    from pitpanel.plans.jobs import materialize
+    return items_wide(materialize(_final(_t(spark, d)), "final"), ACC_CODES, mode="chain")
 
 
 def q_items_wide_pivot(spark, d):

@@ -66,11 +66,11 @@ CTES = {
     "fx_calendar": (["fx_period"], """SELECT ws_id, point_date, freq, fiscal_period, CAST(item_code AS BIGINT) AS item_code,
   CASE item_code WHEN 55350 THEN '"d' || CAST(year(fye) * 10000 + month(fye) * 100 + day(fye) AS VARCHAR) || '"'
        WHEN 55352 THEN '12' WHEN 55555 THEN CAST(fiscal_period AS VARCHAR) ELSE 'x' END AS value, ord
-  FROM fx_period CROSS JOIN (VALUES (55350), (55352), (55555), (57034)) AS v(item_code) WHERE ord % 50 <> 0"""),
+  FROM (SELECT *, unnest([55350, 55352, 55555, 57034]) AS item_code FROM fx_period WHERE ord % 50 <> 0) v"""),
     "fx_reported": (["fx_period"], """SELECT ws_id, point_date, freq, CAST(item_code AS BIGINT) AS item_code,
   CASE WHEN ord % 10 = 0 THEN '0' WHEN item_code = 55558 THEN '1' WHEN ord % 4 = 0 THEN '1900'
        ELSE CAST(fiscal_period AS VARCHAR) END AS value, ord
-  FROM fx_period CROSS JOIN (VALUES (55558), (55559)) AS v(item_code) WHERE ord % 33 <> 0"""),
+  FROM (SELECT *, unnest([55558, 55559]) AS item_code FROM fx_period WHERE ord % 33 <> 0) v"""),
     "cal1": (["fx_calendar"], """SELECT ws_id, point_date, freq, fiscal_period,
   arg_min_null(value, ord) FILTER (WHERE item_code = 55350) AS cal1_55350,
   arg_min_null(value, ord) FILTER (WHERE item_code = 55352) AS cal1_55352,
@@ -111,11 +111,11 @@ CTES = {
     "match_latest_v": (["fx_match"], """SELECT DSCD, WC06105, GEOGC, ISIN, TIME FROM (SELECT *, row_number() OVER (
   PARTITION BY DSCD, WC06105 ORDER BY t DESC NULLS LAST, ISIN) AS rn FROM fx_match) x WHERE rn = 1"""),
     "wide_long": (["fx_price_ri"], """SELECT s.DSCode, s.Currency, days.h AS Date, c.cell AS Value
-  FROM (SELECT DISTINCT DSCode, Currency FROM fx_price_ri) s
-  CROSS JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
+  FROM (SELECT DSCode, Currency, unnest(range(1, 32)) AS d FROM (SELECT DISTINCT DSCode, Currency FROM fx_price_ri) x) s
+  JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
                              WHEN d = 31 THEN 'Unnamed: 37'
                              ELSE lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024' END AS h
-              FROM range(1, 32) t(d)) days
+              FROM range(1, 32) t(d)) days ON days.d = s.d
   LEFT JOIN (SELECT DSCode, day(Date) AS d,
                     CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
                          ELSE CAST(RI AS VARCHAR) END AS cell FROM fx_price_ri) c
@@ -126,12 +126,13 @@ CTES = {
 CTES["wide_files"] = (["fx_price_ri", "fx_price_mv"], """SELECT s.DSCode,
   CAST(strptime(nullif(regexp_extract(days.h, '^(\\d{2}/\\d{2}/\\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
   TRY_CAST(c.cell AS DOUBLE) AS Value, s.Currency, s.leg, '_' || CAST(s.suffix AS VARCHAR) AS suffix
-  FROM (SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
-        UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) s
-  CROSS JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
+  FROM (SELECT *, unnest(range(1, 32)) AS d FROM (
+          SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
+          UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) s0) s
+  JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
                              WHEN d = 31 THEN 'Unnamed: 37'
                              ELSE lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024' END AS h
-              FROM range(1, 32) t(d)) days
+              FROM range(1, 32) t(d)) days ON days.d = s.d
   LEFT JOIN (SELECT DSCode, 'RI' AS leg, day(Date) AS d,
                     CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
                          ELSE CAST(RI AS VARCHAR) END AS cell FROM fx_price_ri
