@@ -4,11 +4,13 @@ Layout: one banner line, one header line (seven metadata columns, one of
 them ``DATES`` holding the security code, then one column per date headed
 ``dd/MM/yyyy…``), then one row per security. Files differ in width.
 
-All files are scanned in ONE text read: each line is split, the header line
-of every file is found by its ``DATES`` cell, its parsed dates are joined
-back to the file's data lines, and ``arrays_zip(header dates, cells)`` is
-exploded into long rows. No per-file job, no driver-side parsing, no schema
-inference; only file names are listed on the driver.
+All files go through one text source (read twice: a header pass and a data
+pass — Spark cannot limit a scan to the first split of each file): each line
+is split, the header line of every file is found by its ``DATES`` cell, its
+parsed dates are joined back to the file's data lines, and
+``arrays_zip(header dates, cells)`` is exploded into long rows. No per-file
+job, no driver-side parsing, no schema inference; only file names are listed
+on the driver.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pitpanel.schemas import (CURRENCY_TAGS, INDEX_FOLDER_MARK, LEG_TAG_PATTERN,
 from pitpanel.sources._fs import list_files
 
 
-
 def _unquote(c: Column) -> Column:
     return F.trim(F.translate(c, '"', ""))
 
