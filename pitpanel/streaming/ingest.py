@@ -26,7 +26,8 @@ def fundamentals_stream(spark: SparkSession, src_dir: str, kind: str,
     return type_fundamentals(
         spark.readStream.schema(fundamentals_schema(kind))
         .option("sep", "|").option("encoding", ensure_charset(spark, encoding)).option("header", "false")
-        .option("pathGlobFilter", f"{kind}*").csv(src_dir)
+        # the kind is the whole run of letters: WSFV must not match WSFVFootnote
+        .option("pathGlobFilter", f"{kind}[^A-Za-z]*").csv(src_dir)
         .withColumn("source_file", F.col("_metadata.file_name")))
 
 

@@ -20,6 +20,7 @@ def test_incremental_ingest_only_new_files(spark):
     assert spark.read.parquet(out).count() == 2
     write(f"{src}/WSCalendarPrd_2.txt", b"C2|20211231|A|2021|55350|d20211231\n")
     write(f"{src}/WSFV_1.txt", b"C2|20211231|A|2021|2003|5\n")                  # other kind: ignored
+    write(f"{src}/WSCalendarPrdFootnote_1.txt", b"C2|20211231|A|2021|55350|note\n")   # longer kind: ignored
     ingest_items(spark, src, "WSCalendarPrd", out, ck).awaitTermination()
     df = spark.read.parquet(out)
     assert df.count() == 3 and sorted(r[0] for r in df.select("item_code").distinct().collect()) == [55350, 55555]
