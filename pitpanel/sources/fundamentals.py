@@ -10,6 +10,7 @@ rules: (file name, split start, position in split).
 from __future__ import annotations
 
 import re
+import warnings
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,14 @@ def kind_of(file_name: str) -> str | None:
 
 
 def group_by_kind(paths) -> dict:
-    out = defaultdict(list)
+    """{kind: [paths]}; files whose name does not start with a kind are
+    skipped with a warning (they are not fundamentals files)."""
+    out, other = defaultdict(list), []
     for p in paths:
-        out[kind_of(p) or "?"].append(p)
+        k = kind_of(p)
+        (out[k] if k else other).append(p)
+    if other:
+        warnings.warn(f"skipped {len(other)} file(s) without a kind prefix, e.g. {other[0]}")
     return dict(out)
 
 

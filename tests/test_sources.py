@@ -109,3 +109,10 @@ def test_plus_and_space_in_file_names(spark, tmpdir_uri):
     long = wide_prices_long(spark, tmpdir_uri)
     r = long.select("suffix", "Currency", "leg").distinct().collect()
     assert [tuple(x) for x in r] == [("_a+b c", "USD", "MV")]
+
+
+def test_files_without_kind_are_skipped():
+    from pitpanel.sources.fundamentals import group_by_kind
+    with pytest.warns(UserWarning):
+        g = group_by_kind(["/a/WSFV_1.txt", "/a/readme.txt", "/a/WSFVFootnote_1.txt", "/a/WSFV_2.txt"])
+    assert g == {"WSFV": ["/a/WSFV_1.txt", "/a/WSFV_2.txt"], "WSFVFootnote": ["/a/WSFVFootnote_1.txt"]}
