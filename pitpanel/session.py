@@ -43,6 +43,10 @@ def get_spark(master: str | None = None, app: str = "pitpanel",
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Spark's 1 GB default heap is shared by all local tasks: sorts behind an
+        # aggregate then fail to get pages (measured at 9.6M fact rows).
+        settings["spark.driver.memory"] = "8g"
     settings.update(conf or {})
     for k, v in settings.items():
         b = b.config(k, v)
