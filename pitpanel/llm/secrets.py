@@ -69,8 +69,9 @@ def update(versions: DataFrame, ledger: str, rules=BASE_RULES + MORE_RULES) -> D
     rows (sha, spans) of this rule version. One scan writes to a ledger at a time."""
     spark, version = versions.sparkSession, rule_version(rules)
     blobs = texts(versions).select(F.unhex(F.sha2("text", 256)).alias("sha"), "text")
-    unseen = (blobs.join(ledger_rows(spark, ledger, version).select("sha").distinct(), "sha", "left_anti")
-              .groupBy("sha").agg(F.first("text").alias("text")))      # one copy a blob, combined before the shuffle
+    # one copy of each blob, combined before the shuffle; then without the ledger's
+    unseen = (blobs.groupBy("sha").agg(F.first("text").alias("text"))
+              .join(ledger_rows(spark, ledger, version).select("sha").distinct(), "sha", "left_anti"))
 
     def run(batches):
         compiled = [(k, re.compile(p, f), g, n) for k, p, f, g, n in rules]
