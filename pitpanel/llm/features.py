@@ -25,12 +25,11 @@ def of_texts(data: np.ndarray, offs: np.ndarray) -> tuple:
     words = np.bincount(t, minlength=n)
     feature, owner, count = [], [], []
     for h in hashes:
-        g, who, times = S.shingle_sets(h, t, n, 1)
-        feature.append((g & U(DIM - 1)).astype(np.int64))
-        owner.append(who)
+        key, times = np.unique(t * DIM + (h & U(DIM - 1)).astype(np.int64), return_counts=True)
+        feature.append(key % DIM)
+        owner.append(key // DIM)
         count.append(times)
-        if len(owner) == 1:
-            distinct = np.bincount(who, minlength=n)
+    distinct = np.bincount(owner[0], minlength=n)
     buf = data[offs[0]:offs[-1]]
     ratios = [1 - distinct / np.maximum(words, 1)]
     for chars in _CLASSES:
@@ -105,6 +104,15 @@ def telling(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes:
     return np.where(out & (docs >= least_docs), 1.0, 0.0)
 
 
+def compact(weight: np.ndarray, feature: np.ndarray, owner: np.ndarray) -> tuple:
+    """(kept features, feature numbers among them, owner) of the occurrences of features of weight 1."""
+    kept = np.flatnonzero(weight)
+    number = np.full(DIM, -1)
+    number[kept] = np.arange(len(kept))
+    feature = number[feature]
+    return kept, feature[feature >= 0], owner[feature >= 0]
+
+
 def adagrad(gradient, start: np.ndarray, steps: int, rate: float) -> np.ndarray:
     """Full-batch descent with per-coordinate step sizes."""
     x, seen = start.copy(), np.full(start.shape, 1e-8)

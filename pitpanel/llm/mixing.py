@@ -29,7 +29,7 @@ from pitpanel.llm import features as X
 from pitpanel.llm import shingles as S
 from pitpanel.llm.base import staged, texts
 
-ROWS = 12_000
+ROWS = 8_000
 LEAST_DOCS, CHI2 = 5, 20.0     # features in fewer sampled documents, or unrelated to the label, get no weight
 STEPS, RATE, RIDGE = 120, 0.3, 2e-4
 DOMAINS = ("clean", "toxic", "low")
@@ -41,9 +41,10 @@ def fit(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes: int)
     """(classes, DIM + 1) weights and biases of a ridge-penalised multinomial regression."""
     n = len(label)
     weight = X.telling(feature, owner, label, classes, LEAST_DOCS, CHI2)
-    feature, owner = feature[weight[feature] > 0], owner[weight[feature] > 0]
+    kept, feature, owner = X.compact(weight, feature, owner)
+    dim = len(kept)
     share = np.bincount(label, minlength=classes) / n
-    start = np.zeros((classes, X.DIM + 1))
+    start = np.zeros((classes, dim + 1))
     start[:, -1] = np.log(np.maximum(share, 1e-6))
     is_class = np.eye(classes)[label]
 
@@ -51,11 +52,14 @@ def fit(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes: int)
         err = (posteriors(x, feature, owner, n) - is_class) / n
         out = np.empty_like(x)
         for d in range(classes):
-            out[d, :-1] = (np.bincount(feature, weights=err[owner, d], minlength=X.DIM) + RIDGE * x[d, :-1]) * weight
+            out[d, :-1] = (np.bincount(feature, weights=err[owner, d], minlength=dim) + RIDGE * x[d, :-1])
         out[:, -1] = err.sum(0)
         return out
 
-    return X.adagrad(gradient, start, STEPS, RATE)
+    x = X.adagrad(gradient, start, STEPS, RATE)
+    out = np.zeros((classes, X.DIM + 1))
+    out[:, kept], out[:, -1] = x[:, :-1], x[:, -1]
+    return out
 
 
 def posteriors(x: np.ndarray, feature: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:

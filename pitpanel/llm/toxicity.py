@@ -50,17 +50,18 @@ def fit(feature: np.ndarray, owner: np.ndarray, grade: np.ndarray, top: int = GR
     """(weights, thresholds) that maximise the ridge-penalised ordinal likelihood."""
     n = len(grade)
     weight = X.telling(feature, owner, np.minimum(grade, 1), 2, LEAST_DOCS, CHI2)
-    feature, owner = feature[weight[feature] > 0], owner[weight[feature] > 0]
+    kept, feature, owner = X.compact(weight, feature, owner)
+    dim = len(kept)
     share = [np.clip((grade >= j).mean(), 1e-4, 1 - 1e-4) for j in range(1, top + 1)]
     first = -np.log(share[0] / (1 - share[0]))
     gaps = np.log(np.maximum(np.diff([-np.log(s / (1 - s)) for s in share]), 0.05))
-    start = np.concatenate([np.zeros(X.DIM), [first], gaps])
+    start = np.concatenate([np.zeros(dim), [first], gaps])
 
     def thresholds(x):
-        return x[X.DIM] + np.concatenate([[0.0], np.cumsum(np.exp(x[X.DIM + 1:]))])
+        return x[dim] + np.concatenate([[0.0], np.cumsum(np.exp(x[dim + 1:]))])
 
     def gradient(x):
-        score, t = X.dot(x[:X.DIM], feature, owner, n), thresholds(x)
+        score, t = X.dot(x[:dim], feature, owner, n), thresholds(x)
         above = np.concatenate([np.ones((1, n)), _sigmoid(score[None, :] - t[:, None]), np.zeros((1, n))])
         slope = above * (1 - above)                     # of P(grade >= j) in score, j = 0 .. top + 1
         p = np.maximum(above[grade, np.arange(n)] - above[grade + 1, np.arange(n)], 1e-12)
@@ -69,13 +70,15 @@ def fit(feature: np.ndarray, owner: np.ndarray, grade: np.ndarray, top: int = GR
         by_t = np.array([(np.where(grade == j, lower, 0) - np.where(grade == j - 1, upper, 0)).sum() / n
                          for j in range(1, top + 1)])
         out = np.empty_like(x)
-        out[:X.DIM] = (np.bincount(feature, weights=by_score[owner], minlength=X.DIM) + RIDGE * x[:X.DIM]) * weight
-        out[X.DIM] = by_t.sum()
-        out[X.DIM + 1:] = [by_t[j:].sum() * np.exp(x[X.DIM + j]) for j in range(1, top)]
+        out[:dim] = (np.bincount(feature, weights=by_score[owner], minlength=dim) + RIDGE * x[:dim])
+        out[dim] = by_t.sum()
+        out[dim + 1:] = [by_t[j:].sum() * np.exp(x[dim + j]) for j in range(1, top)]
         return out
 
     x = X.adagrad(gradient, start, STEPS, RATE)
-    return x[:X.DIM], thresholds(x)
+    weights = np.zeros(X.DIM)
+    weights[kept] = x[:dim]
+    return weights, thresholds(x)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS):
