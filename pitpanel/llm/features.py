@@ -49,13 +49,16 @@ def of_texts(data: np.ndarray, offs: np.ndarray) -> tuple:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: dict, rows: int) -> tuple:
-    """Features of at most ``rows`` labelled documents - those least by a hash of doc_id - as
+    """Features of about ``rows`` labelled documents - a share chosen by a hash of doc_id - as
     (feature, occurrences, text index, label columns). ``label``: {name: Column over ``labels``};
     rows with a NULL label are left out, a document labelled more than once counts once."""
     marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(k) for k, c in label.items()]) \
         .dropna().groupBy("doc_id").agg(*[F.max(k).alias(k) for k in label])
-    picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    d = texts(docs).join(F.broadcast(picked), "doc_id")            # ``rows`` short rows at most
+    share = rows / max(marked.count(), 1)
+    if share < 1:
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    picked = marked.limit(2 * rows)                                  # a bound; about ``rows`` are left
+    d = texts(docs).join(F.broadcast(picked), "doc_id")
     names = list(label)
 
     def run(batches):
