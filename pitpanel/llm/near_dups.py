@@ -12,10 +12,12 @@ place with the probability of their (weighted) Jaccard similarity.
 
 Signatures are cut into bands; texts that agree on a band meet in a bucket. With 30 bands of 5
 a pair at similarity 0.8 misses every bucket with probability 7e-6. A bucket of n texts is not
-turned into n**2 pairs: all its members are compared with one leader (the least id) exactly;
-``rounds`` more leaders follow, each the least member of the bucket that is not yet in the
-component of an earlier leader, and each compared only with members of other components. So a
-bucket with up to ``rounds`` + 1 components is searched completely. Linked texts (similarity
+turned into n**2 pairs: all its members are compared exactly with one leader, the member that
+meets most texts over all its buckets (of a text and its edited copies, the text); ``rounds``
+more leaders follow, each the next such member that is not yet in the component of an earlier
+leader, and each compared only with members of other components. So a bucket with up to
+``rounds`` + 1 components is searched completely; beyond that, a link between two texts is found
+only if one of them led a bucket that they share. Linked texts (similarity
 >= ``threshold``, counted exactly) form classes, the connected components.
 
 Defined cases: exact copies (equal texts) are one node whatever their number; a NULL or empty text, or
@@ -179,25 +181,27 @@ def text_classes(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD
     nodes = staged(sketched.groupBy("content").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"))
                    .withColumn("node", F.monotonically_increasing_id()), "dart-nodes")
     spread = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = staged(spread.join(spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead"))
-                                 .where("n > 1"), "key").select("key", "node", "lead"), "dart-buckets")
-    pairs = staged(buckets.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(),
-                   "dart-pairs")
+    shared = staged(spread.join(spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"), "dart-shared")
+    buckets = staged(shared.join(shared.groupBy("node").agg(F.sum("n").alias("company")), "node")
+                     .select("key", "node", F.struct("company", (-F.col("node")).alias("minus")).alias("rank")), "dart-buckets")
+    first_lead = staged(buckets.groupBy("key").agg((-F.max("rank")["minus"]).alias("lead")), "dart-lead")
+    pairs = staged(buckets.join(first_lead, "key").where("node != lead")
+                   .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "dart-pairs")
     # the texts of nodes that share a bucket, one copy of each
     wanted = buckets.select("node").distinct().join(nodes.select("node", "content"), "node")
     held = staged(texts(docs).select(F.unhex(F.md5("text")).alias("content"), "text")
                   .join(wanted, "content").groupBy("node").agg(F.first("text").alias("text")), "dart-texts")
     links = staged(verified(pairs, held, k, threshold, weights), "dart-links")
     label = components(links, "dart-classes")
-    led = buckets.select("key", F.col("lead").alias("led")).distinct()
+    led = first_lead.withColumnRenamed("lead", "led")
     for _ in range(rounds):
         # members whose component holds no earlier leader of their bucket
-        state = (buckets.select("key", "node").join(label, "node", "left")
-                 .select("key", "node", F.coalesce("class", F.col("node")).alias("class")))
+        state = (buckets.join(label, "node", "left")
+                 .select("key", "node", "rank", F.coalesce("class", F.col("node")).alias("class")))
         done = led.join(label.withColumnRenamed("node", "led"), "led", "left") \
             .select("key", F.coalesce("class", F.col("led")).alias("class")).distinct()
         left = state.join(done, ["key", "class"], "left_anti")
-        lead = staged(left.groupBy("key").agg(F.min(F.struct("node", "class")).alias("l"))
+        lead = staged(left.groupBy("key").agg(F.max(F.struct("rank", "node", "class")).alias("l"))
                       .select("key", F.col("l.node").alias("led"), F.col("l.class").alias("led_class")), "dart-lead")
         more = (left.join(lead, "key").where("class != led_class")
                 .select(F.least("node", "led").alias("a"), F.greatest("node", "led").alias("b")).distinct()
