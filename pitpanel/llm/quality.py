@@ -151,13 +151,13 @@ def thresholds(feats: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
                 for r, grid in grids.items() for i, c in enumerate(grid)]
     counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *rejected)
     counts = counts.withColumn("tests", F.count(F.lit(1)).over(Window.partitionBy()) * len(grids))
-    level = F.lit(delta) / F.col("tests")
-
-    def cutoff(rule: str, grid: tuple) -> Column:
-        return F.coalesce(*[F.when(binomial_cdf(F.col("n_good"), F.col(f"{rule}_{i}"), alpha / len(grids)) <= level,
-                                   F.lit(float(c))) for i, c in enumerate(grid)])
-
-    return counts.select("stratum", "n_good", *[cutoff(r, g).alias(f"{r}_max") for r, g in grids.items()])
+    # a row per stratum, rule and cutoff; of the cutoffs that pass, the strictest
+    grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.col(f"{r}_{i}").alias("k"))
+                     for r, cutoffs in grids.items() for i, c in enumerate(cutoffs)])
+    passed = binomial_cdf(F.col("n_good"), F.col("k"), alpha / len(grids)) <= F.lit(delta) / F.col("tests")
+    tried = counts.select("stratum", "n_good", "tests", F.inline(grid)).withColumn("passed", passed)
+    return tried.groupBy("stratum", "n_good").agg(
+        *[F.min(F.when(F.col("passed") & (F.col("rule") == r), F.col("cutoff"))).alias(f"{r}_max") for r in grids])
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05,
