@@ -83,7 +83,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: dict, rows: int) -> tuple:
     f, offs = flat("f")
     c, _ = flat("c")
     f, c = f[offs[0]:offs[-1]], c[offs[0]:offs[-1]]
-    return (f, c, np.repeat(np.arange(len(offs) - 1), np.diff(offs)),
+    return (f, c, np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs)),
             {k: got.column(k).to_numpy().astype(np.int64) for k in names})
 
 

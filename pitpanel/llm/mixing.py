@@ -29,12 +29,13 @@ from pitpanel.llm import features as X
 from pitpanel.llm import shingles as S
 from pitpanel.llm.base import staged, texts
 
-ROWS = 8_000
+ROWS = 5_000
 LEAST_DOCS, CHI2 = 5, 20.0     # features in fewer sampled documents, or unrelated to the label, get no weight
 STEPS, RATE, RIDGE = 120, 0.3, 2e-4
 DOMAINS = ("clean", "toxic", "low")
 TARGETS = {"clean": 0.92, "toxic": 0.04, "low": 0.04}
-MU, MAX_STEPS, TOLERANCE = 1e-3, 40, 1e-4
+CEILINGS = ("toxic", "low")      # targets that are upper limits: such a domain is never raised
+MU, MAX_STEPS, TOLERANCE = 1e-3, 40, 2e-3
 
 
 def fit(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes: int) -> np.ndarray:
@@ -109,8 +110,9 @@ def fold(steps: list) -> F.Column:
     return F.aggregate(history, rate, step)
 
 
-def rates(members: DataFrame, names: list, targets: dict = TARGETS) -> tuple:
-    """(``members`` with ``rate`` and ``copies``, reached weights by domain)."""
+def rates(members: DataFrame, names: list, targets: dict = TARGETS, ceilings: tuple = CEILINGS) -> tuple:
+    """(``members`` with ``rate`` and ``copies``, reached weights by domain). What a domain of
+    ``ceilings`` lacks of its target goes to the other domains."""
     if not names:
         return members.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), {}
     w = np.array([targets.get(n, 0.0) for n in names])
@@ -123,6 +125,10 @@ def rates(members: DataFrame, names: list, targets: dict = TARGETS) -> tuple:
 
     steps: list = []
     mass = reached = totals(F.lit(1.0))
+    limited = np.array([n in ceilings for n in names])
+    if not limited.all() and mass.sum() > 0:
+        w = np.where(limited, np.minimum(w, mass), w)
+        w[~limited] *= (1 - w[limited].sum()) / max(w[~limited].sum(), 1e-12)
     for _ in range(MAX_STEPS if mass.sum() > 0 else 0):
         if np.abs(reached - w).max() <= TOLERANCE:
             break

@@ -23,7 +23,7 @@ from pitpanel.llm import features as X
 from pitpanel.llm import shingles as S
 from pitpanel.llm.base import texts
 
-ROWS = 12_000
+ROWS = 8_000
 LEAST_DOCS, CHI2 = 5, 20.0     # features in fewer sampled documents, or unrelated to the label, get no weight
 RATIO = 8.0
 STEPS, RATE, RIDGE = 200, 0.3, 1e-4
