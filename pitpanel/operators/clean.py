@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def rename_prefixed(df: DataFrame, cols, prefix: str) -> DataFrame:
-    """Rename ``cols`` to ``<prefix><col>`` (PR2)."""
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in cols if c in df.columns})
-
-
 def drop_if_present(df: DataFrame, cols) -> DataFrame:
     """Drop the columns that exist; absent names are ignored (PR3)."""
     return df.drop(*cols)
@@ -40,16 +35,6 @@ def lag_on_or_before(df: DataFrame, col: str = "diff_to_ff92") -> DataFrame:
     return df.where(F.col(col) <= 0)
 
 
-def item_filter(df: DataFrame, code, item_col: str = "item_code") -> DataFrame:
-    """Rows of one item (FL4); on an item-partitioned table this prunes partitions."""
-    return df.where(F.col(item_col) == code)
-
-
-def distinct_values(df: DataFrame, col: str = "item_code") -> DataFrame:
-    """Distinct values of one column (DD3), NULL included."""
-    return df.select(col).distinct()
-
-
 def _desc_key(c: str, dtype) -> F.Column:
     col = F.col(c)
     if isinstance(dtype, T.DateType):

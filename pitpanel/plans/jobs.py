@@ -61,7 +61,7 @@ def fundamentals_job(spark: SparkSession, ws_root: str, items_out: str,
     """CJ3: fundamentals files -> periods attached and filtered -> one folder
     per item. Returns rows written."""
     k = read_fundamentals(spark, ws_root, [facts_kind, "WSCalendarPrd", "WSReportedPrd"])
-    final = fu.fundamentals(k[facts_kind], k["WSCalendarPrd"], k["WSReportedPrd"])
+    final = fu.fundamentals(k[facts_kind], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
     return _write_counted(final, items_out, sinks.write_by_item)
 
 

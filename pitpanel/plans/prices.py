@@ -15,12 +15,12 @@ from pitpanel.schemas import MATCH_KEYS
 
 def matching_table(raw: DataFrame, keys=MATCH_KEYS, time_col: str = "TIME",
                    tie_cols=("ISIN",)) -> DataFrame:
-    """Latest matching row per (DSCD, WC06105) by the ``dd/MM/yyyy`` TIME
-    text (DD1, SF6); unparseable dates sort last. Without a TIME column the
+    """Latest matching row per (DSCD, WC06105) by the day/month/year TIME
+    text, padded or not (DD1, SF6); unparseable dates sort last. Without a TIME column the
     smallest full row per key is kept (DD2)."""
     if time_col not in raw.columns:
         return dedup_rows(raw, keys)
-    t = raw.withColumn("_t", parse_date(time_col, "dd/MM/yyyy", strict=False))
+    t = raw.withColumn("_t", parse_date(time_col, "d/M/yyyy", strict=False))
     ties = [c for c in tie_cols if c in raw.columns]
     return latest_per_key(t, keys, "_t", ties).drop("_t")
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.functions import parse_date
+from pitpanel.functions.numeric import whole_number
 from pitpanel.schemas import FUNDAMENTALS_LAYOUT, fundamentals_schema
 from pitpanel.sources._charset import ensure_charset
 from pitpanel.sources._fs import list_files
@@ -68,7 +69,7 @@ def type_fundamentals(df: DataFrame) -> DataFrame:
     casts = {}
     for c in ("item_code", "fiscal_period"):
         if c in df.columns:
-            casts[c] = F.col(c).try_cast("bigint")
+            casts[c] = whole_number(c)
     if "point_date" in df.columns:
         casts["point_date"] = parse_date("point_date", "yyyyMMdd", strict=False)
     return df.withColumns(casts)
@@ -76,8 +77,9 @@ def type_fundamentals(df: DataFrame) -> DataFrame:
 
 def read_fundamentals(spark: SparkSession, root: str, kinds=None,
                       encoding: str = "windows-1252") -> dict:
-    """{kind: DataFrame} for every kind found below ``root`` (or only ``kinds``)."""
-    groups = group_by_kind(p for p, size in list_files(spark, root) if size > 0)
+    """{kind: DataFrame} for every kind of ``*.txt`` found below ``root`` (or only ``kinds``)."""
+    groups = group_by_kind(p for p, size in list_files(spark, root)
+                           if size > 0 and p.lower().endswith(".txt"))
     if kinds is not None:
         groups = {k: v for k, v in groups.items() if k in set(kinds)}
     return {k: read_kind(spark, v, k, encoding) for k, v in groups.items()}

@@ -18,8 +18,8 @@ def read_matching_csv(spark: SparkSession, folder: str, encoding: str = "windows
     return r.csv(folder)
 
 
-def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
+def read_parquet_folder(spark: SparkSession, folder: str, skip_unreadable: bool = False) -> DataFrame:
     """Every parquet file of a folder as one frame, columns unioned by name
-    (missing -> NULL), unreadable files skipped."""
+    (missing -> NULL). An unreadable file fails the read unless ``skip_unreadable``."""
     return (spark.read.option("mergeSchema", "true")
-            .option("ignoreCorruptFiles", "true").parquet(folder))
+            .option("ignoreCorruptFiles", str(skip_unreadable).lower()).parquet(folder))

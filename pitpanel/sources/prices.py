@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pitpanel.functions import header_date_text, lenient_double, parse_date
 from pitpanel.schemas import (CURRENCY_TAGS, INDEX_FOLDER_MARK, LEG_TAG_PATTERN, MV_TAG,
                               PRICE_ID_COLUMN, PRICE_META_COLUMNS)
-from pitpanel.sources._fs import list_files
 
 
 def _unquote(c: Column) -> Column:
@@ -44,8 +43,9 @@ def read_price_lines(spark: SparkSession, root: str) -> DataFrame:
             .withColumn("rel_path", rel))
 
 
-# Bound for broadcasting the file -> layout map (about 200 bytes per file).
-MAX_BROADCAST_FILES = 200_000
+def _cells(line: Column) -> Column:
+    """A CSV line's cells; a quoted cell may hold commas."""
+    return F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"[^",]*|[^,]*),'), F.lit(1))
 
 
 def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_COLUMNS,
@@ -56,13 +56,13 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
 
     Header lines are reduced to distinct *layouts* (files of one export
     share their date columns), whose dates are parsed once per layout, not
-    once per cell. Each data line then joins a one-row-per-file map
-    (broadcast when the file count is under ``MAX_BROADCAST_FILES``) and its
-    layout (broadcast by AQE when small; otherwise a sort-merge join whose
-    skewed partitions AQE splits).
+    once per cell. Each data line then joins a one-row-per-file map and its
+    layout (broadcast by AQE when small; otherwise sort-merge joins whose
+    skewed partitions AQE splits). A line with a code but too few cells is
+    padded with NULLs; a line too short to hold a code is the banner.
     """
     lines = read_price_lines(spark, root)
-    cells = F.split("line", ",")
+    cells = _cells(F.col("line"))
     clean = F.transform(cells, _unquote)
     # Only the metadata cells are inspected per line (data lines can be very wide).
     is_header = F.array_contains(F.transform(F.slice(cells, 1, n_meta), _unquote), id_column)
@@ -71,9 +71,6 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
                .groupBy("file").agg(F.min("h").alias("h"))          # one header per file
                .withColumn("layout", F.sha2(F.array_join("h", "\u001f"), 256)))
     file_map = headers.select("file", "layout")
-    n_files = len([p for p, _ in list_files(spark, root) if p.endswith(".csv")])
-    if n_files <= MAX_BROADCAST_FILES:
-        file_map = F.broadcast(file_map)
     layouts = (headers.groupBy("layout").agg(F.min("h").alias("h"))
                .select("layout",
                        F.array_position(F.slice("h", 1, n_meta), id_column).cast("int").alias("id_pos"),
@@ -83,14 +80,11 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
                        .alias("hdates")))
     data = (lines.where(~is_header).select("file", "rel_path", cells.alias("c"))
             .join(file_map, "file").join(layouts, "layout")
-            .where(F.size("c") >= F.col("n_dates") + n_meta))      # banner and short lines drop
-    # Lengths are clamped at 0: the filter above may run after these expressions.
-    meta_text = F.array_join(F.slice("c", F.lit(1), F.greatest(F.size("c") - F.col("n_dates"), F.lit(0))), ",")
-    meta_schema = ", ".join(f"m{i} STRING" for i in range(n_meta))
-    meta = F.from_csv(meta_text, meta_schema)
-    code = F.element_at(F.array(*[meta[f"m{i}"] for i in range(n_meta)]), F.col("id_pos"))
-    values = F.when(F.size("c") >= F.col("n_dates") + n_meta,
-                    F.slice("c", -F.greatest(F.col("n_dates"), F.lit(1)), F.greatest(F.col("n_dates"), F.lit(0))))
+            .where(F.size("c") >= F.greatest(F.col("id_pos"), F.lit(2))))
+    code = _unquote(F.get("c", F.col("id_pos") - 1))
+    n = F.greatest(F.col("n_dates"), F.lit(0))
+    given = F.slice("c", F.lit(n_meta + 1), F.greatest(F.least(F.size("c") - n_meta, n), F.lit(0)))
+    values = F.concat(given, F.array_repeat(F.lit(None).cast("string"), n - F.size(given)))
     stem = F.regexp_extract("file", r"([^/]*)\.csv$", 1)
     long = (data.select("file", "rel_path", code.alias("DSCode"),
                         F.arrays_zip(F.col("hdates").alias("d"), values.alias("v")).alias("z"))

@@ -14,8 +14,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_panel_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sink with header for result panels (SK2). Panels have one row per
-    bin, so a single output file is fine."""
-    df.coalesce(1).write.mode(mode).option("header", "true").csv(path)
+    bin, so a single output file is fine; only its write is one task."""
+    df.repartition(1).write.mode(mode).option("header", "true").csv(path)
 
 
 def head_rows(df: DataFrame, n: int, order_cols=None) -> DataFrame:

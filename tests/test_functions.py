@@ -58,3 +58,9 @@ def test_year_bins(spark):
 def test_bins_frame_size(spark):
     from pitpanel.functions import year_bins_frame
     assert year_bins_frame(spark).count() == 60
+
+
+def test_java_suffixes_are_not_numbers(spark):
+    from pitpanel.functions.numeric import whole_number
+    assert one(spark, lenient_double("s"), [("12d",), ("1f",), ("-1.5e3",), (".5",)], "s string") == [None, None, -1500.0, 0.5]
+    assert one(spark, whole_number("s"), [("2003.0",), ("2003",), ("1.5",), ("x",)], "s string") == [2003, 2003, None, None]

@@ -116,3 +116,15 @@ def test_files_without_kind_are_skipped():
     with pytest.warns(UserWarning):
         g = group_by_kind(["/a/WSFV_1.txt", "/a/readme.txt", "/a/WSFVFootnote_1.txt", "/a/WSFV_2.txt"])
     assert g == {"WSFV": ["/a/WSFV_1.txt", "/a/WSFV_2.txt"], "WSFVFootnote": ["/a/WSFVFootnote_1.txt"]}
+
+
+def test_wide_prices_quoted_commas_and_short_lines(spark, tmpdir_uri):
+    from pitpanel.sources.prices import wide_prices_long
+    text = ('banner\nName,DATES,c,d,e,f,g,01/01/2020,02/01/2020,03/01/2020\n'
+            '"A, Inc",X1,,,,,,5,"1,234.5",3\nC,X3,,,,,,7\n')
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmpdir_uri}/LC")
+    import glob, shutil
+    part = glob.glob(f"{tmpdir_uri.removeprefix('file:')}/LC/*.txt")[0]
+    shutil.copy(part, part.rsplit("/", 1)[0] + "/RI_1.csv")
+    got = {(r.DSCode, r.Date.day, r.Value) for r in wide_prices_long(spark, tmpdir_uri).collect()}
+    assert got == {("X1", 1, 5.0), ("X1", 2, None), ("X1", 3, 3.0), ("X3", 1, 7.0), ("X3", 2, None), ("X3", 3, None)}
