@@ -14,7 +14,7 @@ import threading
 
 import numpy as np
 
-KEEP_PIECES = 1_000_000        # pieces kept per worker, about 200 bytes each
+KEEP_PIECES = 600_000          # pieces kept per worker, about 200 bytes each
 MAX_PIECE = 100                # characters; longer pieces are not kept
 _LOCK = threading.Lock()
 _MADE: dict = {}
