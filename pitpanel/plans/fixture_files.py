@@ -75,13 +75,13 @@ def write_wide_price_files(spark: SparkSession, t: fx.Tables, root: str) -> None
     ``Daily{Returns|MV}{cur}_<suffix>_00000.csv`` plus one file under an
     ``Index Returns`` folder that must be skipped. Each file: banner line,
     header line (seven metadata columns, ``DATES`` second), one line per
-    security with one cell per January 2024 day. One write job for all
+    security with one cell per day. One write job for all
     files (partitioned by target file), then renames."""
-    headers = fx.wide_headers()
+    headers = fx.wide_headers(t)
     meta = ["Name", "DATES", "CURRENCY", "ISIN", "GEOG", "SECTOR", "Source"]
     legs = []
     for tag, frame, leg in (("Returns", fx.price_ri(t), "RI"), ("MV", fx.price_mv(t), "MV")):
-        w = fx.wide_from_leg(frame, leg)
+        w = fx.wide_from_leg(frame, leg, headers)
         fname = F.concat(F.col("Currency"), F.lit("__Daily"), F.lit(tag), F.col("Currency"),
                          F.lit("_"), F.col("suffix").cast("string"))
         legs.append(w.select(

@@ -4,12 +4,16 @@ The driver supplies orders, lineitem, events and customer; these functions
 map them onto the panel domain (company-periods, EAV facts, calendar and
 reported periods, price legs, matching rows, a price panel) with plain
 DataFrame operations, so every query's work grows with the given tables.
-The modulo rules below shape the synthetic data (missing period records,
-'0' markers, currencies, file suffixes); they never subset rows to save work.
+The modulo rules below shape the synthetic data (period records under another
+key, so that facts miss them; '0' markers, currencies, file suffixes). No row
+of a used table is left out: every event is in a price leg, every order in
+both period tables.
 """
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,8 +103,9 @@ def facts(t: Tables) -> DataFrame:
 
 @_memo
 def calendar(t: Tables) -> DataFrame:
-    """Calendar-period EAV rows (4 codes per period; none for ord % 50 = 0)."""
-    p = period(t).where(F.col("ord") % 50 != 0)
+    """Calendar-period EAV rows (4 codes per period; for ord % 50 = 0 under the
+    next fiscal period, so that the facts miss them)."""
+    p = period(t).withColumn("fiscal_period", F.col("fiscal_period") + F.when(F.col("ord") % 50 == 0, 1).otherwise(0))
     p = p.withColumn("item_code", F.explode(F.array(*[F.lit(c).cast("bigint") for c in CAL1_CODES])))
     fye_num = F.year("fye") * 10000 + F.month("fye") * 100 + F.dayofmonth("fye")
     value = (F.when(F.col("item_code") == 55350, F.concat(F.lit('"d'), fye_num.cast("string"), F.lit('"')))
@@ -113,9 +118,10 @@ def calendar(t: Tables) -> DataFrame:
 
 @_memo
 def reported(t: Tables) -> DataFrame:
-    """Reported-period EAV rows (2 codes; none for ord % 33 = 0; both '0'
-    for ord % 10 = 0; a stale year for ord % 4 = 0)."""
-    p = period(t).where(F.col("ord") % 33 != 0)
+    """Reported-period EAV rows (2 codes; for ord % 33 = 0 under frequency
+    ``R``, so that the facts miss them; both '0' for ord % 10 = 0; a stale
+    year for ord % 4 = 0)."""
+    p = period(t).withColumn("freq", F.when(F.col("ord") % 33 == 0, "R").otherwise(F.col("freq")))
     p = p.withColumn("item_code", F.explode(F.array(*[F.lit(c).cast("bigint") for c in CAL2_CODES])))
     value = (F.when(F.col("ord") % 10 == 0, F.lit("0"))
              .when(F.col("item_code") == 55558, F.lit("1"))
@@ -124,27 +130,33 @@ def reported(t: Tables) -> DataFrame:
     return p.select("ws_id", "point_date", "freq", "item_code", value.alias("value"), "ord")
 
 
-def _price_leg(t: Tables, event_type: str, name: str, drop_usd_suffix2: bool) -> DataFrame:
-    e = t.events.select("user_id", "ts", "event_type", "value").where(F.col("event_type") == event_type)
-    if drop_usd_suffix2:
-        e = e.where(~((F.col("user_id") % 3 == 2) & (F.col("user_id") % 2 == 1)))
-    return (e.groupBy("user_id", F.col("ts").cast("date").alias("Date"))
+MV_EVENTS = ("click", "view")           # every other event type is in the return leg
+
+
+def _price_leg(t: Tables, name: str, is_mv: bool) -> DataFrame:
+    mv = F.coalesce(F.col("event_type").isin(*MV_EVENTS), F.lit(False))
+    suffix = F.col("user_id") % 3
+    if is_mv:
+        suffix = F.when((suffix == 2) & (F.col("user_id") % 2 == 1), 3).otherwise(suffix)
+    return (t.events.select("user_id", "ts", "event_type", "value").where(mv if is_mv else ~mv)
+            .groupBy("user_id", F.col("ts").cast("date").alias("Date"))
             .agg(F.max("value").alias(name))
             .select(F.concat(F.lit("U"), _s("user_id")).alias("DSCode"), "Date",
                     F.when(F.col("user_id") % 2 == 0, "LC").otherwise("USD").alias("Currency"),
-                    (F.col("user_id") % 3).alias("suffix"), name))
+                    suffix.cast("bigint").alias("suffix"), name))
 
 
 @_memo
 def price_ri(t: Tables) -> DataFrame:
     """Return-index leg, long (DSCode, Date, Currency, suffix, RI)."""
-    return _price_leg(t, "purchase", "RI", False)
+    return _price_leg(t, "RI", False)
 
 
 @_memo
 def price_mv(t: Tables) -> DataFrame:
-    """Market-value leg; suffix 2 has no USD leg (an unpaired file)."""
-    return _price_leg(t, "click", "MV", True)
+    """Market-value leg; its USD file of suffix 2 is numbered 3, so that this
+    file and the returns of suffix 2 have no partner."""
+    return _price_leg(t, "MV", True)
 
 
 @_memo
@@ -165,32 +177,36 @@ def match_rows(t: Tables) -> DataFrame:
 
 
 def wide_prices(t: Tables) -> DataFrame:
-    """Wide price frame: one row per security, one text column per January
-    2024 day headed ``dd/MM/yyyy``; day 15's header carries a duplicate
-    marker, day 31's header is not a date, and day-2 cells of every seventh
-    user read ``NA``. Built with a grouped pivot over a declared header list.
+    """Wide price frame: one row per security, one text column per day from the
+    first to the last event, headed ``dd/MM/yyyy``; the 15th's header carries a
+    duplicate marker, the 30th's is not a date, and cells of a 2nd of every
+    seventh user read ``NA``. Built with a grouped pivot over the header list.
     """
-    return wide_from_leg(price_ri(t), "RI").drop("suffix")
+    return wide_from_leg(price_ri(t), "RI", wide_headers(t)).drop("suffix")
 
 
-def wide_from_leg(ri: DataFrame, value_col: str) -> DataFrame:
+def wide_from_leg(ri: DataFrame, value_col: str, headers: list) -> DataFrame:
     """One leg (long) -> wide text cells, see ``wide_prices``."""
     day = F.dayofmonth("Date")
     header = (F.when(day == 15, F.concat(F.date_format("Date", "dd/MM/yyyy"), F.lit("_duplicated_0")))
-              .when(day == 31, F.lit("Unnamed: 37"))
+              .when(day == 30, F.concat(F.lit("Unnamed: "), F.date_format("Date", "yyyyMM")))
               .otherwise(F.date_format("Date", "dd/MM/yyyy")))
     uid = F.substring("DSCode", 2, 20).cast("bigint")
     cell = F.when((day == 2) & (uid % 7 == 0), F.lit("NA")).otherwise(F.col(value_col).cast("string"))
     return (ri.select("DSCode", "Currency", "suffix", header.alias("h"), cell.alias("cell"))
-            .groupBy("DSCode", "Currency", "suffix").pivot("h", wide_headers()).agg(F.max("cell")))
-
-
-def wide_headers() -> list:
-    out = []
-    for d in range(1, 32):
-        h = f"{d:02d}/01/2024"
-        out.append(h + "_duplicated_0" if d == 15 else ("Unnamed: 37" if d == 31 else h))
-    return out
+            .groupBy("DSCode", "Currency", "suffix").pivot("h", headers).agg(F.max("cell")))
+
+
+def wide_headers(t: Tables) -> list:
+    """One header per day of the events' date range (one row reaches the driver)."""
+    if "_headers" not in t._frames:
+        day = F.col("ts").cast("date")
+        first, last = t.events.agg(F.min(day), F.max(day)).first()
+        days = [first + timedelta(days=i) for i in range((last - first).days + 1)] if first else []
+        t._frames["_headers"] = [
+            f"{d:%d/%m/%Y}_duplicated_0" if d.day == 15 else f"Unnamed: {d:%Y%m}" if d.day == 30 else f"{d:%d/%m/%Y}"
+            for d in days]
+    return t._frames["_headers"]
 
 
 def price_panel_keys(t: Tables) -> DataFrame:

@@ -45,11 +45,12 @@ def _dates(src):
             f"CAST(point_date AS DATE) AS pit_date FROM ({src}) s0) s1")
 
 
-def _price_leg(event_type, name, drop_usd2):
-    extra = " AND NOT (user_id % 3 = 2 AND user_id % 2 = 1)" if drop_usd2 else ""
+def _price_leg(name, is_mv):
+    mv = "coalesce(event_type IN ('click', 'view'), false)"
+    suffix = "CASE WHEN user_id % 3 = 2 AND user_id % 2 = 1 THEN 3 ELSE user_id % 3 END" if is_mv else "user_id % 3"
     return (f"SELECT 'U' || CAST(user_id AS VARCHAR) AS DSCode, CAST(ts AS DATE) AS Date, "
-            f"CASE WHEN user_id % 2 = 0 THEN 'LC' ELSE 'USD' END AS Currency, user_id % 3 AS suffix, "
-            f"max(value) AS {name} FROM events WHERE event_type = '{event_type}'{extra} "
+            f"CASE WHEN user_id % 2 = 0 THEN 'LC' ELSE 'USD' END AS Currency, {suffix} AS suffix, "
+            f"max(value) AS {name} FROM events WHERE {'' if is_mv else 'NOT '}{mv} "
             f"GROUP BY user_id, CAST(ts AS DATE)")
 
 
@@ -66,11 +67,13 @@ CTES = {
     "fx_calendar": (["fx_period"], """SELECT ws_id, point_date, freq, fiscal_period, CAST(item_code AS BIGINT) AS item_code,
   CASE item_code WHEN 55350 THEN '"d' || CAST(year(fye) * 10000 + month(fye) * 100 + day(fye) AS VARCHAR) || '"'
        WHEN 55352 THEN '12' WHEN 55555 THEN CAST(fiscal_period AS VARCHAR) ELSE 'x' END AS value, ord
-  FROM (SELECT *, unnest([55350, 55352, 55555, 57034]) AS item_code FROM fx_period WHERE ord % 50 <> 0) v"""),
+  FROM (SELECT *, unnest([55350, 55352, 55555, 57034]) AS item_code FROM
+  (SELECT * REPLACE (fiscal_period + CASE WHEN ord % 50 = 0 THEN 1 ELSE 0 END AS fiscal_period) FROM fx_period) p) v"""),
     "fx_reported": (["fx_period"], """SELECT ws_id, point_date, freq, CAST(item_code AS BIGINT) AS item_code,
   CASE WHEN ord % 10 = 0 THEN '0' WHEN item_code = 55558 THEN '1' WHEN ord % 4 = 0 THEN '1900'
        ELSE CAST(fiscal_period AS VARCHAR) END AS value, ord
-  FROM (SELECT *, unnest([55558, 55559]) AS item_code FROM fx_period WHERE ord % 33 <> 0) v"""),
+  FROM (SELECT *, unnest([55558, 55559]) AS item_code FROM
+  (SELECT * REPLACE (CASE WHEN ord % 33 = 0 THEN 'R' ELSE freq END AS freq) FROM fx_period) p) v"""),
     "cal1": (["fx_calendar"], """SELECT ws_id, point_date, freq, fiscal_period,
   arg_min_null(value, ord) FILTER (WHERE item_code = 55350) AS cal1_55350,
   arg_min_null(value, ord) FILTER (WHERE item_code = 55352) AS cal1_55352,
@@ -97,8 +100,8 @@ CTES = {
     "features_merged": (["merged"], f"""SELECT *, {_BIN} AS fye_bin FROM (
   SELECT *, CAST(pit_date - fye_date AS BIGINT) AS diff_to_fye, CAST(pit_date - ff92_date AS BIGINT) AS diff_to_ff92,
   CAST(year(fye_date) AS INTEGER) AS fye_year FROM ({_dates('SELECT * FROM merged')}) d) b"""),
-    "fx_price_ri": ([], _price_leg("purchase", "RI", False)),
-    "fx_price_mv": ([], _price_leg("click", "MV", True)),
+    "fx_price_ri": ([], _price_leg("RI", False)),
+    "fx_price_mv": ([], _price_leg("MV", True)),
     "price_join_v": (["fx_price_ri", "fx_price_mv"], """SELECT r.DSCode, r.Date, r.Currency, r.RI, m.MV FROM fx_price_ri r
   JOIN (SELECT DISTINCT suffix, Currency FROM fx_price_mv) p ON r.suffix = p.suffix AND r.Currency = p.Currency
   LEFT JOIN fx_price_mv m ON r.DSCode = m.DSCode AND r.Date = m.Date AND r.Currency = m.Currency AND r.suffix = m.suffix"""),
@@ -110,37 +113,26 @@ CTES = {
   FROM orders JOIN customer ON o_custkey = c_custkey"""),
     "match_latest_v": (["fx_match"], """SELECT DSCD, WC06105, GEOGC, ISIN, TIME FROM (SELECT *, row_number() OVER (
   PARTITION BY DSCD, WC06105 ORDER BY t DESC NULLS LAST, ISIN) AS rn FROM fx_match) x WHERE rn = 1"""),
-    "wide_long": (["fx_price_ri"], """SELECT s.DSCode, s.Currency, days.h AS Date, c.cell AS Value
-  FROM (SELECT DSCode, Currency, unnest(range(1, 32)) AS d FROM (SELECT DISTINCT DSCode, Currency FROM fx_price_ri) x) s
-  JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
-                             WHEN d = 31 THEN 'Unnamed: 37'
-                             ELSE lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024' END AS h
-              FROM range(1, 32) t(d)) days ON days.d = s.d
-  LEFT JOIN (SELECT DSCode, day(Date) AS d,
-                    CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
-                         ELSE CAST(RI AS VARCHAR) END AS cell FROM fx_price_ri) c
-    ON c.DSCode = s.DSCode AND c.d = days.d"""),
-}
-
-
-CTES["wide_files"] = (["fx_price_ri", "fx_price_mv"], """SELECT s.DSCode,
-  CAST(strptime(nullif(regexp_extract(days.h, '^(\\d{2}/\\d{2}/\\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
+    "days": ([], """SELECT d, CASE WHEN day(d) = 15 THEN strftime(d, '%d/%m/%Y') || '_duplicated_0'
+    WHEN day(d) = 30 THEN 'Unnamed: ' || strftime(d, '%Y%m') ELSE strftime(d, '%d/%m/%Y') END AS h
+  FROM (SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
+        FROM events) t"""),
+    "cells": (["fx_price_ri", "fx_price_mv"], """SELECT *, CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0
+    THEN 'NA' ELSE CAST(v AS VARCHAR) END AS cell
+  FROM (SELECT DSCode, 'RI' AS leg, Date, RI AS v FROM fx_price_ri
+        UNION ALL SELECT DSCode, 'MV', Date, MV FROM fx_price_mv) c"""),
+    "wide_long": (["fx_price_ri", "days", "cells"], """SELECT s.DSCode, s.Currency, s.h AS Date, c.cell AS Value
+  FROM (SELECT *, day.d AS d, day.h AS h FROM (SELECT *, unnest((SELECT list(days) FROM days)) AS day
+          FROM (SELECT DISTINCT DSCode, Currency FROM fx_price_ri) x) y) s
+  LEFT JOIN cells c ON c.DSCode = s.DSCode AND c.leg = 'RI' AND c.Date = s.d"""),
+    "wide_files": (["fx_price_ri", "fx_price_mv", "days", "cells"], """SELECT s.DSCode,
+  CAST(strptime(nullif(regexp_extract(s.h, '^(\\d{2}/\\d{2}/\\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
   TRY_CAST(c.cell AS DOUBLE) AS Value, s.Currency, s.leg, '_' || CAST(s.suffix AS VARCHAR) AS suffix
-  FROM (SELECT *, unnest(range(1, 32)) AS d FROM (
-          SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
-          UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) s0) s
-  JOIN (SELECT d, CASE WHEN d = 15 THEN lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024_duplicated_0'
-                             WHEN d = 31 THEN 'Unnamed: 37'
-                             ELSE lpad(CAST(d AS VARCHAR), 2, '0') || '/01/2024' END AS h
-              FROM range(1, 32) t(d)) days ON days.d = s.d
-  LEFT JOIN (SELECT DSCode, 'RI' AS leg, day(Date) AS d,
-                    CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
-                         ELSE CAST(RI AS VARCHAR) END AS cell FROM fx_price_ri
-             UNION ALL
-             SELECT DSCode, 'MV', day(Date),
-                    CASE WHEN day(Date) = 2 AND CAST(substr(DSCode, 2) AS BIGINT) % 7 = 0 THEN 'NA'
-                         ELSE CAST(MV AS VARCHAR) END FROM fx_price_mv) c
-    ON c.DSCode = s.DSCode AND c.leg = s.leg AND c.d = days.d""")
+  FROM (SELECT *, day.d AS d, day.h AS h FROM (SELECT *, unnest((SELECT list(days) FROM days)) AS day
+          FROM (SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
+                UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) x) y) s
+  LEFT JOIN cells c ON c.DSCode = s.DSCode AND c.leg = s.leg AND c.Date = s.d"""),
+}
 
 
 def with_ctes(body: str, *needs: str) -> str:
