@@ -9,10 +9,9 @@ from __future__ import annotations
 
 import re
 import warnings
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +50,30 @@ def registry_codes(registry) -> list:
     return sorted({c for p in registry for c in p.codes()})
 
 
-@contextmanager
-def _division_by_zero_is_null(spark: SparkSession):
-    # Arithmetic created while ANSI is off keeps that evaluation mode in the
-    # analysed plan: x / 0 evaluates to NULL. Restored right after analysis.
-    old = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", old)
+# What may follow a division sign: a sign, then a name or number, or the name of a function.
+_DIVISOR = re.compile(r"\s*[+-]?\s*(?:[A-Za-z_][\w.]*|`[^`]+`|\d*\.?\d+(?:[eE][+-]?\d+)?)?\s*")
+
+
+def null_on_zero(formula: str) -> str:
+    """The formula with every divisor ``x`` as ``nullif(x, 0)``, so that a division by zero
+    is NULL whatever the session's ANSI setting."""
+    out, i = [], 0
+    while i < len(formula):
+        out.append(formula[i])
+        i += 1
+        if out[-1] not in "/%":
+            continue
+        end = _DIVISOR.match(formula, i).end()
+        if formula[end:end + 1] == "(":
+            depth = 0
+            for end in range(end, len(formula)):
+                depth += {"(": 1, ")": -1}.get(formula[end], 0)
+                if depth == 0:
+                    break
+            end += 1
+        out.append(f" nullif({null_on_zero(formula[i:end]).strip()}, 0) ")
+        i = end
+    return "".join(out)
 
 
 def apply_registry(df: DataFrame, registry=DEFAULT_REGISTRY):
@@ -71,15 +84,14 @@ def apply_registry(df: DataFrame, registry=DEFAULT_REGISTRY):
     """
     known = set(ITEM_NAMES.values()) | {p.name for p in registry}
     computed, skipped = [], []
-    with _division_by_zero_is_null(df.sparkSession):
-        for p in registry:
-            missing = sorted(c for c in p.needed_columns(known) if c not in df.columns)
-            if missing:
-                warnings.warn(f"skip predictor {p.name}: missing inputs {missing}")
-                skipped.append(p.name)
-                continue
-            df = df.withColumn(p.name, F.expr(p.formula).cast("double"))
-            computed.append(p.name)
+    for p in registry:
+        missing = sorted(c for c in p.needed_columns(known) if c not in df.columns)
+        if missing:
+            warnings.warn(f"predictor {p.name} left out, no column {', '.join(missing)}")
+            skipped.append(p.name)
+            continue
+        df = df.withColumn(p.name, F.expr(null_on_zero(p.formula)).cast("double"))
+        computed.append(p.name)
     return df, computed, skipped
 
 

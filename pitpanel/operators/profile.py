@@ -38,6 +38,11 @@ def shape(df: DataFrame) -> dict:
     return {"rows": df.count(), "columns": df.columns, "dtypes": df.dtypes}
 
 
+def shape_row(df: DataFrame) -> DataFrame:
+    """Row and column count of a table as one row (AG15)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
+
+
 def profile_columns(df: DataFrame, cols=None, k: int = 10):
     """CJ9: NULL/distinct counts of ``cols`` (default: the last two columns)
     in one pass, plus the top-k values of each column."""

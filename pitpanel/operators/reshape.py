@@ -54,8 +54,10 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     ``chain``: inner equi-joins of one part per item on ``keys`` — the
     faithful form: duplicates of a (key, item) multiply and NULL keys drop;
     one shuffle per item part.
+    ``split``: the rows of ``chain``, but company-periods whose items are all
+    unique come from one aggregation and only the others are joined.
     ``pivot``: one grouped aggregation (a single shuffle, partial before
-    it); equal to ``chain`` only when (key, item) is unique.
+    it); fails when a (key, item) has several rows.
     ``dedup``: per (key, item) the value of the first row by ``order_cols``
     (ties: smallest value), inside the same single aggregation.
     A company-period appears only when every item has a row (presence by
@@ -67,8 +69,22 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
         return reduce(lambda a, b: a.join(b, list(keys), "inner"), parts)
     item = F.col(item_col)
     num = to_number(value_col, strict)
+    rows_of = {c: F.count_if(item == c) for c in codes}
+    if mode == "split":
+        wide = (df.where(item.isin(codes))
+                .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+                .groupBy(*keys)
+                .agg(*[F.max(F.when(item == c, num)).alias(item_column(c)) for c in codes],
+                     F.least(*rows_of.values(), F.lit(1)).alias("_least"),
+                     F.greatest(*rows_of.values(), F.lit(1)).alias("_most"))
+                .where("_least = 1"))
+        several = wide.where("_most > 1").select(*keys)
+        return (wide.where("_most = 1").drop("_least", "_most")
+                .unionByName(items_wide(df.join(several, list(keys), "left_semi"), codes, "chain", keys,
+                                        item_col, value_col, strict=strict)))
     if mode == "pivot":
-        pick = [F.max(F.when(item == c, num)).alias(item_column(c)) for c in codes]
+        pick = [F.when(rows_of[c] > 1, F.raise_error(F.lit(f"item {c} has several rows in a company-period")))
+                .otherwise(F.max(F.when(item == c, num))).cast("double").alias(item_column(c)) for c in codes]
     elif mode == "dedup":
         # Only the picked value is output, so ties on the order columns are
         # broken by the value itself: deterministic, and a small sort key.
@@ -82,7 +98,7 @@ def items_wide(df: DataFrame, codes, mode: str = "chain", keys=ITEM_KEYS,
     return (df.where(item.isin(codes))
             .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
             .groupBy(*keys)
-            .agg(*pick, *[(F.count_if(item == c) > 0).alias(f"_has_{c}") for c in codes])
+            .agg(*pick, *[(rows_of[c] > 0).alias(f"_has_{c}") for c in codes])
             .where(present)
             .drop(*[f"_has_{c}" for c in codes]))
 

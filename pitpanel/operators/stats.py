@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _histogram(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+def _histogram(df: DataFrame, group_col: str, value_col: str, count_col: str | None = None) -> DataFrame:
     """``(group, value, count)`` with a running count of non-NULL values per
     group (``_cum``) and the group's non-NULL total (``_n``).
 
@@ -20,7 +20,7 @@ def _histogram(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     v = F.col(value_col)
     if not isinstance(df.schema[value_col].dataType, T.IntegralType):
         raise TypeError(f"{value_col} must be integral (a day count); got {df.schema[value_col].dataType}")
-    hist = df.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    hist = df.groupBy(group_col, value_col).agg(F.sum(_weight(count_col)).alias("_c"))
     nn = F.when(v.isNotNull(), F.col("_c")).otherwise(F.lit(0))
     w_cum = Window.partitionBy(group_col).orderBy(F.col(value_col).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -29,6 +29,11 @@ def _histogram(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
             .withColumn("_n", F.sum("_nn").over(Window.partitionBy(group_col))))
 
 
+def _weight(count_col: str | None):
+    """Rows that one input row stands for: ``count_col`` (an input already grouped), else one."""
+    return F.col(count_col) if count_col else F.lit(1).cast("bigint")
+
+
 def _value_at_rank(rank, value_col: str):
     """Smallest value whose running count reaches ``rank`` (1-based)."""
     return F.min(F.when((F.col("_nn") > 0) & (F.col("_cum") >= rank), F.col(value_col)))
@@ -76,7 +81,8 @@ def nearest_quantiles(df: DataFrame, group_col: str, value_col: str,
 
 
 def distribution_panel(df: DataFrame, group_col: str, value_col: str,
-                       std_digits: int | None = None, interpolation: str = "nearest") -> DataFrame:
+                       std_digits: int | None = None, interpolation: str = "nearest",
+                       count_col: str | None = None) -> DataFrame:
     """Mean (1 decimal), exact median, sample std and 10th/90th percentile
     per group (AG1-AG5), sorted by group with NULL first (ST1). Percentiles
     use ``interpolation`` (default nearest rank, see ``_quantile``).
@@ -87,7 +93,7 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
     median is the midpoint of the values at ranks floor((n+1)/2) and
     ceil((n+1)/2).
     """
-    hist = _histogram(df, group_col, value_col)
+    hist = _histogram(df, group_col, value_col, count_col)
     dec = T.DecimalType(38, 0)
     v = F.col(value_col).cast(T.DecimalType(20, 0))
     c = F.col("_nn").cast(T.DecimalType(20, 0))
@@ -113,13 +119,14 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
         .orderBy(F.col(group_col).asc_nulls_first()))
 
 
-def availability_panel(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+def availability_panel(df: DataFrame, group_col: str, value_col: str, count_col: str | None = None) -> DataFrame:
     """Rows, late (> 0) and available (<= 0) counts and their percentages
     per group (AG6-AG8). N counts rows with a NULL lag too."""
     v = F.col(value_col)
-    n = F.count(F.lit(1))
-    late = F.count_if(v > 0)
-    avail = F.count_if(v <= 0)
+    w, none = _weight(count_col), F.lit(0).cast("bigint")
+    n = F.sum(w)
+    late = F.sum(F.when(v > 0, w).otherwise(none))
+    avail = F.sum(F.when(v <= 0, w).otherwise(none))
     return (df.groupBy(group_col).agg(
         n.alias("N"),
         late.alias("FF92_not_available"),
@@ -129,8 +136,8 @@ def availability_panel(df: DataFrame, group_col: str, value_col: str) -> DataFra
         .orderBy(F.col(group_col).asc_nulls_first()))
 
 
-def sign_counts(df: DataFrame, value_col: str) -> DataFrame:
+def sign_counts(df: DataFrame, value_col: str, count_col: str | None = None) -> DataFrame:
     """Counts on-or-before and after in one pass (AG10)."""
-    v = F.col(value_col)
-    return df.agg(F.count_if(v <= 0).alias("n_on_or_before_ff92"),
-                  F.count_if(v > 0).alias("n_after_ff92"))
+    v, w, none = F.col(value_col), _weight(count_col), F.lit(0).cast("bigint")
+    return df.agg(F.coalesce(F.sum(F.when(v <= 0, w)), none).alias("n_on_or_before_ff92"),
+                  F.coalesce(F.sum(F.when(v > 0, w)), none).alias("n_after_ff92"))

@@ -134,6 +134,15 @@ def q_lag_counts(spark, d):
     return lag.lag_counts(_features(_t(spark, d)))
 
 
+def q_panel_set(spark, d):
+    """CJ4, CJ5 as the job runs them: the distributions of all four panels from one histogram."""
+    from functools import reduce
+    from pitpanel.plans.jobs import panels
+    done = panels(_final_no_cols(_t(spark, d)), STD_DIGITS)
+    names = ("panel_A_diff_pit_to_fye", "panel_B_diff_pit_to_ff92", "panel_after_ff92_only", "panel_before_ff92_only")
+    return reduce(DataFrame.unionByName, [done[n].select(F.lit(n).alias("panel"), "*") for n in names])
+
+
 # --- items and predictors -------------------------------------------------------
 
 def q_items_wide_chain(spark, d):
@@ -143,16 +152,34 @@ def q_items_wide_chain(spark, d):
     return items_wide(materialize(_final(_t(spark, d)), "final"), ACC_CODES, mode="chain")
 
 
-def q_items_wide_pivot(spark, d):
+def q_items_wide_split(spark, d):
+    from pitpanel.plans.jobs import materialize
+    return items_wide(materialize(_final(_t(spark, d)), "final"), ACC_CODES, mode="split")
+
+
+def q_items_wide_dedup(spark, d):
     return items_wide(_final(_t(spark, d)), ACC_CODES, mode="dedup", order_cols=DEDUP_ORDER)
 
 
+def q_items_wide_pivot(spark, d):
+    """The checked pivot, on one row per company-period and item."""
+    one = (_final(_t(spark, d)).groupBy(*ITEM_KEYS, "item_code")
+           .agg(F.min(F.struct(*DEDUP_ORDER))["value"].alias("value")))
+    return items_wide(one, ACC_CODES, mode="pivot")
+
+
 def q_items_wide_fallback(spark, d):
-    return pr.predictors_from_wide(_final(_t(spark, d)))
+    """RS4: items from the ``cal1_<code>`` columns of a wide table."""
+    wide = _final(_t(spark, d)).groupBy(*ITEM_KEYS).agg(*[
+        F.min(F.when(F.col("item_code") == c, F.struct(*DEDUP_ORDER)))["value"].alias(f"cal1_{c}") for c in ACC_CODES])
+    return pr.predictors_from_wide(wide)
 
 
 def q_predictor_acc(spark, d):
-    return pr.predictors(_final(_t(spark, d)), mode="dedup", order_cols=DEDUP_ORDER)
+    """CJ7: the default registry, duplicates of an item multiplied as joins do."""
+    from pitpanel.plans.jobs import materialize
+    final = _final(_t(spark, d)).where(F.col("item_code").isin(ACC_CODES)).select(*ITEM_KEYS, "item_code", "value")
+    return pr.predictors(materialize(final, "acc-items"), mode="split")
 
 
 # A registry with a dependent formula and one whose input item is absent.
@@ -172,7 +199,7 @@ def q_predictor_registry(spark, d):
 
 
 def q_predictor_columns(spark, d):
-    df = q_predictor_acc(spark, d)
+    df = pr.predictors(_final(_t(spark, d)), mode="dedup", order_cols=DEDUP_ORDER)
     return df.select(*ITEM_KEYS, *predictor_columns(df))
 
 
@@ -243,6 +270,10 @@ def q_profile_top10(spark, d):
     return prof.top_values(_merged(_t(spark, d)), "cal2_55559", 10)
 
 
+def q_table_shape(spark, d):
+    return prof.shape_row(_merged(_t(spark, d)))
+
+
 def q_value_counts(spark, d):
     f = _final(_t(spark, d))
     return prof.value_counts(f.where(F.col("item_code") == 2003), "freq")
@@ -319,6 +350,25 @@ def q_parquet_append(spark, d):
     return read_parquet_folder(spark, root)
 
 
+def q_panel_append(spark, d):
+    """SK5: the price panels of both currencies into one dataset, in one write."""
+    t = _t(spark, d)
+    panel = px.price_panel(fx.price_ri(t), fx.price_mv(t))
+    root = work_dir(spark, "panels")
+    sinks.append_frames([panel.where(F.col("Currency") == c) for c in ("LC", "USD")], root)
+    return spark.read.parquet(root)
+
+
+def q_skip_existing(spark, d):
+    """SK6: the second run of a job leaves the written output alone."""
+    from pitpanel.plans.jobs import matching_job
+    rows, root = fx.match_rows(_t(spark, d)), work_dir(spark, "skip")
+    for part, name in ((rows, "first"), (rows.where(F.lit(False)), "second")):
+        part.write.option("header", "true").csv(f"{root}/{name}")
+        matching_job(spark, f"{root}/{name}", f"{root}/out", if_exists="skip")
+    return spark.read.parquet(f"{root}/out")
+
+
 def q_csv_roundtrip(spark, d):
     """SK2: a result panel to CSV with header, read back with its schema."""
     df = q_panel_c_merged(spark, d)
@@ -357,8 +407,11 @@ QUERIES = {
     "panel_after": q_panel_after,
     "panel_before": q_panel_before,
     "lag_counts": q_lag_counts,
+    "panel_set": q_panel_set,
     "items_wide_chain": q_items_wide_chain,
+    "items_wide_split": q_items_wide_split,
     "items_wide_pivot": q_items_wide_pivot,
+    "items_wide_dedup": q_items_wide_dedup,
     "items_wide_fallback": q_items_wide_fallback,
     "predictor_acc": q_predictor_acc,
     "predictor_registry": q_predictor_registry,
@@ -374,6 +427,7 @@ QUERIES = {
     "attach_item": q_attach_item,
     "profile_nulls": q_profile_nulls,
     "profile_top10": q_profile_top10,
+    "table_shape": q_table_shape,
     "value_counts": q_value_counts,
     "head_export": q_head_export,
     "fundamentals_from_files": q_fundamentals_from_files,
@@ -382,6 +436,8 @@ QUERIES = {
     "price_panel_from_files": q_price_panel_from_files,
     "matching_from_files": q_matching_from_files,
     "parquet_append": q_parquet_append,
+    "panel_append": q_panel_append,
+    "skip_existing": q_skip_existing,
     "csv_roundtrip": q_csv_roundtrip,
     "stream_ingest": q_stream_ingest,
 }

@@ -5,6 +5,9 @@ share an expensive input (the three lag panels), the input is written
 once as a table under the cluster's shared checkpoint folder and read
 back: the lineage is cut, the shared work runs once, and a lost executor
 only re-runs tasks of the current stage instead of the whole chain.
+
+With ``if_exists="skip"`` a job leaves an output alone that was written
+completely before (SK6).
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pitpanel.plans import prices as px
 from pitpanel.plans.predictors import predictors, predictors_from_wide
 from pitpanel.session import work_dir
 from pitpanel.sources import sinks
+from pitpanel.sources._fs import is_complete
 from pitpanel.sources.fundamentals import read_fundamentals
 from pitpanel.sources.items import available_items, read_items
 from pitpanel.sources.matching import read_matching_csv
@@ -34,6 +38,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _skipped(spark: SparkSession, out: str, if_exists: str) -> bool:
+    if if_exists not in ("overwrite", "skip"):
+        raise ValueError("if_exists is 'overwrite' or 'skip'")
+    return if_exists == "skip" and is_complete(spark, out)
+
+
 def _write_counted(df: DataFrame, out: str, writer=sinks.write_parquet) -> int:
     """Write and return the number of rows handed to the writer (SK7: an
     observed metric filled by the write itself, no extra job; the item
@@ -43,53 +53,64 @@ def _write_counted(df: DataFrame, out: str, writer=sinks.write_parquet) -> int:
     return obs.get["rows"]
 
 
-def matching_job(spark: SparkSession, matching_dir: str, out: str) -> int:
+def matching_job(spark: SparkSession, matching_dir: str, out: str, if_exists: str = "overwrite") -> int:
     """CJ2: matching CSVs -> latest row per (DSCD, WC06105). Returns rows written."""
+    if _skipped(spark, out, if_exists):
+        return 0
     return _write_counted(px.matching_table(read_matching_csv(spark, matching_dir)), out)
 
 
-def price_job(spark: SparkSession, ds_root: str, matching_path: str, out: str) -> int:
+def price_job(spark: SparkSession, ds_root: str, matching_path: str, out: str,
+              if_exists: str = "overwrite") -> int:
     """CJ1: wide price files -> paired legs -> panel with matching columns.
     Returns rows written."""
+    if _skipped(spark, out, if_exists):
+        return 0
     ri, mv = split_legs(wide_prices_long(spark, ds_root))
     matching = spark.read.parquet(matching_path)
     return _write_counted(px.price_panel(ri, mv, matching), out)
 
 
 def fundamentals_job(spark: SparkSession, ws_root: str, items_out: str,
-                     facts_kind: str = "WSFV") -> int:
+                     facts_kind: str = "WSFV", if_exists: str = "overwrite") -> int:
     """CJ3: fundamentals files -> periods attached and filtered -> one folder
     per item. Returns rows written."""
+    if _skipped(spark, items_out, if_exists):
+        return 0
     k = read_fundamentals(spark, ws_root, [facts_kind, "WSCalendarPrd", "WSReportedPrd"])
     final = fu.fundamentals(k[facts_kind], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
     return _write_counted(final, items_out, sinks.write_by_item)
 
 
 def panels(final_no_cols: DataFrame, std_digits=None) -> dict:
-    """CJ4-CJ6 from one prepared (materialized) feature table."""
-    feats = materialize(lag.lag_features(final_no_cols), "lag-features")
+    """CJ4-CJ6 from one small table, the lags' histogram: the facts are read once."""
+    hist = materialize(lag.lag_histogram(lag.lag_features(final_no_cols)), "lag-histogram")
     return {
-        "panel_A_diff_pit_to_fye": lag.panel_a(feats, std_digits),
-        "panel_B_diff_pit_to_ff92": lag.panel_b(feats, std_digits),
-        "panel_C_availability_at_FF92": lag.panel_c(feats),
-        "panel_after_ff92_only": lag.panel_after(feats, std_digits),
-        "panel_before_ff92_only": lag.panel_before(feats, std_digits),
-        "lag_counts": lag.lag_counts(feats),
+        "panel_A_diff_pit_to_fye": lag.panel_a(hist, std_digits, "n"),
+        "panel_B_diff_pit_to_ff92": lag.panel_b(hist, std_digits, "n"),
+        "panel_C_availability_at_FF92": lag.panel_c(hist, "n"),
+        "panel_after_ff92_only": lag.panel_after(hist, std_digits, "n"),
+        "panel_before_ff92_only": lag.panel_before(hist, std_digits, "n"),
+        "lag_counts": lag.lag_counts(hist, "n"),
     }
 
 
-def panels_job(spark: SparkSession, final_path: str, out_dir: str) -> None:
+def panels_job(spark: SparkSession, final_path: str, out_dir: str, if_exists: str = "overwrite") -> None:
     """Write every panel as a CSV with header (SK2)."""
+    if _skipped(spark, f"{out_dir}/lag_counts", if_exists):          # the last one written
+        return
     for name, df in panels(spark.read.parquet(final_path)).items():
         sinks.write_panel_csv(df, f"{out_dir}/{name}")
 
 
 def predictors_job(spark: SparkSession, items_dir: str, out: str,
-                   registry=DEFAULT_REGISTRY, mode: str = "chain",
-                   wide_path: str | None = None) -> None:
+                   registry=DEFAULT_REGISTRY, mode: str = "split",
+                   wide_path: str | None = None, if_exists: str = "overwrite") -> None:
     """CJ7: needed items (missing ones warned and skipped) -> one row per
     company-period -> dates -> formulas. Without any item partition, the
     wide table's ``cal1_<code>`` columns are used (RS4)."""
+    if _skipped(spark, out, if_exists):
+        return
     codes = available_items(spark, items_dir, registry_codes(registry))
     if codes:
         df = predictors(read_items(spark, items_dir, codes), registry, mode=mode, codes=codes)
@@ -101,7 +122,9 @@ def predictors_job(spark: SparkSession, items_dir: str, out: str,
 
 
 def attach_item_job(spark: SparkSession, panel_path: str, items_dir: str, code: int,
-                    out: str) -> None:
+                    out: str, if_exists: str = "overwrite") -> None:
     """CJ8: price panel + one item's value on (company, exact date)."""
+    if _skipped(spark, out, if_exists):
+        return
     item = read_items(spark, items_dir, [code]).withColumn("point_date", F.col("point_date").cast("date"))
     sinks.write_parquet(attach_item(spark.read.parquet(panel_path), item, f"WS{code}_PIT"), out)

@@ -28,28 +28,34 @@ def lag_features(df: DataFrame, strict: bool = True) -> DataFrame:
     return attach_year_bins(d)
 
 
-def panel_a(features: DataFrame, std_digits=None) -> DataFrame:
+def lag_histogram(features: DataFrame) -> DataFrame:
+    """Rows ``n`` per bin and pair of day lags: what every panel needs of the facts, combined
+    map-side and bounded by bins and days, not by rows. Panels take it with ``count_col="n"``."""
+    return features.groupBy("fye_bin", "diff_to_fye", "diff_to_ff92").agg(F.count(F.lit(1)).alias("n"))
+
+
+def panel_a(features: DataFrame, std_digits=None, count_col=None) -> DataFrame:
     """Distribution of days from fiscal year end to availability, per bin."""
-    return distribution_panel(features, "fye_bin", "diff_to_fye", std_digits)
+    return distribution_panel(features, "fye_bin", "diff_to_fye", std_digits, count_col=count_col)
 
 
-def panel_b(features: DataFrame, std_digits=None) -> DataFrame:
+def panel_b(features: DataFrame, std_digits=None, count_col=None) -> DataFrame:
     """Distribution of days from the six-month date to availability, per bin."""
-    return distribution_panel(features, "fye_bin", "diff_to_ff92", std_digits)
+    return distribution_panel(features, "fye_bin", "diff_to_ff92", std_digits, count_col=count_col)
 
 
-def panel_c(features: DataFrame) -> DataFrame:
+def panel_c(features: DataFrame, count_col=None) -> DataFrame:
     """Share of company-periods not yet known at the six-month date, per bin."""
-    return availability_panel(features, "fye_bin", "diff_to_ff92")
+    return availability_panel(features, "fye_bin", "diff_to_ff92", count_col)
 
 
-def panel_after(features: DataFrame, std_digits=None) -> DataFrame:
-    return distribution_panel(lag_after(features), "fye_bin", "diff_to_ff92", std_digits)
+def panel_after(features: DataFrame, std_digits=None, count_col=None) -> DataFrame:
+    return distribution_panel(lag_after(features), "fye_bin", "diff_to_ff92", std_digits, count_col=count_col)
 
 
-def panel_before(features: DataFrame, std_digits=None) -> DataFrame:
-    return distribution_panel(lag_on_or_before(features), "fye_bin", "diff_to_ff92", std_digits)
+def panel_before(features: DataFrame, std_digits=None, count_col=None) -> DataFrame:
+    return distribution_panel(lag_on_or_before(features), "fye_bin", "diff_to_ff92", std_digits, count_col=count_col)
 
 
-def lag_counts(features: DataFrame) -> DataFrame:
-    return sign_counts(features, "diff_to_ff92")
+def lag_counts(features: DataFrame, count_col=None) -> DataFrame:
+    return sign_counts(features, "diff_to_ff92", count_col)

@@ -135,6 +135,13 @@ CTES = {
 }
 
 
+CTES["wide_items"] = (["final_dedup"], "SELECT *, " + ", ".join(
+    f"CAST(replace(cal1_{c}, '\"', '') AS DOUBLE) AS {n}" for c, n in _ACC_ITEMS) + " FROM ("
+    "SELECT ws_id, point_date, freq, fiscal_period, cal1_55350, " + ", ".join(
+    f"max(value) FILTER (WHERE item_code = {c}) AS cal1_{c}" for c, _ in _ACC_ITEMS)
+    + " FROM final_dedup GROUP BY ws_id, point_date, freq, fiscal_period, cal1_55350) w")
+
+
 def with_ctes(body: str, *needs: str) -> str:
     order: list = []
 
@@ -152,8 +159,8 @@ def with_ctes(body: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order) + "\n" + body
 
 
-def _distribution(src, col, where=""):
-    return with_ctes(f"""SELECT b.fye_bin, Mean, Median, StdDev, q."10thPct", q."90thPct" FROM
+def _distribution_body(src, col, where=""):
+    return f"""SELECT b.fye_bin, Mean, Median, StdDev, q."10thPct", q."90thPct" FROM
  (SELECT fye_bin, round(avg({col}), 1) AS Mean, CAST(median({col}) AS DOUBLE) AS Median,
          round(stddev_samp({col}), 6) AS StdDev FROM {src} {where} GROUP BY fye_bin) b
  LEFT JOIN
@@ -164,7 +171,16 @@ def _distribution(src, col, where=""):
                count(*) OVER (PARTITION BY fye_bin) AS n
         FROM {src} {where} {'AND' if where else 'WHERE'} {col} IS NOT NULL) r
   GROUP BY fye_bin) q
- ON b.fye_bin IS NOT DISTINCT FROM q.fye_bin""", src)
+ ON b.fye_bin IS NOT DISTINCT FROM q.fye_bin"""
+
+
+def _distribution(src, col, where=""):
+    return with_ctes(_distribution_body(src, col, where), src)
+
+
+_PANELS = (("panel_A_diff_pit_to_fye", "diff_to_fye", ""), ("panel_B_diff_pit_to_ff92", "diff_to_ff92", ""),
+           ("panel_after_ff92_only", "diff_to_ff92", "WHERE diff_to_ff92 > 0"),
+           ("panel_before_ff92_only", "diff_to_ff92", "WHERE diff_to_ff92 <= 0"))
 
 
 def _availability(src):
@@ -209,11 +225,22 @@ SQL = {
     "lag_counts": with_ctes("""SELECT CAST(sum(CASE WHEN diff_to_ff92 <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_on_or_before_ff92,
  CAST(sum(CASE WHEN diff_to_ff92 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_after_ff92 FROM features""", "features"),
     "items_wide_chain": with_ctes(_chain("final"), "final"),
+    "items_wide_split": with_ctes(_chain("final"), "final"),
+    "items_wide_dedup": with_ctes(_pivot("final_dedup"), "final_dedup"),
+    "panel_set": with_ctes(" UNION ALL ".join(
+        f"SELECT '{n}' AS panel, * FROM ({_distribution_body('features', c, w)}) p" for n, c, w in _PANELS), "features"),
+    "table_shape": with_ctes("""SELECT count(*) AS n_rows,
+ CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM merged)) AS INTEGER) AS n_columns FROM merged""", "merged"),
+    "panel_append": with_ctes("SELECT * FROM price_join_v", "price_join_v"),
+    "skip_existing": with_ctes("""SELECT DSCD, WC06105, CAST(GEOGC AS VARCHAR) AS GEOGC, CAST(ISIN AS VARCHAR) AS ISIN, TIME
+ FROM (SELECT *, row_number() OVER (PARTITION BY DSCD, WC06105 ORDER BY t DESC NULLS LAST, CAST(ISIN AS VARCHAR)) AS rn
+       FROM fx_match) x WHERE rn = 1""", "fx_match"),
     "items_wide_pivot": with_ctes(_pivot("final_dedup"), "final_dedup"),
-    "items_wide_fallback": with_ctes(_dates("SELECT * FROM final"), "final"),
+    "items_wide_fallback": with_ctes(
+        f"SELECT *, (CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_dates('SELECT * FROM wide_items')}) p",
+        "wide_items"),
     "predictor_acc": with_ctes(
-        f"SELECT *, (CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_dates(_pivot('final_dedup'))}) p",
-        "final_dedup"),
+        f"SELECT *, (CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_dates(_chain('final'))}) p", "final"),
     "predictor_registry": with_ctes(
         "SELECT *, Acc * 100 AS AccPct FROM ("
         f"SELECT *, (CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_dates(_chain('final_no_cols'))}) p) a",

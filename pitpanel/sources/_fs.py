@@ -21,6 +21,18 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> list:
     return out
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def uri_path(spark: SparkSession, root: str) -> str:
+    """The path part of ``root``'s full URI."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().getPath()
+
+
 def list_dirs(spark: SparkSession, root: str) -> list:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pitpanel.functions import header_date_text, lenient_double, parse_date
 from pitpanel.schemas import (CURRENCY_TAGS, INDEX_FOLDER_MARK, LEG_TAG_PATTERN, MV_TAG,
                               PRICE_ID_COLUMN, PRICE_META_COLUMNS)
+from pitpanel.sources._fs import uri_path
 
 
 def _unquote(c: Column) -> Column:
@@ -37,8 +38,8 @@ def read_price_lines(spark: SparkSession, root: str) -> DataFrame:
              .select(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")).alias("file"),
                      F.col("value").alias("line")))
     parent = F.element_at(F.split("file", "/"), -2)
-    root_path = root_s.split(":", 1)[-1] if root_s.startswith("file:") else root_s
-    rel = F.substring_index("file", root_path, -1)       # data-relative path
+    # what follows the root in the file's URI
+    rel = F.coalesce(F.get(F.split("file", "\\Q" + uri_path(spark, root_s) + "\\E", 2), F.lit(1)), "file")
     return (lines.where(~parent.contains(INDEX_FOLDER_MARK))
             .withColumn("rel_path", rel))
 

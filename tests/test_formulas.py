@@ -46,3 +46,17 @@ def test_profile_and_shape(spark):
     assert sorted(tuple(r) for r in value_counts(df, "p").collect()) == [("a", 2)]
     s = shape(df)
     assert s["rows"] == 3 and s["columns"] == ["p", "q"]
+
+
+def test_divisors_are_null_on_zero(spark):
+    from pitpanel.operators.formulas import null_on_zero
+    assert null_on_zero("a / (b - c / d) % -abs(x) + 1").replace(" ", "") == \
+        "a/nullif((b-c/nullif(d,0)),0)%nullif(-abs(x),0)+1"
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    df = spark.createDataFrame([(1.0, 0.0), (6.0, 3.0)], "CA double, TA double")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        out, _, _ = apply_registry(df, (Predictor("R", "CA / TA / 2"),))
+        assert sorted(out.select("CA", "R").collect()) == [(1.0, None), (6.0, 1.0)]
+        assert spark.conf.get("spark.sql.ansi.enabled") == ansi
+    spark.conf.set("spark.sql.ansi.enabled", old)

@@ -34,6 +34,7 @@ def test_price_and_matching_jobs(spark):
     fx.match_rows(t).write.option("header", "true").csv(m)
     assert pl.matching_job(spark, m, out + "/match") > 0
     assert pl.price_job(spark, ds, out + "/match", out + "/panel") > 0
+    assert pl.price_job(spark, ds, out + "/match", out + "/panel", if_exists="skip") == 0
     assert spark.read.parquet(out + "/panel").count() == q_price_panel_from_files(spark, SF).count()
     assert spark.read.parquet(out + "/match").count() == q_matching_from_files(spark, SF).count()
 

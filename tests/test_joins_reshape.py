@@ -103,6 +103,19 @@ def test_pivot_equals_chain_on_unique(spark):
     assert sorted(map(tuple, a)) == sorted(tuple(r[c] for c in a[0].__fields__) for r in b)
 
 
+def test_split_equals_chain_and_pivot_checks(spark):
+    import pytest
+    rows = [("a", 2201, "1"), ("a", 6699, "2"), ("b", 2201, "3"), ("b", 2201, "4"), ("b", 6699, "5"),
+            ("c", 2201, "6"), (None, 2201, "7"), (None, 6699, "8")]
+    df = spark.createDataFrame([(w, D, "A", 2020, "m", c, v) for w, c, v in rows],
+                               "ws_id string, point_date date, freq string, fiscal_period int, cal1_55350 string, "
+                               "item_code int, value string")
+    got = {m: sorted(map(tuple, items_wide(df, [2201, 6699], m).collect())) for m in ("chain", "split")}
+    assert got["chain"] == got["split"] and len(got["chain"]) == 3
+    with pytest.raises(Exception, match="several rows"):
+        items_wide(df, [2201, 6699], "pivot").collect()
+
+
 def test_presence_by_row(spark):
     df = _items(spark, [(2201, '"1"', 1)])
     assert items_wide(df, [2201, 6699], "pivot").count() == 0
