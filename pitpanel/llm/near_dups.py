@@ -15,9 +15,10 @@ a pair at similarity 0.8 misses every bucket with probability 7e-6. A bucket of
 turned into n**2 pairs: all its members are compared exactly with one leader, the member that
 meets most texts over all its buckets (of a text and its edited copies, the text); ``rounds``
 more leaders follow, each the next such member that is not yet in the component of an earlier
-leader, and each compared only with members of other components. So a bucket with up to
-``rounds`` + 1 components is searched completely; beyond that, a link between two texts is found
-only if one of them led a bucket that they share. Linked texts (similarity
+leader, and each compared with the other such members. So a link between two texts is found if one
+of them led a bucket that they share, and their class is right without it where other links join
+them; a text that is similar only to members of a leader's component, not to a leader, may stay
+apart. Linked texts (similarity
 >= ``threshold``, counted exactly) form classes, the connected components.
 
 Defined cases: exact copies (equal texts) are one node whatever their number; a NULL or empty text, or

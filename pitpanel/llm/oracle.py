@@ -1,3 +1,22 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+# Near duplicates by counting the shared five-word shingles of every pair of distinct texts that
+# shares one, then the pairs' transitive closure.
+NEAR_DUPS = r"""WITH RECURSIVE
+docs AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS c FROM documents),
+word_lists AS (SELECT c, regexp_extract_all(
+    translate(any_value(text), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM docs GROUP BY c),
+shingles AS (SELECT DISTINCT c, hash(array_to_string(ws[i:i + 4], ' ')) AS g
+  FROM (SELECT c, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM word_lists WHERE len(ws) > 0) x),
+sizes AS (SELECT c, count(*) AS n FROM shingles GROUP BY c),
+common AS (SELECT a.c AS a, b.c AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.g = b.g AND a.c < b.c GROUP BY 1, 2),
+pairs AS (SELECT a, b FROM common JOIN sizes x ON x.c = a JOIN sizes y ON y.c = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT a AS c, a AS d FROM links UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.d),
+named AS (SELECT c, min(d) AS class FROM reach GROUP BY c),
+members AS (SELECT doc_id, coalesce(class, docs.c) AS class FROM docs LEFT JOIN named ON named.c = docs.c)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY class) AS class_id, count(*) OVER (PARTITION BY class) AS class_size
+FROM members"""
+
+SQL: dict[str, str] = {"op1_near_dups": NEAR_DUPS}

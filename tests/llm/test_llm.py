@@ -71,6 +71,17 @@ def brute_classes(rows):
     return {i: min(g) for g in out.values() for i in g}
 
 
+def test_near_dups_match_sql(spark):
+    import duckdb
+    from pitpanel.llm.oracle import SQL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = QUERIES["op1_near_dups"](spark, SF)
+    want = con.execute(SQL["op1_near_dups"])
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_near_dups_match_brute_force(docs, rows):
     got = {r.doc_id: r.class_id for r in near_dups.classes(docs).collect()}
     assert got == brute_classes(rows)
