@@ -15,10 +15,10 @@ a pair at similarity 0.8 misses every bucket with probability 7e-6. A bucket of
 turned into n**2 pairs: all its members are compared exactly with one leader, the member that
 meets most texts over all its buckets (of a text and its edited copies, the text); ``rounds``
 more leaders follow, each the next such member that is not yet in the component of an earlier
-leader, and each compared with the other such members. So a link between two texts is found if one
-of them led a bucket that they share, and their class is right without it where other links join
-them; a text that is similar only to members of a leader's component, not to a leader, may stay
-apart. Linked texts (similarity
+leader, and each compared with the other such members. What the leaders leave open is joined exactly:
+the members of every bucket of three or more that still holds several components, led or not, are
+joined by the rare shingles of each text (``rest_pairs``), so every two texts that share a bucket and
+reach the threshold end in one class. Linked texts (similarity
 >= ``threshold``, counted exactly) form classes, the connected components.
 
 Defined cases: exact copies (equal texts) are one node whatever their number; a NULL or empty text, or
@@ -42,6 +42,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 ROUNDS = 3
+BINS = 1 << 20         # counters that order shingles by frequency; they bear on cost only, not on pairs
 U = np.uint64
 
 
@@ -174,6 +175,68 @@ def components(links: DataFrame, name: str = "components", max_rounds: int = 60)
     raise RuntimeError("components did not settle; raise max_rounds")
 
 
+def _elements(batches, k: int, weights: str):
+    """(nodes, element hashes, text index, elements per text) by chunk of (node, class, text) batches; with
+    ``"count"`` every further occurrence of a shingle is an element of its own."""
+    for b in batches:
+        data, offs = S.utf8(b.column("text"))
+        for i, j in S.chunks(offs):
+            h, t = S.words(data, offs[i:j + 1])
+            g, t, times = S.shingle_sets(h, t, j - i, k)
+            if weights == "count":
+                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                with np.errstate(over="ignore"):
+                    g = np.repeat(g, times) + nth.astype(U) * (S.stream(1, 47)[0] | U(1))
+                t = np.repeat(t, times)
+            yield b.slice(i, j - i), g, t, np.bincount(t, minlength=j - i)
+
+
+def rest_pairs(rest: DataFrame, k: int, threshold: float, weights: str) -> DataFrame:
+    """(a, b): candidates among ``rest`` (node, class, text), a superset of its pairs of different classes
+    that reach the threshold. Elements are ordered rare first. The first common element of a pair that needs
+    an overlap of o stands before place n - o + 1 in both texts, so only a prefix of each text is joined,
+    and a match counts only if the elements from there on suffice. A common element's most frequent class
+    is not joined with itself."""
+    def count(batches):
+        total = np.zeros(BINS, np.int64)
+        for _, g, _, _ in _elements(batches, k, weights):
+            total += np.bincount((g & U(BINS - 1)).astype(np.int64), minlength=BINS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bin", "n"])
+
+    counted = rest.select("text").mapInArrow(count, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(BINS, np.int64)
+    often[counted.column("bin").to_numpy()] = counted.column("n").to_numpy()
+
+    def prefix(batches):
+        for b, g, t, n in _elements(batches, k, weights):
+            order = np.lexsort((g, often[(g & U(BINS - 1)).astype(np.int64)], t))
+            g, t = g[order], t[order]
+            pos = np.arange(len(t)) - (np.cumsum(n) - n)[t]
+            kept = pos <= n[t] - np.ceil(threshold * n[t] - 1e-9)
+            g, t, pos = g[kept], t[kept], pos[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g.view(np.int64)), b.column("node").take(pa.array(t)), b.column("class").take(pa.array(t)),
+                 pa.array(n[t].astype(np.int64)), pa.array((n[t] - pos).astype(np.int64))],
+                ["element", "node", "class", "n", "left"])
+
+    listed = staged(rest.select("node", "class", "text").mapInArrow(
+        prefix, "element bigint, node bigint, class bigint, n bigint, left bigint"), "dart-prefix")
+    per = listed.groupBy("element", "class").agg(F.count(F.lit(1)).alias("c"))
+    main = per.groupBy("element").agg(F.max(F.struct("c", "class")).alias("m"), F.count(F.lit(1)).alias("classes")) \
+        .where("classes > 1").select("element", F.col("m.class").alias("main"))
+    found = staged(listed.join(main, "element"), "dart-prefix")
+    x = found.where("class != main").select("element", F.col("node").alias("a"), F.col("class").alias("class_a"),
+                                            F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+    y = found.select("element", F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"),
+                     F.col("left").alias("left_b"), "main")
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-6)
+    return (x.join(y, "element")
+            .where((F.col("class_a") != F.col("class_b")) & ((F.col("a") < F.col("b")) | (F.col("class_b") == F.col("main")))
+                   & (F.least("left_a", "left_b") >= need))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def text_classes(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS,
                  rows: int = ROWS, rounds: int = ROUNDS, weights: str = "set") -> tuple:
     """(sketches by row, (content, first_id, class) by distinct text)."""
@@ -216,6 +279,17 @@ def text_classes(docs: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD
             links = links.union(new)
             label = components(links, "dart-classes")
         led = led.union(lead.select("key", "led"))
+    # what the leaders left open: buckets of three or more that hold several components
+    state = buckets.select("key", "node").join(label, "node", "left").select(
+        "key", "node", F.coalesce("class", F.col("node")).alias("class"))
+    several = state.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count(F.lit(1)).alias("n")) \
+        .where("x != y and n > 2").select("key")
+    rest = state.join(several, "key").groupBy("node").agg(F.min("class").alias("class")).join(held, "node")
+    more = (rest_pairs(staged(rest.select("node", "class", "text"), "dart-rest"), k, threshold, weights)
+            .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    new = staged(verified(staged(more, "dart-pairs"), held, k, threshold, weights), "dart-links")
+    if not new.isEmpty():
+        label = components(links.union(new), "dart-classes")
     named = (nodes.select("node", "content", "first_id").join(label, "node", "left")
              .select("content", "first_id", F.coalesce("class", F.col("node")).alias("class")))
     return sketched, staged(named, "dart-named")

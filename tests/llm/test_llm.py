@@ -114,6 +114,26 @@ def test_star_of_near_copies_is_one_class(spark):
     assert got == brute_classes(made)
 
 
+def test_crowded_buckets_without_leaders(spark):
+    # texts that share boilerplate (similarity about 0.7 to each other), and of some an edited copy: all
+    # pairs at 0.8 or more share crowded buckets, and hardly one of them holds a leader
+    rng = np.random.default_rng(5)
+    common = [f"b{i}" for i in range(120)]
+    data, edited = [], {}
+    for i in range(150):
+        own = [f"o{i}x{j}" for j in range(20)]
+        data.append((i, " ".join(common + own)))
+        if i % 3 == 0:
+            at = int(rng.integers(10, 110))
+            edited[1000 + i] = i
+            data.append((1000 + i, " ".join(common[:at] + [f"e{i}"] + common[at + 1:] + own)))
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    for weights in ("set", "count"):                     # bands of one place: every bucket holds most texts
+        got = {r.doc_id: r.class_id for r in near_dups.classes(df, weights=weights, bands=6, rows=1).collect()}
+        assert all(got[i] == j for i, j in edited.items())
+    assert got == brute_classes(data)
+
+
 # -- 2 secrets ---------------------------------------------------------------------------------
 
 def brute_base(t):
