@@ -3,8 +3,13 @@
 Every rolling k-gram of a text's words is hashed; those whose hash is one of the templates'
 are joined, as words, to the template positions. Each match votes for
 the diagonal "place in the text minus place in the template"; neighbouring diagonals are
-merged, so a few inserted or lost words do not break a match, and a merged diagonal is
-verified: enough of the template's grams must have voted in a span of about its length.
+merged, so inserted, lost or substituted words do not break a match, and a merged diagonal is
+verified: enough of the template's grams must have voted in a span of about its length. A lost or
+substituted word breaks k grams, an inserted one k - 1; a template of n words may miss the grams of
+``edits(n)`` such edits (two, or one in seven words if that is more) but needs two votes; of a
+notice under 8 words two edits may leave fewer, and it is then not found. Words that tell licences apart
+(``TELLING`` and numbers) may not be edited: unless all grams voted, the span must have the template's
+telling words and no others ("version 2" is no changed "version 3").
 The templates are a fixed list of this module, so broadcasting them is bounded.
 
 Base phrases are templates whose every gram must sit on one diagonal: their words stand
@@ -23,7 +28,8 @@ from pitpanel.llm.base import staged, texts
 
 K = 3
 GAP = 2                # diagonals this near are one match
-MIN_COVER = 0.9        # share of a template's grams that must vote
+LEAST_VOTES = 2        # grams of a notice that must vote, whatever edits break the others
+SHIFT = 2              # words by which edits next to an end of a notice may move that end
 
 # Phrases whose places are counted, and licence notices with their labels.
 PHRASES = (
@@ -50,10 +56,22 @@ NOTICES = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
             "provided that the following conditions are met"),
 )
+TELLING = ("mit", "bsd", "apache", "mozilla", "eclipse", "gnu", "gpl", "lgpl", "agpl", "lesser", "library", "affero",
+           "cc", "nc", "sa", "nd", "creative", "commons", "attribution", "noncommercial", "sharealike", "noderivatives",
+           "noderivs")
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def edits(n_words: int) -> int:
+    """Lost, substituted or inserted words that a notice of so many words may have."""
+    return max(2, n_words // 7)
+
+
+def tells(word: str) -> bool:
+    return word in TELLING or word.isdigit()
+
+
 def template_rows(phrases=PHRASES, notices=NOTICES, k: int = K) -> list:
     """(template, label, base, grams in the template, place, gram) rows; k to 62 + k words each."""
     out = []
@@ -88,29 +106,43 @@ def hits(docs: DataFrame, rows: list, k: int = K) -> DataFrame:
     found = F.filter(F.transform(rolled, lambda h, i: F.when(h.isin(*known), F.struct(
         i.cast("long").alias("pos"), F.array_join(F.slice(words, i + 1, F.lit(k)), " ").alias("gram")))),
         lambda s: s.isNotNull())
-    return d.select("rid", "doc_id", n.cast("long").alias("n_words"), F.when(n >= k, found).alias("hits"))
+    telling = F.filter(F.transform(words, lambda w, i: F.struct(i.cast("long").alias("pos"), w.alias("word"))),
+                       lambda s: s["word"].isin(*TELLING) | s["word"].rlike("^[0-9]+$"))
+    return d.select("rid", "doc_id", n.cast("long").alias("n_words"), "words", F.when(n >= k, found).alias("hits")) \
+        .select("rid", "doc_id", "n_words", "hits", F.when(F.size("hits") > 0, telling).alias("telling"))
 
 
-def spans(spark: SparkSession, found: DataFrame, rows: list, k: int = K, gap: int = GAP,
-          min_cover: float = MIN_COVER) -> DataFrame:
+def spans(spark: SparkSession, found: DataFrame, rows: list, k: int = K, gap: int = GAP) -> DataFrame:
     """(rid, label, base, start, end, cover): verified matches, in words, end exclusive."""
     templates = spark.createDataFrame(rows, "template string, label string, base boolean, n_grams int, "
                                             "place int, gram string")
+    known = spark.createDataFrame(
+        [(name, [w for w in name.split(":", 2)[2].split() if tells(w)],
+          max(n - k * edits(n + k - 1), min(LEAST_VOTES, n))) for name, n in sorted({(r[0], r[3]) for r in rows})],
+        "template string, tells array<string>, least int")
     votes = (found.select("rid", F.inline("hits"))
              .join(F.broadcast(templates), "gram")
              .groupBy("rid", "template", "label", "base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))).alias("mask"),
-                  F.min("pos").alias("start"), (F.max("pos") + k).alias("end")))
+                  F.min("pos").alias("start"), (F.max("pos") + k).alias("end"),
+                  F.min("place").alias("first"), F.max("place").alias("last")))
     full = votes.where(F.col("base") & (F.bit_count("mask") == F.col("n_grams")))
     w = Window.partitionBy("rid", "template").orderBy("diagonal")
     merged = (votes.where(~F.col("base"))
               .withColumn("fresh", F.when(F.col("diagonal") - F.lag("diagonal").over(w) <= gap, 0).otherwise(1))
               .withColumn("match", F.sum("fresh").over(w))
               .groupBy("rid", "template", "label", "base", "n_grams", "match")
-              .agg(F.bit_or("mask").alias("mask"), F.min("start").alias("start"), F.max("end").alias("end")))
+              .agg(F.bit_or("mask").alias("mask"), F.min("start").alias("start"), F.max("end").alias("end"),
+                   F.min("first").alias("first"), F.max("last").alias("last")))
     cover = F.bit_count("mask") / F.col("n_grams")
-    verified = merged.where((cover >= min_cover)
-                            & (F.col("end") - F.col("start") <= (F.col("n_grams") + k - 1) * 1.5 + gap))
+    near = (merged.join(F.broadcast(known), "template")
+            .where((F.bit_count("mask") >= F.col("least"))
+                   & (F.col("end") - F.col("start") <= (F.col("n_grams") + k - 1) * 1.5 + gap)))
+    begin, stop = F.col("start") - F.col("first"), F.col("end") + F.col("n_grams") - 1 - F.col("last")
+    shifts = F.array(*[F.lit(i) for i in range(-SHIFT, SHIFT + 1)])
+    same = F.exists(shifts, lambda a: F.exists(shifts, lambda b: F.transform(
+        F.filter("telling", lambda s: (s["pos"] >= begin + a) & (s["pos"] < stop + b)), lambda s: s["word"]) == F.col("tells")))
+    verified = near.join(found.select("rid", "telling"), "rid").where((F.bit_count("mask") == F.col("n_grams")) | same)
     cols = ["rid", "label", "base", "start", "end", cover.cast("double").alias("cover")]
     return full.select(*cols).unionByName(verified.select(*cols))
 

@@ -350,6 +350,33 @@ def test_license_notice_with_changes(spark):
     assert r.labels == licenses.NOTICES[5][0] and 0.5 < r.score <= 1
 
 
+def test_license_notices_with_one_or_two_edits(spark):
+    data, want, none = [], {}, []
+    for label, notice in licenses.NOTICES:
+        w = notice.split()
+        changed = []
+        for i in range(len(w)):
+            if not licenses.tells(w[i]):
+                changed += [w[:i] + ["qqq"] + w[i + 1:], w[:i] + w[i + 1:]]
+            elif w[i] != "lesser":                     # without it, a GPL notice with an inserted word
+                text = " ".join(["intro", "words", *w[:i], "zzz9", *w[i + 1:], "tail", "words"])
+                if not any(phrase in text for _, phrase in licenses.PHRASES):
+                    none.append(len(data))
+                    data.append((len(data), text))
+            for j in range(i + 1, len(w)):
+                changed.append(w[:i] + ["qqq"] + w[i:j] + ["rrr"] + w[j:])
+        for c in changed if len(w) >= 8 else []:
+            want[len(data)] = label
+            data.append((len(data), " ".join(["intro", "words", *c, "tail", "words"])))
+    other = ["licensed under the gnu general public license version 1", "licensed under the gnu affero general public license version 3",
+             "creative commons attribution noderivatives 4 0 international license"]
+    none += range(len(data), len(data) + len(other))
+    data += [(len(data) + i, t) for i, t in enumerate(other)]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(data, "doc_id bigint, text string")).collect()}
+    assert {i: got[i] for i in want} == want
+    assert {data[i][1]: got[i] for i in none if got[i]} == {}
+
+
 # -- edge tables and the pipeline --------------------------------------------------------------
 
 def test_operators_on_edge_and_empty_tables(spark, edges):
