@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import shingles as S
-from pitpanel.llm.base import texts
+from pitpanel.llm.base import staged, texts
 
 DIM = 1 << 18
 PREFIXES = (4, 5)      # bytes; word beginnings stand for the forms of a word
@@ -48,10 +48,12 @@ def of_texts(data: np.ndarray, offs: np.ndarray) -> tuple:
     return feature[order], count[order], owner[order], words
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: dict, rows: int) -> tuple:
+def sample(docs: DataFrame, labels: DataFrame, label: dict, rows: int, choose) -> tuple:
     """Features of about ``rows`` labelled documents - a share chosen by a hash of doc_id - as
     (feature, occurrences, text index, label columns). ``label``: {name: Column over ``labels``};
-    rows with a NULL label are left out, a document labelled more than once counts once."""
+    rows with a NULL label are left out, a document labelled more than once counts once.
+    ``choose``: (classes, DIM) texts by class of the first label and feature, texts by class -> mask of the
+    features that a fit can use; only those reach the driver."""
     marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(k) for k, c in label.items()]) \
         .dropna().groupBy("doc_id").agg(*[F.max(k).alias(k) for k in label])
     share = rows / max(marked.count(), 1)
@@ -74,7 +76,26 @@ def sample(docs: DataFrame, labels: DataFrame, label: dict, rows: int) -> tuple:
 
     got = d.select("doc_id", "text", *[F.col(k).cast("int").alias(k) for k in names]).mapInArrow(
         run, "f array<int>, c array<int>, " + ", ".join(f"{k} int" for k in names))
-    got = got.limit(2 * rows).toArrow().combine_chunks()            # repeated document rows stay bounded too
+    got = staged(got, "sample")
+    size = {r[0]: r[1] for r in got.groupBy(names[0]).agg(F.count(F.lit(1))).collect()}
+    classes = sorted(size)
+    seen = got.select(names[0], F.explode("f").alias("f")).groupBy(names[0], "f").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    by_class = np.zeros((len(classes), DIM), np.int32)
+    by_class[np.searchsorted(classes, seen.column(0).to_numpy()), seen.column(1).to_numpy()] = seen.column(2).to_numpy()
+    bits = np.packbits(choose(by_class, np.array([size[c] for c in classes])) if classes else np.zeros(DIM, bool))
+
+    def chosen(batches):
+        mask = np.unpackbits(bits).astype(bool)
+        for b in batches:
+            f, offs = b.column("f").flatten().to_numpy(), b.column("f").offsets.to_numpy()
+            use = mask[f]
+            ends = pa.array(np.concatenate([[0], np.cumsum(use)])[offs - offs[0]].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(ends, pa.array(f[use])),
+                 pa.ListArray.from_arrays(ends, pa.array(b.column("c").flatten().to_numpy()[use])),
+                 *[b.column(k) for k in names]], ["f", "c", *names])
+
+    got = got.mapInArrow(chosen, got.schema).limit(2 * rows).toArrow().combine_chunks()   # repeated rows stay bounded too
 
     def flat(name):
         col = got.column(name)
@@ -107,6 +128,16 @@ def telling(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes:
     return np.where(out & (docs >= least_docs), 1.0, 0.0)
 
 
+def telling_classes(by_class: np.ndarray, size: np.ndarray, least_docs: int, chi2: float) -> np.ndarray:
+    """``telling`` as a mask, from the texts by class and feature and the texts by class."""
+    n, docs = size.sum(), by_class.sum(0).astype(float)
+    out = np.zeros(DIM, bool)
+    for inside, share in zip(by_class, np.maximum(size / n, 1e-12)):
+        spread = docs * share * (1 - share) * (1 - docs / n)
+        out |= (inside - docs * share) ** 2 > chi2 * np.maximum(spread, 1e-9)
+    return out & (docs >= least_docs)
+
+
 def compact(weight: np.ndarray, feature: np.ndarray, owner: np.ndarray) -> tuple:
     """(kept features, feature numbers among them, owner) of the occurrences of features of weight 1."""
     kept = np.flatnonzero(weight)

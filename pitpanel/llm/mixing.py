@@ -20,6 +20,8 @@ other targets scaled to 1; without labels every rate is 1.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,13 +31,14 @@ from pitpanel.llm import features as X
 from pitpanel.llm import shingles as S
 from pitpanel.llm.base import staged, texts
 
-ROWS = 5_000
+log = logging.getLogger(__name__)
+ROWS = 12_000
 LEAST_DOCS, CHI2 = 5, 20.0     # features in fewer sampled documents, or unrelated to the label, get no weight
 STEPS, RATE, RIDGE = 120, 0.3, 2e-4
 DOMAINS = ("clean", "toxic", "low")
 TARGETS = {"clean": 0.92, "toxic": 0.04, "low": 0.04}
-CEILINGS = ("toxic", "low")      # targets that are upper limits: such a domain is never raised
-MU, MAX_STEPS, TOLERANCE = 1e-3, 40, 2e-3
+CEILINGS = ("toxic", "low")      # for ``ceilings=``: targets as upper limits; such a domain is then never raised
+MU, MAX_STEPS, TOLERANCE = 1e-3, 40, 1e-4
 
 
 def fit(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes: int) -> np.ndarray:
@@ -72,7 +75,8 @@ def posteriors(x: np.ndarray, feature: np.ndarray, owner: np.ndarray, n: int) ->
 def classify(docs: DataFrame, labels: DataFrame, rows: int = ROWS, keep: tuple = ()) -> tuple:
     """((doc_id, n_tokens, u, p array<double>, *keep), names of the domains that have labels)."""
     domain = F.when(F.col("quality") == 0, 2).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 0)
-    feature, _, owner, label = X.sample(docs, labels, {"domain": domain}, rows)
+    feature, _, owner, label = X.sample(docs, labels, {"domain": domain}, rows,
+                                        lambda by_class, size: X.telling_classes(by_class, size, LEAST_DOCS, CHI2))
     present, label = np.unique(label["domain"], return_inverse=True)
     names = [DOMAINS[i] for i in present]
     x = fit(feature, owner, label, len(names)).astype(np.float32) if names else None
@@ -110,9 +114,9 @@ def fold(steps: list) -> F.Column:
     return F.aggregate(history, rate, step)
 
 
-def rates(members: DataFrame, names: list, targets: dict = TARGETS, ceilings: tuple = CEILINGS) -> tuple:
-    """(``members`` with ``rate`` and ``copies``, reached weights by domain). What a domain of
-    ``ceilings`` lacks of its target goes to the other domains."""
+def rates(members: DataFrame, names: list, targets: dict = TARGETS, ceilings: tuple = ()) -> tuple:
+    """(``members`` with ``rate`` and ``copies``, reached weights by domain). Targets are matched; only a
+    domain of ``ceilings`` is not raised to its target, and what it lacks goes to the other domains."""
     if not names:
         return members.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), {}
     w = np.array([targets.get(n, 0.0) for n in names])
@@ -139,19 +143,26 @@ def rates(members: DataFrame, names: list, targets: dict = TARGETS, ceilings: tu
     return out, dict(zip(names, reached.tolist()))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS) -> DataFrame:
+def report(names: list, targets: dict, reached: dict) -> None:
+    log.info("mixing: %s", ", ".join(f"{n} target {targets.get(n, 0.0):.4f} reached {reached[n]:.4f}"
+                                     for n in names if n in reached) or "no labelled domain")
+
+
+def mix(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS, ceilings: tuple = ()) -> DataFrame:
     """One row per document: (doc_id, n_tokens, p_<domain>..., rate, copies)."""
     members, names = classify(docs, labels, rows)
-    out, _ = rates(staged(members, "mix"), names, targets)
+    out, reached = rates(staged(members, "mix"), names, targets, ceilings)
+    report(names, targets, reached)
     p = [F.get("p", F.lit(names.index(n))).alias(f"p_{n}") if n in names else F.lit(0.0).alias(f"p_{n}") for n in DOMAINS]
     return out.select("doc_id", "n_tokens", *p, "rate", "copies")
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS, ceilings: tuple = ()) -> DataFrame:
     """The documents, each as often as its rate asks for, with their columns."""
     keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     inner = docs.select("doc_id", "text", *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
     members, names = classify(inner, labels, rows, tuple(f"k{i}" for i in range(len(keep))) or ("u",))
-    out, _ = rates(staged(members, "mix"), names, targets)
+    out, reached = rates(staged(members, "mix"), names, targets, ceilings)
+    report(names, targets, reached)
     again = out.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return again.select("doc_id", "text", *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])

@@ -23,7 +23,7 @@ from pitpanel.llm import features as X
 from pitpanel.llm import shingles as S
 from pitpanel.llm.base import texts
 
-ROWS = 8_000
+ROWS = 12_000
 LEAST_DOCS, CHI2 = 5, 20.0     # features in fewer sampled documents, or unrelated to the label, get no weight
 RATIO = 8.0
 STEPS, RATE, RIDGE = 200, 0.3, 1e-4
@@ -81,9 +81,14 @@ def fit(feature: np.ndarray, owner: np.ndarray, grade: np.ndarray, top: int = GR
     return weights, thresholds(x)
 
 
+def usable(by_class: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The features that ``fit`` or ``grades`` may use: the telling ones and all that can be markers."""
+    return X.telling_classes(by_class, size, LEAST_DOCS, CHI2) | (by_class[-1] >= LEAST_DOCS)
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS):
     """(weights, thresholds), or None without labels of both kinds."""
-    feature, count, owner, label = X.sample(docs, labels, {"toxic": F.col("toxic")}, rows)
+    feature, count, owner, label = X.sample(docs, labels, {"toxic": F.col("toxic")}, rows, usable)
     toxic = (label["toxic"] > 0).astype(np.int64)
     if not 0 < toxic.sum() < len(toxic):
         return None

@@ -282,6 +282,17 @@ def test_mixing_reaches_targets(spark):
     assert abs(sum(share.values()) - 1) < 0.02
 
 
+def test_mixing_matches_targets_above_the_present_share(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    targets = {"clean": 0.7, "toxic": 0.1, "low": 0.2}
+    for ceilings in ((), ("low",)):
+        p = mixing.mix(d, labels, targets, ceilings=ceilings).toPandas()
+        share = {c: (p[f"p_{c}"] * p.n_tokens * p.rate).sum() / p.n_tokens.sum() for c in mixing.DOMAINS}
+        assert (abs(share["low"] - 0.2) < 2e-4) == (not ceilings), share
+        assert ceilings or all(abs(share[c] - w) < 2e-4 for c, w in targets.items()), share
+
+
 def test_toxicity_held_out(spark):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
