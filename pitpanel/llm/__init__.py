@@ -1,3 +1,3 @@
 """Operators of a training-data pipeline: near duplicates, secrets, token files,
 decontamination, language-model scores, token counts, mixing, quality rules,
-toxicity, licences. Nothing else in the library imports this subpackage."""
+toxicity, licences, similarity joins, fill-in-the-middle, filter audits. Nothing else in the library imports this subpackage."""

@@ -6,8 +6,8 @@ table and returns the full result.
 
 from __future__ import annotations
 
-from pitpanel.llm import (class_lm, decontaminate, licenses, mixing, near_dups, quality, secrets, token_counts,
-                          token_files, toxicity)
+from pitpanel.llm import (class_lm, decontaminate, fill_in_middle, filter_audit, licenses, mixing, near_dups, parity_join,
+                          quality, secrets, token_counts, token_files, toxicity)
 from pitpanel.llm.base import table
 from pitpanel.session import work_dir
 
@@ -59,10 +59,23 @@ def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_parity_join(spark, sf_dir):
+    return parity_join.similar(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dups, op2_secrets, op3_token_files, op4_decontaminate, op5_class_lm,
-                                   op6_token_counts, op7_mixing, op8_quality, op9_toxicity, op10_licenses, pipeline)}
+QUERIES = {f.__name__: f for f in (
+    op1_near_dups, op2_secrets, op3_token_files, op4_decontaminate, op5_class_lm, op6_token_counts, op7_mixing, op8_quality,
+    op9_toxicity, op10_licenses, op11_parity_join, op12_fill_in_middle, op13_filter_audit, pipeline)}
