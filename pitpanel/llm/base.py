@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.session import work_dir
+from pitpanel.sources._fs import remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes ``staged`` tables that nothing reads any more (what was made from them is staged itself)."""
+    for t in tables:
+        remove(t.sparkSession, t.staged_path)
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -28,3 +37,22 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     column of the input is left out, so extra columns cannot clash."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+
+
+def unused(df: DataFrame, *stems: str) -> list:
+    """Column names beginning with ``stems`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = stem
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without_ids(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (NULL equals NULL) is not in the one column of ``bad``."""
+    (name,) = unused(docs, "_bad_id")
+    bad = bad.toDF(name).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

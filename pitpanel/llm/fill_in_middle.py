@@ -118,12 +118,12 @@ def arrange(doc_id, text: str, unit: str = "line", seed: int = SEED, fim_percent
 def check_sentinels(sentinels: tuple) -> None:
     """Sentinels must be told apart wherever they stand: none empty or inside another, no end of one is a
     beginning of one."""
-    for x in sentinels:
-        if not x or any(x in y for y in sentinels if y is not x):
+    for i, x in enumerate(sentinels):
+        others = [y for j, y in enumerate(sentinels) if j != i]
+        if not x or any(x in y for y in others):
             raise ValueError(f"sentinels must differ and not contain one another: {sentinels}")
-        for y in sentinels:
-            if any(x.endswith(y[:i]) for i in range(1, min(len(x), len(y)) + (x is not y))):
-                raise ValueError(f"the end of {x!r} is a beginning of {y!r}")
+        if any(x.endswith(x[:n]) for n in range(1, len(x))) or any(x.endswith(y[:n]) for y in others for n in range(1, len(y) + 1)):
+            raise ValueError(f"the end of {x!r} is a beginning of a sentinel")
 
 
 def transform(docs: DataFrame, unit: str = "line", seed: int = SEED, fim_percent: int = FIM_PERCENT,

@@ -9,8 +9,8 @@ their Jaccard similarity reaches ``percent`` / 100, that is when their symmetric
   symmetric difference changes one piece at most, so the number of pieces in which two sketches differ
   (their Hamming distance) never exceeds the symmetric difference. A second sketch of single bits
   (each shingle flips one) bounds it in the same way and is cheap to compare.
-* **Size bands.** Band j holds the sets of 2**j to 2**(j+1) - 1 shingles and cuts them into 2**j pieces.
-  A set that may link with a set of the next band is sketched for that band too.
+* **Size bands.** Band j holds the sets of 2**j to 2**(j+1) - 1 shingles and cuts them into 2**j pieces (into finer
+  ones for low thresholds, see ``finer``). A set that may link with a set of the next band is sketched for that band too.
 * **Pigeonhole.** A set of n shingles differs from any partner in at most d pieces (``most_different``), so
   of any d + 1 non-empty pieces one agrees. Pieces are put in one order for all sets, frequent ones last, and a set
   shows its first d + 1; partners share one of those (both agree on all pieces but d). The
@@ -34,13 +34,15 @@ are compared, and a difference stops the job with an error.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import shingles as S
-from pitpanel.llm.base import staged, texts
+from pitpanel.llm.base import discard, staged, texts
 from pitpanel.llm.near_dups import components
 
 SHINGLE = 5
@@ -65,6 +67,15 @@ def most_different(n, percent: int = PERCENT):
     return (100 - percent) * (n + 100 * n // percent) // (100 + percent)
 
 
+def finer(percent: int) -> int:
+    """How often a band's pieces are halved, so that even its largest sets have clearly more non-empty pieces than
+    ``most_different``: of n shingles in m pieces about m * (1 - exp(-n / m)) are not empty."""
+    differ, e = (100 - percent) / (100 + percent) * (1 + 100 / percent), 0
+    while (1 - math.exp(-2.0 ** (1 - e))) * 2.0 ** (e - 1) < min(1.25 * differ, (1 + differ) / 2):
+        e += 1
+    return e
+
+
 # -- sets and sketches of many texts, inside tasks ----------------------------------------------
 
 def _segment_words(buf: np.ndarray, begin: np.ndarray) -> tuple:
@@ -158,9 +169,9 @@ def grids(n: np.ndarray, percent: int):
 def shown(g: np.ndarray, t: np.ndarray, n: np.ndarray, percent: int, hot: tuple | None) -> tuple:
     """(piece key, text index): the pieces each set shows; with ``hot`` None all non-empty pieces.
     ``hot``: ascending piece keys and their counts."""
-    d, keys, owners = most_different(n, percent), [], []
+    d, more, keys, owners = most_different(n, percent), finer(percent), [], []
     for chosen, level in grids(n, percent):
-        cut = 0
+        cut, level = 0, level + more
         while chosen.any():
             mine = chosen[t]
             key, owner = pieces(g[mine], t[mine], level, cut)
@@ -302,8 +313,9 @@ def linked(pairs: DataFrame, docs: DataFrame, profiled: DataFrame, k: int, perce
                     [pa.array(node), pa.ListArray.from_arrays(pa.array(ends), pa.array(g.view(np.int64)))], ["node", "grams"])
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    contents = (profiled.where("n > 0").join(wanted, "node", "left_semi")
-                .groupBy("node").agg(F.min("content").alias("content")).select("content"))
+    # one text per set; copies are combined before the shuffle
+    contents = (profiled.where("n > 0").groupBy("node").agg(F.min("content").alias("content"))
+                .join(wanted, "node", "left_semi").select("content"))
     sets = staged(texts(docs).select("text", F.unhex(F.md5("text")).alias("content"))
                   .join(contents, "content", "left_semi").dropDuplicates(["content"]).select("text")
                   .mapInArrow(run, "node bigint, grams array<bigint>"), "parity-sets")
@@ -393,6 +405,7 @@ def set_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, hot:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     nodes = staged(sketched.join(wanted, "node", "left_semi").groupBy("node")
                    .agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "parity-nodes")
+    discard(sketched, buckets, members)
     links = staged(linked(staged(near(pairs, nodes, percent), "parity-near"), docs, profiled, k, percent), "parity-links")
     label = components(links, "parity-classes")
     more = staged(open_pairs(led, label, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "parity-near")
