@@ -26,16 +26,17 @@ def assert_unique(df: DataFrame, keys) -> None:
         raise ValueError(f"key {list(keys)} is not unique, e.g. {dup[0].asDict()}")
 
 
-def join_legs(ri: DataFrame, mv: DataFrame, keys=PRICE_KEYS, pair_cols=("suffix",)) -> DataFrame:
+def join_legs(ri: DataFrame, mv: DataFrame, keys=PRICE_KEYS, pair_cols=("suffix",), pairs: DataFrame | None = None) -> DataFrame:
     """Return leg LEFT JOIN market-value leg (JN1 with JN2).
 
     Legs are paired by ``pair_cols`` (the file-name suffix) and currency: a
     return row whose (suffix, currency) has no market-value leg at all is
     dropped (semi join on the distinct pairs, a tiny side), the rest get
-    MV or NULL. Market-value-only rows are not kept.
+    MV or NULL. Market-value-only rows are not kept. ``pairs`` are the (suffix,
+    currency) with both legs, known from the files' names; without it they are the ones among the rows of ``mv``.
     """
     pair = list(pair_cols) + ["Currency"]
-    pairs = mv.select(*pair).distinct()
+    pairs = mv.select(*pair).distinct() if pairs is None else pairs.select(*pair)
     on = list(keys) + list(pair_cols)
     mv_vals = mv.select(*on, *[c for c in mv.columns if c not in on])
     return (ri.join(pairs, pair, "left_semi")

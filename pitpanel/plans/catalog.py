@@ -15,6 +15,7 @@ from pitpanel.operators.reshape import items_wide, unpivot_dates
 from pitpanel.plans import fixtures as fx
 from pitpanel.plans import fundamentals as fu
 from pitpanel.plans import lag
+from pitpanel.plans import portfolios as pf
 from pitpanel.plans import predictors as pr
 from pitpanel.plans import prices as px
 from pitpanel.schemas import ITEM_KEYS, MATCH_KEYS
@@ -198,15 +199,75 @@ def q_predictor_registry(spark, d):
                          codes=codes)
 
 
+# Growth and change over the fiscal year before, a nested division and a CASE divisor.
+GROWTH_REGISTRY = (
+    Predictor("AssetGrowth", "(CA - prev_CA) / prev_CA"),
+    Predictor("RatioChange", "CA / CL - prev_CA / prev_CL"),
+    Predictor("PerRisk", "CA / CASE WHEN CL > CA THEN CL / (CA / 2) ELSE CL - CL END"),
+)
+
+
+def q_predictor_growth(spark, d):
+    """OP1: predictors with the year before's items; NULL where the years have a gap."""
+    from pitpanel.plans.jobs import materialize
+    final = _final(_t(spark, d)).where(F.col("item_code").isin(2201, 3101)).select(*ITEM_KEYS, "item_code", "value")
+    return pr.predictors(materialize(final, "growth-items"), GROWTH_REGISTRY, mode="split")
+
+
 def q_predictor_columns(spark, d):
     df = pr.predictors(_final(_t(spark, d)), mode="dedup", order_cols=DEDUP_ORDER)
     return df.select(*ITEM_KEYS, *predictor_columns(df))
 
 
+# --- portfolios ---------------------------------------------------------------
+
+# Two predictors on items most company-periods have.
+FOLIO_REGISTRY = (Predictor("CurrentRatio", "CA / CL"), Predictor("WorkingCapital", "(CA - CL) / CA"))
+FOLIO_NAMES = [p.name for p in FOLIO_REGISTRY]
+
+
+def _folio_predictors(t) -> DataFrame:
+    final = _final(t).select(*ITEM_KEYS, "item_code", "value")
+    return pr.predictors(final, FOLIO_REGISTRY, mode="split")
+
+
+def _members(t) -> DataFrame:
+    from pitpanel.plans.jobs import materialize
+    return pf.members(materialize(pf.formation(_folio_predictors(t), fx.company_match(t), FOLIO_NAMES), "formation"))
+
+
+def q_index_returns(spark, d):
+    """OP2: change of the return index since the security's previous day."""
+    from pitpanel.operators.portfolios import index_returns
+    return index_returns(fx.security_prices(_t(spark, d)))
+
+
+def q_returns_joined(spark, d):
+    """OP2: returns on the days on which their company's predictors hold."""
+    t = _t(spark, d)
+    return pf.returns_joined(fx.security_prices(t), fx.company_match(t), _folio_predictors(t), FOLIO_NAMES)
+
+
+def q_portfolio_members(spark, d):
+    """OP2: exact breakpoints per predictor, bin and country, and each company's portfolio."""
+    return _members(_t(spark, d))
+
+
+def q_portfolio_returns(spark, d):
+    """OP2: equal- and value-weighted mean returns per portfolio and day."""
+    t = _t(spark, d)
+    return pf.portfolio_returns(fx.security_prices(t), fx.company_match(t), _members(t))
+
+
+def q_portfolio_spreads(spark, d):
+    """OP2: mean return of the highest minus the lowest portfolio."""
+    return pf.spreads(q_portfolio_returns(spark, d))
+
+
 # --- price side -------------------------------------------------------------
 
 def _long_wide(t) -> DataFrame:
-    return unpivot_dates(fx.wide_prices(t), ["DSCode", "Currency"], n_meta=2,
+    return unpivot_dates(fx.wide_prices(t), ["DSCode", "Currency", "leg"], n_meta=3,
                          name_col="Date", value_col="Value")
 
 
@@ -217,13 +278,13 @@ def q_unpivot_prices(spark, d):
 def q_date_header_extract(spark, d):
     long = _long_wide(_t(spark, d))
     # The date is parsed from the extracted column (the regex runs once per row).
-    return (long.select("DSCode", "Currency", F.col("Date").alias("header"),
+    return (long.select("DSCode", "Currency", "leg", F.col("Date").alias("header"),
                         header_date_text("Date").alias("CleanDate"))
             .withColumn("Date", parse_date("CleanDate", "dd/MM/yyyy")))
 
 
 def q_lenient_cast(spark, d):
-    return px.long_prices(_long_wide(_t(spark, d)), "RI")
+    return px.long_prices(_long_wide(_t(spark, d)), "Price")
 
 
 def q_price_join(spark, d):
@@ -262,21 +323,30 @@ def q_attach_item(spark, d):
 # --- profiling ----------------------------------------------------------------
 
 def q_profile_nulls(spark, d):
+    """AG13, AG14: from the histogram of the last two columns."""
     m = _merged(_t(spark, d))
     return prof.column_profile(m, m.columns[-2:])
 
 
 def q_profile_top10(spark, d):
+    """AG11: one column's frequent values, in the column's own type."""
     return prof.top_values(_merged(_t(spark, d)), "cal2_55559", 10)
 
 
+def q_profile_columns(spark, d):
+    """CJ9: every column's counts and ten most frequent values from one written histogram."""
+    from pitpanel.plans.jobs import profile
+    m = _merged(_t(spark, d))
+    counts, top = profile(m, m.columns)
+    return top.join(counts, "column_name")
+
+
 def q_table_shape(spark, d):
     return prof.shape_row(_merged(_t(spark, d)))
 
 
 def q_value_counts(spark, d):
-    f = _final(_t(spark, d))
-    return prof.value_counts(f.where(F.col("item_code") == 2003), "freq")
+    return prof.value_counts(_final(_t(spark, d)), "freq")
 
 
 def q_head_export(spark, d):
@@ -289,15 +359,36 @@ def q_head_export(spark, d):
 # --- file sources and sinks --------------------------------------------------
 
 def q_fundamentals_from_files(spark, d):
-    """SC5/SC6 + CJ3: pipe files (one read per kind, file order as "first")."""
+    """SC5/SC6 + CJ3: pipe files (each kind's text parsed once, file order as "first")."""
     from pitpanel.plans.fixture_files import write_fundamentals_files
-    from pitpanel.sources.fundamentals import read_fundamentals
+    from pitpanel.sources.fundamentals import BAD, write_fundamentals_store
     root = work_dir(spark, "ws")
     write_fundamentals_files(spark, _t(spark, d), root)
-    k = read_fundamentals(spark, root)
+    k = write_fundamentals_store(spark, root, work_dir(spark, "ws-store"))
+    k = {kind: df.drop(BAD) for kind, df in k.items()}
     return fu.merged(k["WSFV"], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
 
 
+def q_fundamentals_to_items(spark, d):
+    """CJ3 from the files (of any value kind) to the item write, read back."""
+    from pitpanel.plans.fixture_files import write_fundamentals_files
+    from pitpanel.plans.jobs import fundamentals_job
+    root, out = work_dir(spark, "ws"), work_dir(spark, "items")
+    write_fundamentals_files(spark, _t(spark, d), root, facts_kind="WSSupplemental")
+    fundamentals_job(spark, root, out, facts_kind="WSSupplemental")
+    return spark.read.parquet(out).withColumn("item_code", F.col("item_code").cast("bigint"))
+
+
+def q_pipe_notes(spark, d):
+    """SC5: notes with line breaks, separators and quotes; malformed rows kept and marked."""
+    from pitpanel.plans.fixture_files import write_note_files
+    from pitpanel.sources.fundamentals import BAD, read_fundamentals
+    root = work_dir(spark, "notes")
+    write_note_files(spark, _t(spark, d), root)
+    notes = read_fundamentals(spark, root, bad=True)["WSFVFootnote"]
+    return notes.withColumn("is_bad", F.col(BAD).isNotNull()).drop("ord", BAD)
+
+
 def q_pipe_scan(spark, d):
     """SC5/SC6 alone: one kind's pipe files, typed (codes bigint, dates parsed)."""
     from pitpanel.plans.fixture_files import write_fundamentals_files
@@ -317,14 +408,65 @@ def q_wide_price_files(spark, d):
 
 
 def q_price_panel_from_files(spark, d):
-    """CJ1 from files: legs paired by suffix and currency, joined, matched."""
+    """CJ1 from files: one typed store, legs paired by the files' names, joined, matched."""
     from pitpanel.plans.fixture_files import write_wide_price_files
-    from pitpanel.sources.prices import split_legs, wide_prices_long
+    from pitpanel.plans.jobs import price_store
     t = _t(spark, d)
     root = work_dir(spark, "ds")
     write_wide_price_files(spark, t, root)
-    ri, mv = split_legs(wide_prices_long(spark, root))
-    return px.price_panel(ri, mv, _match_latest(t))
+    ri, mv, pairs = price_store(spark, root, work_dir(spark, "price-store"))
+    return px.price_panel(ri, mv, _match_latest(t), pairs)
+
+
+def q_incremental_load(spark, d):
+    """SK6 per input file: a second delivery, then a run without one; each file's batch and rows."""
+    from pitpanel.plans.fixture_files import move, write_wide_price_files
+    from pitpanel.sources.prices import read_price_store, update_price_store
+    made, root, store, ledger = (work_dir(spark, n) for n in ("made", "ds", "price-store", "price-ledger"))
+    write_wide_price_files(spark, _t(spark, d), made)
+    new = []
+    for folder in ("LC", "USD", None):
+        if folder:
+            move(spark, f"{made}/{folder}", f"{root}/{folder}")
+        new.append(update_price_store(spark, root, store, ledger))
+    rows = read_price_store(spark, store, ledger)
+    return (rows.groupBy(F.element_at(F.split("file", "/"), -1).alias("file"), "batch").agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("new_files", F.element_at(F.array(*[F.lit(n) for n in new]), F.col("batch")))
+            .withColumn("new_in_last_run", F.lit(new[-1])))
+
+
+def q_load_report(spark, d):
+    """SK7: what all six jobs report, by input kind or file and by output."""
+    from pitpanel.plans import jobs
+    from pitpanel.plans.fixture_files import write_empty, write_fundamentals_files, write_wide_price_files
+    t, root, report = _t(spark, d), work_dir(spark, "in"), work_dir(spark, "report")
+    out = work_dir(spark, "out")
+    fx.match_rows(t).write.option("header", "true").csv(f"{root}/match")
+    write_empty(spark, f"{root}/match/empty.csv")
+    write_wide_price_files(spark, t, f"{root}/ds")
+    write_fundamentals_files(spark, t, f"{root}/ws")
+    jobs.matching_job(spark, f"{root}/match", f"{out}/match", report=report)
+    jobs.price_job(spark, f"{root}/ds", f"{out}/match", f"{out}/panel", report=report)
+    jobs.fundamentals_job(spark, f"{root}/ws", f"{out}/items", report=report)
+    jobs.panels_job(spark, f"{out}/items", f"{out}/panels", report=report)
+    jobs.predictors_job(spark, f"{out}/items", f"{out}/predictors", report=report)
+    jobs.attach_item_job(spark, f"{out}/panel", f"{out}/items", 2003, f"{out}/panel_item", report=report)
+    kind = F.regexp_extract("source", "^(WS[A-Za-z]+)_?", 1)
+    source = (F.when(F.col("status") == "written", F.col("source")).when(F.col("job") == "fundamentals", kind)
+              .when((F.col("job") == "matching") & (F.col("status") == "loaded"), "csv").otherwise(F.col("source")))
+    return (spark.read.schema(sinks.REPORT).parquet(report).groupBy("job", source.alias("source"), "status")
+            .agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows")))
+
+
+def q_panel_with_item(spark, d):
+    """CJ8 end to end: price panel with its companies, item table from the facts, exact dates."""
+    from pitpanel.operators.joins import attach_matching
+    from pitpanel.plans.jobs import attach_item_job
+    t, out = _t(spark, d), work_dir(spark, "cj8")
+    sinks.write_parquet(attach_matching(fx.security_prices(t), fx.company_match(t)), f"{out}/panel")
+    items = _write_items(spark, t)
+    attach_item_job(spark, f"{out}/panel", items, 2201, f"{out}/joined")
+    return spark.read.parquet(f"{out}/joined")
 
 
 def q_matching_from_files(spark, d):
@@ -343,13 +485,28 @@ def q_parquet_append(spark, d):
     """SK5 + SC10: two writes with different columns into one folder, read
     back as one frame unioned by name."""
     from pitpanel.sources.matching import read_parquet_folder
-    ri = fx.price_ri(_t(spark, d))
+    t = _t(spark, d)
     root = work_dir(spark, "append")
-    sinks.write_parquet(ri.where(F.col("Currency") == "LC").drop("suffix"), root, mode="append")
-    sinks.write_parquet(ri.where(F.col("Currency") == "USD"), root, mode="append")
+    sinks.write_parquet(fx.price_ri(t).drop("suffix"), root, mode="append")
+    sinks.write_parquet(fx.price_mv(t), root, mode="append")
     return read_parquet_folder(spark, root)
 
 
+def q_parquet_quarantine(spark, d):
+    """SC10: a folder with unreadable files: the good rows, and the names of the bad files."""
+    from pitpanel.plans.fixture_files import write_lines
+    from pitpanel.sources.matching import quarantine
+    t = _t(spark, d)
+    root = work_dir(spark, "quarantine")
+    sinks.write_parquet(fx.price_ri(t), root, mode="append")
+    sinks.write_parquet(fx.price_mv(t), root, mode="append")
+    for name in ("broken_1", "broken_2"):
+        write_lines(spark, spark.createDataFrame([("PAR1 cut off",)], "line string").coalesce(1), root, name, "parquet")
+    good, bad = quarantine(spark, root)
+    names = sorted(r.file.rsplit("/", 1)[-1] for r in bad.collect())    # names only
+    return good.withColumn("bad_files", F.lit(",".join(names)))
+
+
 def q_panel_append(spark, d):
     """SK5: the price panels of both currencies into one dataset, in one write."""
     t = _t(spark, d)
@@ -415,7 +572,13 @@ QUERIES = {
     "items_wide_fallback": q_items_wide_fallback,
     "predictor_acc": q_predictor_acc,
     "predictor_registry": q_predictor_registry,
+    "predictor_growth": q_predictor_growth,
     "predictor_columns": q_predictor_columns,
+    "index_returns": q_index_returns,
+    "returns_joined": q_returns_joined,
+    "portfolio_members": q_portfolio_members,
+    "portfolio_returns": q_portfolio_returns,
+    "portfolio_spreads": q_portfolio_spreads,
     "unpivot_prices": q_unpivot_prices,
     "date_header_extract": q_date_header_extract,
     "lenient_cast": q_lenient_cast,
@@ -427,15 +590,22 @@ QUERIES = {
     "attach_item": q_attach_item,
     "profile_nulls": q_profile_nulls,
     "profile_top10": q_profile_top10,
+    "profile_columns": q_profile_columns,
     "table_shape": q_table_shape,
     "value_counts": q_value_counts,
     "head_export": q_head_export,
     "fundamentals_from_files": q_fundamentals_from_files,
+    "fundamentals_to_items": q_fundamentals_to_items,
     "pipe_scan": q_pipe_scan,
+    "pipe_notes": q_pipe_notes,
     "wide_price_files": q_wide_price_files,
     "price_panel_from_files": q_price_panel_from_files,
+    "incremental_load": q_incremental_load,
+    "load_report": q_load_report,
+    "panel_with_item": q_panel_with_item,
     "matching_from_files": q_matching_from_files,
     "parquet_append": q_parquet_append,
+    "parquet_quarantine": q_parquet_quarantine,
     "panel_append": q_panel_append,
     "skip_existing": q_skip_existing,
     "csv_roundtrip": q_csv_roundtrip,

@@ -51,12 +51,14 @@ def _pipe_line(df: DataFrame, cols) -> DataFrame:
     return df.select(F.concat_ws("|", *parts).alias("line"))
 
 
-def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str, kinds=None) -> None:
-    """WSFV (facts), WSCalendarPrd and WSReportedPrd pipe files, rows in
+SIX = ["ws_id", "point_date", "freq", "fiscal_period", "item_code", "value"]
+
+
+def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str, kinds=None, facts_kind: str = "WSFV") -> None:
+    """Facts (named ``facts_kind``), WSCalendarPrd and WSReportedPrd pipe files, rows in
     ``ord`` order across files so file order reproduces the fixture order."""
-    six = ["ws_id", "point_date", "freq", "fiscal_period", "item_code", "value"]
-    all_kinds = [("WSFV", fx.facts, six),
-                 ("WSCalendarPrd", fx.calendar, six),
+    all_kinds = [(facts_kind, fx.facts, SIX),
+                 ("WSCalendarPrd", fx.calendar, SIX),
                  ("WSReportedPrd", fx.reported, ["ws_id", "point_date", "freq", "item_code", "value"])]
     for kind, make, cols in all_kinds:
         if kinds is not None and kind not in kinds:
@@ -66,6 +68,20 @@ def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str, kinds
         write_lines(spark, _pipe_line(ordered, cols), root, kind, "txt", "windows-1252")
 
 
+def write_note_files(spark: SparkSession, t: fx.Tables, root: str) -> None:
+    """Footnotes of every fact: each seventh period's note is quoted and holds a line break, a separator and
+    doubled quotes; each eleventh has an inch mark; every 101st row has a field too many, every 103rd none for the note."""
+    o = F.col("ord")
+    item = F.col("item_code").cast("string")
+    note = (F.when(o % 7 == 0, F.concat(F.lit('"See item '), item, F.lit(',\nrestated | ""twice"""')))
+            .when(o % 11 == 0, F.concat(F.lit('about 6" wide, '), item)).otherwise(F.concat(F.lit("plain "), item)))
+    extra = F.when(o % 101 == 0, "|extra").otherwise("")
+    keys = F.concat_ws("|", "ws_id", F.date_format("point_date", "yyyyMMdd"), "freq", F.col("fiscal_period").cast("string"), item)
+    line = F.when(o % 103 == 0, keys).otherwise(F.concat(keys, F.lit("|"), note, extra))
+    ordered = fx.facts(t).select("ord", "item_code", "value", line.alias("line")).orderBy("ord", "item_code", "value")
+    write_lines(spark, ordered.select("line"), root, "WSFVFootnote", "txt", "windows-1252")
+
+
 def _quoted(c) -> F.Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
@@ -73,32 +89,37 @@ def _quoted(c) -> F.Column:
 def write_wide_price_files(spark: SparkSession, t: fx.Tables, root: str) -> None:
     """Wide daily price CSVs in ``LC``/``USD`` folders named
     ``Daily{Returns|MV}{cur}_<suffix>_00000.csv`` plus one file under an
-    ``Index Returns`` folder that must be skipped. Each file: banner line,
+    ``Index Returns`` folder that must be skipped. Each file: a banner line with commas,
     header line (seven metadata columns, ``DATES`` second), one line per
-    security with one cell per day. One write job for all
-    files (partitioned by target file), then renames."""
+    security with one cell per day; every fifth security's cells are quoted, the empty cells that end every eleventh
+    security's line are left out, and the returns of suffix 0 close with a line without a code. One
+    file has no header, one is empty. One write job for all files (partitioned by target file), then renames."""
     headers = fx.wide_headers(t)
     meta = ["Name", "DATES", "CURRENCY", "ISIN", "GEOG", "SECTOR", "Source"]
     legs = []
+    uid = F.substring("DSCode", 2, 20).cast("bigint")
     for tag, frame, leg in (("Returns", fx.price_ri(t), "RI"), ("MV", fx.price_mv(t), "MV")):
         w = fx.wide_from_leg(frame, leg, headers)
         fname = F.concat(F.col("Currency"), F.lit("__Daily"), F.lit(tag), F.col("Currency"),
                          F.lit("_"), F.col("suffix").cast("string"))
-        legs.append(w.select(
-            fname.alias("fname"), F.lit(2).alias("k"), F.col("DSCode").alias("s"),
-            F.concat_ws(",",
-                        _quoted(F.concat(F.lit("Co, "), F.col("DSCode"))),   # comma inside quotes
-                        _quoted(F.col("DSCode")), F.col("Currency"), F.lit(""), F.lit(""), F.lit(""),
-                        F.lit("DS"),
-                        *[F.coalesce(F.col(f"`{h}`"), F.lit("")) for h in headers]).alias("line")))
+        cells = F.transform(F.array(*[F.col(f"`{h}`") for h in headers]),
+                            lambda c: F.when(c.isNull(), "").when(uid % 5 == 0, _quoted(c)).otherwise(c))
+        line = F.concat_ws(",",
+                           _quoted(F.concat(F.lit("Co, "), F.col("DSCode"))),   # comma inside quotes
+                           _quoted(F.col("DSCode")), F.col("Currency"), F.lit(""), F.lit(""), F.lit(""),
+                           F.lit("DS"), F.array_join(cells, ","))
+        legs.append(w.select(fname.alias("fname"), F.lit(2).alias("k"), F.col("DSCode").alias("s"),
+                             F.when(uid % 11 == 0, F.regexp_replace(line, ",+$", "")).otherwise(line).alias("line")))
     data = legs[0].unionByName(legs[1])
     files = data.select("fname").distinct()
     banner = files.select("fname", F.lit(0).alias("k"), F.lit("").alias("s"),
-                          F.concat(F.lit("Price export "), F.col("fname")).alias("line"))
+                          F.concat(F.lit("Daily export, all securities, "), F.col("fname")).alias("line"))
     header = files.select("fname", F.lit(1).alias("k"), F.lit("").alias("s"),
                           F.lit(",".join(meta + headers)).alias("line"))
+    total = (files.where(F.col("fname").rlike("Returns[A-Z]+_0$"))
+             .select("fname", F.lit(3).alias("k"), F.lit("").alias("s"), F.lit("Total").alias("line")))
     staging = f"{root}/_staging_wide"
-    (banner.unionByName(header).unionByName(data)
+    (banner.unionByName(header).unionByName(data).unionByName(total)
      .repartition("fname").sortWithinPartitions("fname", "k", "s")
      .select("fname", "line").write.mode("overwrite").partitionBy("fname").text(staging))
     jvm = spark.sparkContext._jvm
@@ -112,7 +133,23 @@ def write_wide_price_files(spark: SparkSession, t: fx.Tables, root: str) -> None
         folder, stem = name.split("=", 1)[1].split("__", 1)
         _rename_parts(spark, st.getPath().toString(), f"{root}/{folder}", stem, "csv")
     fs.delete(sp, True)
-    # An index file, which the scan must skip.
+    # An index file, which the scan must skip; a file without a header; an empty file.
     idx = spark.createDataFrame([("x",), (",".join(meta + headers),),
                                  ('"Idx","IDX1",LC,,,,DS' + ",1" * len(headers),)], "line string")
     write_lines(spark, idx.coalesce(1), f"{root}/LC/Index Returns", "DailyReturnsLC_9", "csv")
+    bad = spark.createDataFrame([("Daily export, all securities",), ("Co,U1,LC,,,,DS,1",)], "line string")
+    write_lines(spark, bad.coalesce(1), f"{root}/LC", "DailyReturnsLC_8", "csv")
+    write_empty(spark, f"{root}/USD/DailyReturnsUSD_7.csv")
+
+
+def write_empty(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p).close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A delivery: a folder of files appears below a root."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(target).getParent())
+    fs.rename(path(source), path(target))

@@ -176,13 +176,37 @@ def match_rows(t: Tables) -> DataFrame:
                     time_text.alias("TIME")))
 
 
+@_memo
+def security_prices(t: Tables) -> DataFrame:
+    """A long price history per security: one row per customer and shifted ship date (the shift of
+    ``period``, so that prices lie around the fiscal year ends); no market value where the discount is 0."""
+    li = t.lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    day = F.date_add(F.col("l_shipdate").cast("date"), (((F.col("o_custkey") % 5) * 6 - 6) * 365).cast("int"))
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+            .select(F.concat(F.lit("U"), _s("o_custkey")).alias("DSCode"), day.alias("Date"),
+                    F.when(F.col("o_custkey") % 2 == 0, "LC").otherwise("USD").alias("Currency"),
+                    F.col("l_extendedprice").alias("RI"),
+                    F.when(F.col("l_discount") > 0, F.col("l_quantity")).alias("MV")))
+
+
+@_memo
+def company_match(t: Tables) -> DataFrame:
+    """Matching rows whose company ids are those of the facts (one per customer)."""
+    return t.customer.select(F.concat(F.lit("U"), _s("c_custkey")).alias("DSCD"),
+                             F.concat(F.lit("C"), _s("c_custkey")).alias("WC06105"), F.col("c_nationkey").alias("GEOGC"))
+
+
 def wide_prices(t: Tables) -> DataFrame:
-    """Wide price frame: one row per security, one text column per day from the
+    """Wide price frame: one row per leg and security, one text column per day from the
     first to the last event, headed ``dd/MM/yyyy``; the 15th's header carries a
     duplicate marker, the 30th's is not a date, and cells of a 2nd of every
     seventh user read ``NA``. Built with a grouped pivot over the header list.
     """
-    return wide_from_leg(price_ri(t), "RI", wide_headers(t)).drop("suffix")
+    legs = [wide_from_leg(frame, leg, wide_headers(t)).withColumn("leg", F.lit(leg)) for leg, frame in
+            (("RI", price_ri(t)), ("MV", price_mv(t)))]
+    both = legs[0].unionByName(legs[1]).drop("suffix")
+    return both.select("DSCode", "Currency", "leg", *[F.col(f"`{c}`") for c in both.columns if c not in ("DSCode", "Currency", "leg")])
 
 
 def wide_from_leg(ri: DataFrame, value_col: str, headers: list) -> DataFrame:

@@ -121,20 +121,72 @@ CTES = {
     THEN 'NA' ELSE CAST(v AS VARCHAR) END AS cell
   FROM (SELECT DSCode, 'RI' AS leg, Date, RI AS v FROM fx_price_ri
         UNION ALL SELECT DSCode, 'MV', Date, MV FROM fx_price_mv) c"""),
-    "wide_long": (["fx_price_ri", "days", "cells"], """SELECT s.DSCode, s.Currency, s.h AS Date, c.cell AS Value
+    "wide_long": (["fx_price_ri", "fx_price_mv", "days", "cells"], """SELECT s.DSCode, s.Currency, s.leg, s.h AS Date, c.cell AS Value
   FROM (SELECT *, day.d AS d, day.h AS h FROM (SELECT *, unnest((SELECT list(days) FROM days)) AS day
-          FROM (SELECT DISTINCT DSCode, Currency FROM fx_price_ri) x) y) s
-  LEFT JOIN cells c ON c.DSCode = s.DSCode AND c.leg = 'RI' AND c.Date = s.d"""),
+          FROM (SELECT DISTINCT DSCode, Currency, 'RI' AS leg FROM fx_price_ri
+                UNION ALL SELECT DISTINCT DSCode, Currency, 'MV' FROM fx_price_mv) x) y) s
+  LEFT JOIN cells c ON c.DSCode = s.DSCode AND c.leg = s.leg AND c.Date = s.d"""),
     "wide_files": (["fx_price_ri", "fx_price_mv", "days", "cells"], """SELECT s.DSCode,
   CAST(strptime(nullif(regexp_extract(s.h, '^(\\d{2}/\\d{2}/\\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
   TRY_CAST(c.cell AS DOUBLE) AS Value, s.Currency, s.leg, '_' || CAST(s.suffix AS VARCHAR) AS suffix
   FROM (SELECT *, day.d AS d, day.h AS h FROM (SELECT *, unnest((SELECT list(days) FROM days)) AS day
           FROM (SELECT DISTINCT DSCode, Currency, suffix, 'RI' AS leg FROM fx_price_ri
+                UNION ALL SELECT DISTINCT NULL, Currency, suffix, 'RI' FROM fx_price_ri WHERE suffix = 0
                 UNION ALL SELECT DISTINCT DSCode, Currency, suffix, 'MV' FROM fx_price_mv) x) y) s
   LEFT JOIN cells c ON c.DSCode = s.DSCode AND c.leg = s.leg AND c.Date = s.d"""),
 }
 
 
+# Portfolios: lag over the whole history, an inequality join, ranks by row_number.
+CTES["fx_prices"] = ([], """SELECT 'U' || CAST(o_custkey AS VARCHAR) AS DSCode,
+  CAST(CAST(l_shipdate AS DATE) + CAST(((o_custkey % 5) * 6 - 6) * 365 AS INTEGER) AS DATE) AS Date,
+  CASE WHEN o_custkey % 2 = 0 THEN 'LC' ELSE 'USD' END AS Currency, l_extendedprice AS RI,
+  CASE WHEN l_discount > 0 THEN l_quantity END AS MV FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+CTES["index_returns"] = (["fx_prices"], """SELECT DSCode, Date, Currency, RI / nullif(i0, 0) - 1 AS ret, w0 AS weight FROM (
+  SELECT *, lag(RI) OVER (PARTITION BY DSCode, Currency ORDER BY Date) AS i0, lag(MV) OVER (PARTITION BY DSCode, Currency ORDER BY Date) AS w0
+  FROM (SELECT *, row_number() OVER (PARTITION BY DSCode, Currency, Date ORDER BY RI, MV NULLS FIRST) AS rn FROM fx_prices
+        WHERE RI IS NOT NULL AND Date IS NOT NULL) p WHERE rn = 1) q WHERE i0 IS NOT NULL""")
+CTES["folio"] = (["final"], f"""SELECT *, year(fye_date) AS fye_year FROM (
+  SELECT *, CA / nullif(CL, 0) AS CurrentRatio, (CA - CL) / nullif(CA, 0) AS WorkingCapital
+  FROM ({_dates("SELECT * FROM " + _item_part('final', 2201, 'CA') + " a JOIN " + _item_part('final', 3101, 'CL')
+                + " b USING (ws_id, point_date, freq, fiscal_period, cal1_55350)")}) d) f""")
+CTES["spells"] = (["folio"], f"""SELECT company, from_date, CAST(least(coalesce(nxt, DATE '9999-01-01'), CAST(from_date + INTERVAL 12 MONTH AS DATE)) AS DATE) AS to_date,
+  fye_bin, CurrentRatio, WorkingCapital FROM (
+  SELECT ws_id AS company, ff92_date AS from_date, lead(ff92_date) OVER (PARTITION BY ws_id ORDER BY ff92_date) AS nxt, {_BIN} AS fye_bin,
+    CurrentRatio, WorkingCapital
+  FROM (SELECT *, row_number() OVER (PARTITION BY ws_id, ff92_date ORDER BY pit_date DESC, fye_date, CurrentRatio NULLS FIRST, WorkingCapital NULLS FIRST) AS rn
+        FROM folio) r WHERE rn = 1) s""")
+CTES["fx_company"] = ([], """SELECT 'U' || CAST(c_custkey AS VARCHAR) AS DSCD, 'C' || CAST(c_custkey AS VARCHAR) AS WC06105,
+  c_nationkey AS GEOGC FROM customer""")
+CTES["held"] = (["index_returns", "spells", "fx_company"], """SELECT r.DSCode, r.Date, r.Currency, r.ret, r.weight, m.GEOGC, m.WC06105,
+  s.from_date, s.to_date, s.fye_bin, s.CurrentRatio, s.WorkingCapital
+  FROM index_returns r LEFT JOIN fx_company m ON m.DSCD = r.DSCode
+  JOIN spells s ON s.company = m.WC06105 AND r.Date >= s.from_date AND r.Date < s.to_date""")
+CTES["folio_members"] = (["spells", "fx_company"], """SELECT company, from_date, to_date, fye_bin, GEOGC, predictor, value,
+  CAST(1 + (rn_first > (n + 4) // 5)::INT + (rn_first > (2 * n + 4) // 5)::INT + (rn_first > (3 * n + 4) // 5)::INT
+         + (rn_first > (4 * n + 4) // 5)::INT AS INTEGER) AS portfolio
+  FROM (SELECT *, rank() OVER (PARTITION BY predictor, fye_bin, GEOGC ORDER BY value) AS rn_first,
+          count(*) OVER (PARTITION BY predictor, fye_bin, GEOGC) AS n
+        FROM (SELECT s.*, m.GEOGC FROM (
+                SELECT company, from_date, to_date, fye_bin, 'CurrentRatio' AS predictor, CurrentRatio AS value FROM spells UNION ALL
+                SELECT company, from_date, to_date, fye_bin, 'WorkingCapital', WorkingCapital FROM spells) s
+              LEFT JOIN (SELECT WC06105, min(GEOGC) AS GEOGC FROM fx_company GROUP BY 1) m ON m.WC06105 = s.company
+              WHERE value IS NOT NULL) v) w""")
+CTES["folio_returns"] = (["folio_members", "index_returns", "fx_company"], """SELECT predictor, fye_bin, p.GEOGC, portfolio, Date, count(ret) AS n,
+  avg(ret) AS ew_return, sum(CASE WHEN weight > 0 THEN weight * ret END) / nullif(sum(CASE WHEN weight > 0 AND ret IS NOT NULL THEN weight END), 0) AS vw_return
+  FROM index_returns r JOIN fx_company m ON m.DSCD = r.DSCode
+  JOIN folio_members p ON p.company = m.WC06105 AND r.Date >= p.from_date AND r.Date < p.to_date
+  GROUP BY predictor, fye_bin, p.GEOGC, portfolio, Date""")
+
+CTES["growth_items"] = (["final"], _dates("SELECT * FROM " + _item_part('final', 2201, 'CA') + " a JOIN " + _item_part('final', 3101, 'CL')
+                                          + " b USING (ws_id, point_date, freq, fiscal_period, cal1_55350)"))
+CTES["growth_prev"] = (["growth_items"], """SELECT * EXCLUDE (rn) FROM (
+  SELECT c.ws_id, c.point_date, c.freq, c.fiscal_period, p.CA AS prev_CA, p.CL AS prev_CL,
+    row_number() OVER (PARTITION BY c.ws_id, c.point_date, c.freq, c.fiscal_period ORDER BY p.point_date DESC, p.CA, p.CL) AS rn
+  FROM (SELECT DISTINCT ws_id, point_date, freq, fiscal_period FROM growth_items) c
+  JOIN growth_items p ON p.ws_id = c.ws_id AND p.freq = c.freq AND p.fiscal_period = c.fiscal_period - 1 AND p.point_date <= c.point_date) x
+  WHERE rn = 1""")
+
 CTES["wide_items"] = (["final_dedup"], "SELECT *, " + ", ".join(
     f"CAST(replace(cal1_{c}, '\"', '') AS DOUBLE) AS {n}" for c, n in _ACC_ITEMS) + " FROM ("
     "SELECT ws_id, point_date, freq, fiscal_period, cal1_55350, " + ", ".join(
@@ -201,9 +253,14 @@ _PANEL_FROM_FILES = """SELECT r.DSCode, r.Date, r.Currency, r.RI, m.MV, x.GEOGC,
    ON r.DSCode = m.DSCode AND r.Date = m.Date AND r.Currency = m.Currency AND r.suffix = m.suffix
  LEFT JOIN match_latest_v x ON r.DSCode = x.DSCD"""
 
+_FILE = "'Daily' || CASE leg WHEN 'RI' THEN 'Returns' ELSE 'MV' END || Currency || suffix || '.csv'"
+
 _ORDER_ALL = ("ws_id, point_date, freq, fiscal_period, item_code, value, ord, l_partkey, "
               "l_suppkey, cal1_55350, cal2_55559")
 
+_MERGED_COLUMNS = ("ws_id point_date freq fiscal_period item_code value ord l_partkey l_suppkey cal1_55350 cal1_55352 cal1_55555 "
+                   "cal1_57034 cal2_55558 cal2_55559").split()
+
 SQL = {
     "pivot_calendar": with_ctes("SELECT * FROM cal1", "cal1"),
     "pivot_reported": with_ctes("SELECT * FROM cal2", "cal2"),
@@ -245,17 +302,29 @@ SQL = {
         "SELECT *, Acc * 100 AS AccPct FROM ("
         f"SELECT *, (CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_dates(_chain('final_no_cols'))}) p) a",
         "final_no_cols"),
+    "predictor_growth": with_ctes("""SELECT g.*, (g.CA - prev_CA) / nullif(prev_CA, 0) AS AssetGrowth,
+ g.CA / nullif(g.CL, 0) - prev_CA / nullif(prev_CL, 0) AS RatioChange,
+ CASE WHEN g.CL > g.CA THEN g.CA / nullif(g.CL / nullif(g.CA / 2, 0), 0) END AS PerRisk
+ FROM growth_items g LEFT JOIN growth_prev p USING (ws_id, point_date, freq, fiscal_period)""", "growth_items", "growth_prev"),
     "predictor_columns": with_ctes(
         "SELECT ws_id, point_date, freq, fiscal_period, cal1_55350, Cash, CA, STD, CL, TA, "
         f"(CA - CL - Cash + STD) / nullif(TA, 0) AS Acc FROM ({_pivot('final_dedup')}) p", "final_dedup"),
+    "index_returns": with_ctes("SELECT * FROM index_returns", "index_returns"),
+    "returns_joined": with_ctes("SELECT * FROM held", "held"),
+    "portfolio_members": with_ctes("SELECT * FROM folio_members", "folio_members"),
+    "portfolio_returns": with_ctes("SELECT * FROM folio_returns", "folio_returns"),
+    "portfolio_spreads": with_ctes("""SELECT predictor, fye_bin, GEOGC, count(e5 - e1) AS n_days, avg(e5 - e1) AS ew_spread, avg(v5 - v1) AS vw_spread
+ FROM (SELECT predictor, fye_bin, GEOGC, Date, sum(ew_return) FILTER (WHERE portfolio = 1) AS e1, sum(ew_return) FILTER (WHERE portfolio = 5) AS e5,
+         sum(vw_return) FILTER (WHERE portfolio = 1) AS v1, sum(vw_return) FILTER (WHERE portfolio = 5) AS v5
+       FROM folio_returns WHERE portfolio IN (1, 5) GROUP BY ALL) d GROUP BY ALL""", "folio_returns"),
     "unpivot_prices": with_ctes("SELECT * FROM wide_long", "wide_long"),
-    "date_header_extract": with_ctes(r"""SELECT DSCode, Currency, Date AS header,
+    "date_header_extract": with_ctes(r"""SELECT DSCode, Currency, leg, Date AS header,
  nullif(regexp_extract(Date, '^(\d{2}/\d{2}/\d{4}).*', 1), '') AS CleanDate,
  CAST(strptime(nullif(regexp_extract(Date, '^(\d{2}/\d{2}/\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date
  FROM wide_long""", "wide_long"),
-    "lenient_cast": with_ctes(r"""SELECT DSCode, Currency,
+    "lenient_cast": with_ctes(r"""SELECT DSCode, Currency, leg,
  CAST(strptime(nullif(regexp_extract(Date, '^(\d{2}/\d{2}/\d{4}).*', 1), ''), '%d/%m/%Y') AS DATE) AS Date,
- TRY_CAST(Value AS DOUBLE) AS RI FROM wide_long""", "wide_long"),
+ TRY_CAST(Value AS DOUBLE) AS Price FROM wide_long""", "wide_long"),
     "price_join": with_ctes("SELECT * FROM price_join_v", "price_join_v"),
     "price_union": with_ctes("""SELECT DSCode, Date, Currency, suffix, RI, CAST(NULL AS DOUBLE) AS MV FROM fx_price_ri
  UNION ALL SELECT DSCode, Date, Currency, suffix, CAST(NULL AS DOUBLE) AS RI, MV FROM fx_price_mv""",
@@ -275,8 +344,11 @@ SQL = {
  CAST(count(DISTINCT cal2_55559) AS BIGINT) FROM merged""", "merged"),
     "profile_top10": with_ctes("""SELECT cal2_55559, count(*) AS frequency FROM merged GROUP BY cal2_55559
  ORDER BY frequency DESC, cal2_55559 ASC NULLS FIRST LIMIT 10""", "merged"),
-    "value_counts": with_ctes("""SELECT freq, count(*) AS counts FROM final
- WHERE item_code = 2003 AND freq IS NOT NULL GROUP BY freq""", "final"),
+    "profile_columns": with_ctes(" UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, value, frequency, (SELECT count(*) - count({c}) FROM merged) AS null_count,
+ (SELECT count(DISTINCT {c}) FROM merged) AS unique_count FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS frequency FROM merged GROUP BY 1
+ ORDER BY frequency DESC, value ASC NULLS FIRST LIMIT 10) t""" for c in _MERGED_COLUMNS), "merged"),
+    "value_counts": with_ctes("SELECT freq, count(*) AS counts FROM final WHERE freq IS NOT NULL GROUP BY freq", "final"),
     "fundamentals_from_files": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code,
  replace(value, '"', '') AS value, replace(cal1_55350, '"', '') AS cal1_55350, cal1_55352, cal1_55555, cal1_57034,
  cal2_55558, cal2_55559 FROM merged""", "merged"),
@@ -286,8 +358,45 @@ SQL = {
     "matching_from_files": with_ctes("""SELECT DSCD, WC06105, CAST(GEOGC AS VARCHAR) AS GEOGC, CAST(ISIN AS VARCHAR) AS ISIN, TIME
  FROM (SELECT *, row_number() OVER (PARTITION BY DSCD, WC06105 ORDER BY t DESC NULLS LAST, CAST(ISIN AS VARCHAR)) AS rn
        FROM fx_match) x WHERE rn = 1""", "fx_match"),
-    "parquet_append": with_ctes("""SELECT DSCode, Date, Currency, RI,
- CASE WHEN Currency = 'LC' THEN NULL ELSE suffix END AS suffix FROM fx_price_ri""", "fx_price_ri"),
+    "parquet_append": with_ctes("""SELECT DSCode, Date, Currency, RI, CAST(NULL AS DOUBLE) AS MV, CAST(NULL AS BIGINT) AS suffix FROM fx_price_ri
+ UNION ALL SELECT DSCode, Date, Currency, NULL, MV, suffix FROM fx_price_mv""", "fx_price_ri", "fx_price_mv"),
+    "parquet_quarantine": with_ctes("""SELECT DSCode, Date, Currency, RI, CAST(NULL AS DOUBLE) AS MV, suffix,
+ 'broken_1.parquet,broken_2.parquet' AS bad_files FROM fx_price_ri
+ UNION ALL SELECT DSCode, Date, Currency, NULL, MV, suffix, 'broken_1.parquet,broken_2.parquet' FROM fx_price_mv""", "fx_price_ri", "fx_price_mv"),
+    "fundamentals_to_items": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code, replace(value, '"', '') AS value,
+ replace(cal1_55350, '"', '') AS cal1_55350, cal2_55559 FROM final_no_cols""", "final_no_cols"),
+    "pipe_notes": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code,
+ CASE WHEN ord % 103 = 0 THEN NULL WHEN ord % 7 = 0 THEN 'See item ' || item_code || ',' || chr(10) || 'restated | "twice"'
+      WHEN ord % 11 = 0 THEN 'about 6" wide, ' || item_code ELSE 'plain ' || item_code END AS note,
+ ord % 101 = 0 OR ord % 103 = 0 AS is_bad FROM fx_facts""", "fx_facts"),
+    "incremental_load": with_ctes(f"""SELECT {_FILE} AS file, CAST(CASE Currency WHEN 'LC' THEN 1 ELSE 2 END AS INTEGER) AS batch, count(*) AS rows,
+ CAST(CASE Currency WHEN 'LC' THEN 1 + (SELECT count(DISTINCT (suffix, leg)) FROM wide_files WHERE Currency = 'LC')
+      ELSE 1 + (SELECT count(DISTINCT (suffix, leg)) FROM wide_files WHERE Currency = 'USD') END AS INTEGER) AS new_files,
+ CAST(0 AS INTEGER) AS new_in_last_run FROM wide_files GROUP BY Currency, leg, suffix""", "wide_files"),
+    "panel_with_item": with_ctes("""SELECT p.DSCode, p.Date, p.Currency, p.RI, p.MV, m.GEOGC, m.WC06105, f.value AS WS2201_PIT
+ FROM fx_prices p LEFT JOIN fx_company m ON m.DSCD = p.DSCode
+ LEFT JOIN (SELECT ws_id, point_date, value FROM final_no_cols WHERE item_code = 2201) f ON f.ws_id = m.WC06105 AND f.point_date = p.Date""",
+                                 "fx_prices", "fx_company", "final_no_cols"),
+    "load_report": with_ctes(f"""SELECT job, source, status, CAST(rows AS BIGINT) AS rows, CAST(bad_rows AS BIGINT) AS bad_rows FROM (
+ SELECT 'matching' AS job, 'csv' AS source, 'loaded' AS status, count(*) AS rows, 0 AS bad_rows FROM fx_match
+ UNION ALL SELECT 'matching', 'empty.csv', 'empty', 0, 0
+ UNION ALL SELECT 'matching', 'match', 'written', count(*), 0 FROM match_latest_v
+ UNION ALL SELECT 'prices', {_FILE}, 'loaded', count(*), count(*) FILTER (DSCode IS NULL) FROM wide_files GROUP BY Currency, leg, suffix
+ UNION ALL SELECT 'prices', 'DailyReturnsLC_8.csv', 'no header', 0, 0
+ UNION ALL SELECT 'prices', 'DailyReturnsUSD_7.csv', 'empty', 0, 0
+ UNION ALL SELECT 'prices', 'panel', 'written', count(*), 0 FROM ({_PANEL_FROM_FILES}) x
+ UNION ALL SELECT 'fundamentals', 'WSFV', 'loaded', count(*), 0 FROM fx_facts
+ UNION ALL SELECT 'fundamentals', 'WSCalendarPrd', 'loaded', count(*), 0 FROM fx_calendar
+ UNION ALL SELECT 'fundamentals', 'WSReportedPrd', 'loaded', count(*), 0 FROM fx_reported
+ UNION ALL SELECT 'fundamentals', 'items', 'written', count(*), 0 FROM final_no_cols
+ UNION ALL SELECT 'panels', n, 'written', count(DISTINCT coalesce(fye_bin, '-')), 0 FROM features, (SELECT unnest(['panel_A_diff_pit_to_fye',
+   'panel_B_diff_pit_to_ff92', 'panel_C_availability_at_FF92']) AS n) GROUP BY n
+ UNION ALL SELECT 'panels', 'panel_after_ff92_only', 'written', count(DISTINCT coalesce(fye_bin, '-')), 0 FROM features WHERE diff_to_ff92 > 0
+ UNION ALL SELECT 'panels', 'panel_before_ff92_only', 'written', count(DISTINCT coalesce(fye_bin, '-')), 0 FROM features WHERE diff_to_ff92 <= 0
+ UNION ALL SELECT 'panels', 'lag_counts', 'written', 1, 0
+ UNION ALL SELECT 'predictors', 'predictors', 'written', count(*), 0 FROM ({_chain('final')}) x
+ UNION ALL SELECT 'attach_item', 'panel_item', 'written', count(*), 0 FROM ({_PANEL_FROM_FILES}) x) r""",
+                             "fx_match", "match_latest_v", "wide_files", "fx_facts", "fx_calendar", "fx_reported", "final", "final_no_cols", "features"),
     "csv_roundtrip": _availability("features_merged"),
     "stream_ingest": with_ctes("""SELECT ws_id, point_date, freq, fiscal_period, item_code, replace(value, '"', '') AS value
  FROM fx_calendar""", "fx_calendar"),

@@ -30,9 +30,10 @@ def union_legs(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def price_panel(ri: DataFrame, mv: DataFrame, matching: DataFrame | None = None) -> DataFrame:
+def price_panel(ri: DataFrame, mv: DataFrame, matching: DataFrame | None = None,
+                pairs: DataFrame | None = None) -> DataFrame:
     """Paired return/market-value panel, optionally with the matching columns."""
-    panel = join_legs(ri, mv).drop("suffix")
+    panel = join_legs(ri, mv, pairs=pairs).drop("suffix")
     if matching is not None:
         panel = attach_matching(panel, matching)
     return panel

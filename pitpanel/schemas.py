@@ -82,6 +82,7 @@ PERIOD_KEYS = ["ws_id", "point_date", "freq", "fiscal_period"]
 REPORTED_KEYS = ["ws_id", "point_date", "freq"]
 ITEM_KEYS = ["ws_id", "point_date", "freq", "fiscal_period", "cal1_55350"]
 MATCH_KEYS = ["DSCD", "WC06105"]
+SECURITY_KEYS = ["DSCode", "Currency"]
 PRICE_KEYS = ["DSCode", "Date", "Currency"]
 MATCH_COLUMNS = ["DSCD", "ISIN", "LOC", "GEOGC", "WC06105", "TIME"]
 PRICE_META_COLUMNS = 7      # wide price files: date columns start at index 7
@@ -94,6 +95,10 @@ LEG_TAG_PATTERN = r"Daily(MV|Returns)(USD|LC)"
 INDEX_FOLDER_MARK = "Index Returns"
 # Currency tags looked up in the data-relative path, in this order; otherwise "Unknown".
 CURRENCY_TAGS = ("LC", "USD")
+# Portfolio step: a panel's company and country columns; the predictor table's company, the date from
+# which a predictor holds, the date it was known and the fiscal year's end.
+COMPANY_COLUMN, COUNTRY_COLUMN = "WC06105", "GEOGC"
+PREDICTOR_COMPANY, HOLD_FROM, PIT_DATE, FYE_DATE = "ws_id", "ff92_date", "pit_date", "fye_date"
 # File-name tag of the market-value leg (otherwise the return-index leg, "RI").
 MV_TAG = "MV"
 

@@ -3,10 +3,12 @@ any cluster file system). Only names travel to the driver, never data."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, root: str, recursive: bool = True) -> list:
+def list_status(spark: SparkSession, root: str, recursive: bool = True) -> list:
+    """(path, bytes, modification time in ms) of the files below ``root``."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -17,10 +19,15 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> list:
     out = []
     while it.hasNext():
         st = it.next()
-        out.append((st.getPath().toString(), st.getLen()))
+        out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
     return out
 
 
+def list_files(spark: SparkSession, root: str, recursive: bool = True) -> list:
+    """(path, bytes) of the files below ``root``."""
+    return [(p, n) for p, n, _ in list_status(spark, root, recursive)]
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a job has finished writing ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
@@ -41,3 +48,17 @@ def list_dirs(spark: SparkSession, root: str) -> list:
     if not fs.exists(path):
         return []
     return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate folder of this library (one made by ``session.work_dir``), nothing else."""
+    from pitpanel.session import work_dir
+    if not path.startswith(f"{work_dir(spark)}/pitpanel/"):
+        raise ValueError(f"not an intermediate folder: {path}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def plain_name(c) -> Column:
+    """A file name or path of ``_metadata`` (a URI) without %-escapes; a literal "+" stays."""
+    return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))

@@ -56,3 +56,13 @@ def with_row_count(df: DataFrame, name: str = "rows"):
     Returns ``(df, observation)``; read ``observation.get`` after the action."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+REPORT = "job string, source string, status string, rows bigint, bad_rows bigint"
+
+
+def append_report(rows: DataFrame, path: str | None) -> None:
+    """SK7: appends ``REPORT`` rows - one per input file of a load, one per output of the other jobs."""
+    if path:
+        rows.select("job", "source", "status", F.col("rows").cast("bigint").alias("rows"),
+                    F.col("bad_rows").cast("bigint").alias("bad_rows")).coalesce(1).write.mode("append").parquet(path)

@@ -128,3 +128,110 @@ def test_wide_prices_quoted_commas_and_short_lines(spark, tmpdir_uri):
     shutil.copy(part, part.rsplit("/", 1)[0] + "/RI_1.csv")
     got = {(r.DSCode, r.Date.day, r.Value) for r in wide_prices_long(spark, tmpdir_uri).collect()}
     assert got == {("X1", 1, 5.0), ("X1", 2, None), ("X1", 3, 3.0), ("X3", 1, 7.0), ("X3", 2, None), ("X3", 3, None)}
+
+
+BANNERED = ('Daily returns, LC, 2020, "all"\nName,DATES,c,d,e,f,g,01/01/2020,02/01/2020\n'
+            'A,X1,,,,,,5,6\n\nTotal\nB,X2,,,,,,7,8\n')
+
+
+def test_banner_is_the_first_line_whatever_it_holds(spark, tmpdir_uri):
+    write(f"{tmpdir_uri}/LC/DailyReturnsLC_1.csv", BANNERED.encode())
+    # a banner that looks like a header, and the header's line again below
+    write(f"{tmpdir_uri}/LC/DailyMVLC_1.csv", b"Prices,DATES\nName,DATES,c,d,e,f,g,01/01/2020\nA,X1,,,,,,5\n")
+    got = sorted((r.leg, r.DSCode, str(r.Date), r.Value) for r in wide_prices_long(spark, tmpdir_uri).collect() if r.DSCode)
+    assert got == [("MV", "X1", "2020-01-01", 5.0), ("RI", "X1", "2020-01-01", 5.0), ("RI", "X1", "2020-01-02", 6.0),
+                   ("RI", "X2", "2020-01-01", 7.0), ("RI", "X2", "2020-01-02", 8.0)]
+    none = [r for r in wide_prices_long(spark, tmpdir_uri).collect() if r.DSCode is None]
+    assert [(str(r.Date), r.Value) for r in none] == [("2020-01-01", None), ("2020-01-02", None)]       # "Total"
+
+
+def test_price_report_pairs_and_scans(spark, tmpdir_uri):
+    from pitpanel.plans.jobs import price_store
+    from pitpanel.plans.prices import price_panel
+    from pitpanel.sources.prices import leg_pairs, price_manifest
+    write(f"{tmpdir_uri}/in/LC/DailyReturnsLC_1.csv", BANNERED.encode())
+    write(f"{tmpdir_uri}/in/LC/DailyMVLC_1.csv", BANNERED.encode())
+    write(f"{tmpdir_uri}/in/LC/DailyReturnsLC_2.csv", BANNERED.encode())                # no partner
+    write(f"{tmpdir_uri}/in/USD/DailyReturnsUSD_1.csv", b"banner\nNo,header\nA,X1,,,,,,1,2\n")
+    write(f"{tmpdir_uri}/in/USD/DailyMVUSD_1.csv", b"")
+    write(f"{tmpdir_uri}/in/USD/Index Returns/DailyMVUSD_1.csv", BANNERED.encode())
+    pairs = {(r.suffix, r.Currency) for r in leg_pairs(price_manifest(spark, f"{tmpdir_uri}/in")).collect()}
+    assert pairs == {("_1", "LC"), ("_1", "USD")}                                        # from names alone
+    ri, mv, pairs = price_store(spark, f"{tmpdir_uri}/in", f"{tmpdir_uri}/store", f"{tmpdir_uri}/report")
+    got = {(r.source, r.status, r.rows, r.bad_rows) for r in spark.read.parquet(f"{tmpdir_uri}/report").collect()}
+    assert got == {("DailyReturnsLC_1.csv", "loaded", 6, 2), ("DailyMVLC_1.csv", "loaded", 6, 2), ("DailyReturnsLC_2.csv", "loaded", 6, 2),
+                   ("DailyReturnsUSD_1.csv", "no header", 0, 0), ("DailyMVUSD_1.csv", "empty", 0, 0)}
+    panel = price_panel(ri, mv, pairs=pairs)
+    assert panel.where("DSCode IS NOT NULL").count() == 4
+    plan = panel._jdf.queryExecution().optimizedPlan().toString()
+    assert "] text" not in plan and "] parquet" in plan                              # both legs from the store
+
+
+def test_new_and_changed_files_only(spark, tmpdir_uri):
+    from pitpanel.sources.prices import read_price_store, update_price_store
+    root, store, ledger = f"{tmpdir_uri}/in", f"{tmpdir_uri}/store", f"{tmpdir_uri}/ledger"
+
+    def rows():
+        return sorted((r.suffix, r.DSCode, r.Value, r.batch) for r in read_price_store(spark, store, ledger).collect() if r.DSCode)
+    write(f"{root}/LC/DailyMVLC_1.csv", b"b\nName,DATES,c,d,e,f,g,01/01/2020\nA,X1,,,,,,5\n")
+    assert update_price_store(spark, root, store, ledger) == 1
+    assert update_price_store(spark, root, store, ledger) == 0
+    write(f"{root}/LC/DailyMVLC_2.csv", b"b\nName,DATES,c,d,e,f,g,01/01/2020\nA,X2,,,,,,6\n")
+    assert update_price_store(spark, root, store, ledger) == 1
+    assert rows() == [("_1", "X1", 5.0, 1), ("_2", "X2", 6.0, 2)]
+    write(f"{root}/LC/DailyMVLC_1.csv", b"b\nName,DATES,c,d,e,f,g,01/01/2020\nA,X1,,,,,,50\n")      # delivered again
+    assert update_price_store(spark, root, store, ledger) == 1
+    assert rows() == [("_1", "X1", 50.0, 3), ("_2", "X2", 6.0, 2)]
+
+
+def test_notes_with_line_breaks_and_malformed_rows(spark, tmpdir_uri):
+    from pitpanel.sources.fundamentals import BAD, fundamentals_report, files_with_line_breaks, write_fundamentals_store
+    key = "C1|20201231|A|2020|"
+    broken = (key + '1|"first\nsecond | ""quoted""\n\nlast"\n' + key + '2|plain 6" mark\n' + key + "3\n" + key + "4|café|extra\n"
+              + key + '5|"one line"\n')
+    whole = key + '6|"a|b"\n' + key + "7|" + "long " * 20_000 + "\n" + key + '8|x"y"z\n'
+    write(f"{tmpdir_uri}/in/WSFVFootnote_1.txt", broken.encode("windows-1252"))
+    write(f"{tmpdir_uri}/in/WSFVFootnote_2 +.txt", whole.encode("windows-1252"))
+    names = files_with_line_breaks(spark, [f"{tmpdir_uri}/in/WSFVFootnote_1.txt", f"{tmpdir_uri}/in/WSFVFootnote_2 +.txt"])
+    assert [n.rsplit("/", 1)[-1] for n in names] == ["WSFVFootnote_1.txt"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")                            # splits within the records
+    try:
+        store = write_fundamentals_store(spark, f"{tmpdir_uri}/in", f"{tmpdir_uri}/store")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    notes = store["WSFVFootnote"]
+    assert {r.item_code: r.note for r in notes.collect()} == {
+        1: 'first\nsecond | "quoted"\n\nlast', 2: 'plain 6" mark', 3: None, 4: "café", 5: "one line", 6: "a|b",
+        7: ("long " * 20_000), 8: 'x"y"z'}
+    assert {r.item_code for r in notes.where(F.col(BAD).isNotNull()).collect()} == {3, 4}
+    assert sorted((r.file, r.rows, r.bad_rows) for r in fundamentals_report(store).collect()) == [
+        ("WSFVFootnote_1.txt", 5, 2), ("WSFVFootnote_2 +.txt", 3, 0)]
+
+
+def test_open_quotes_of_a_line():
+    import re
+    from pitpanel.sources.fundamentals import OPEN_AT_END
+    for line, is_open in (('a|"b', True), ('a|"b"', False), ('a|"b""', True), ('a|b"', False), ('"', True), ('""', False), ('"""', True),
+                          ('a|"b|c"|"d', True), ('a|"b"c|"d"', False), ('"a""b"|c', False), ('a "b|c', False), ("", False), ('x|"', True)):
+        assert bool(re.match(OPEN_AT_END, line)) == is_open, line
+
+
+def test_quarantine_of_unreadable_parquet(spark, tmpdir_uri):
+    from pitpanel.sources.matching import parquet_files, quarantine
+    sinks.write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "k int, a string").coalesce(1), f"{tmpdir_uri}/p", mode="append")
+    sinks.write_parquet(spark.createDataFrame([(3, 5)], "k int, b int").coalesce(1), f"{tmpdir_uri}/p", mode="append")
+    write(f"{tmpdir_uri}/p/cut off.parquet", b"PAR1 this is no footer")
+    good, bad = quarantine(spark, f"{tmpdir_uri}/p")
+    assert sorted(good.columns) == ["a", "b", "k"] and sorted(r.k for r in good.collect()) == [1, 2, 3]
+    assert [r.file.rsplit("/", 1)[-1] for r in bad.collect()] == ["cut%20off.parquet"]
+    assert sorted(r.rows for r in parquet_files(spark, f"{tmpdir_uri}/p").where("rows IS NOT NULL").collect()) == [1, 2]
+
+
+def test_only_intermediate_folders_are_removed(spark, tmpdir_uri):
+    from pitpanel.sources._fs import list_files, remove
+    spark.range(3).write.parquet(tmpdir_uri)
+    with pytest.raises(ValueError):
+        remove(spark, "/root/testdata")
+    remove(spark, tmpdir_uri)
+    assert list_files(spark, tmpdir_uri) == []
