@@ -9,7 +9,8 @@ substituted word breaks k grams, an inserted one k - 1; a template of n words ma
 ``edits(n)`` such edits (two, or one in seven words if that is more) but needs two votes; of a
 notice under 8 words two edits may leave fewer, and it is then not found. Words that tell licences apart
 (``TELLING`` and numbers) may not be edited: unless all grams voted, the span must have the template's
-telling words and no others ("version 2" is no changed "version 3").
+telling words and no others ("version 2" is no changed "version 3"). Templates may have any length, whole licence
+texts among them: what a match covers is counted by grouping its votes.
 The templates are a fixed list of this module, so broadcasting them is bounded.
 
 Base phrases are templates whose every gram must sit on one diagonal: their words stand
@@ -33,7 +34,7 @@ SHIFT = 2              # words by which edits next to an end of a notice may mov
 
 # Phrases whose places are counted, and licence notices with their labels.
 PHRASES = (
-    ("mit", "the mit license"),
+    ("mit", "under the mit license"),
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
@@ -41,6 +42,16 @@ NOTICES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
             "and associated documentation files the software to deal in the software without restriction"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation the "
+            "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+            "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+            "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+            "software is provided as is without warranty of any kind express or implied including but not limited to the "
+            "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+            "authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+            "contract tort or otherwise arising from out of or in connection with the software or the use or other dealings "
+            "in the software"),
     ("apache-2", "licensed under the apache license version 2 0"),
     ("apache-2", "you may not use this file except in compliance with the license "
                  "you may obtain a copy of the license at"),
@@ -79,8 +90,8 @@ def template_rows(phrases=PHRASES, notices=NOTICES, k: int = K) -> list:
         for label, text in entries:
             w = text.split()
             n = len(w) - k + 1
-            if not 1 <= n <= 63:
-                raise ValueError(f"a template needs {k} to {62 + k} words: {text}")
+            if n < 1:
+                raise ValueError(f"a template needs {k} words or more: {text}")
             out += [(f"{base}:{label}:{text}", label, base, n, i, " ".join(w[i:i + k])) for i in range(n)]
     return out
 
@@ -120,30 +131,31 @@ def spans(spark: SparkSession, found: DataFrame, rows: list, k: int = K, gap: in
         [(name, [w for w in name.split(":", 2)[2].split() if tells(w)],
           max(n - k * edits(n + k - 1), min(LEAST_VOTES, n))) for name, n in sorted({(r[0], r[3]) for r in rows})],
         "template string, tells array<string>, least int")
+    # a place of a template and a diagonal make a place of the text: each row is another vote
     votes = (found.select("rid", F.inline("hits"))
              .join(F.broadcast(templates), "gram")
-             .groupBy("rid", "template", "label", "base", "n_grams", (F.col("pos") - F.col("place")).alias("diagonal"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))).alias("mask"),
-                  F.min("pos").alias("start"), (F.max("pos") + k).alias("end"),
-                  F.min("place").alias("first"), F.max("place").alias("last")))
-    full = votes.where(F.col("base") & (F.bit_count("mask") == F.col("n_grams")))
-    w = Window.partitionBy("rid", "template").orderBy("diagonal")
-    merged = (votes.where(~F.col("base"))
+             .select("rid", "template", "label", "base", "n_grams", "place", "pos", (F.col("pos") - F.col("place")).alias("diagonal")))
+    kind = ["rid", "template", "label", "base", "n_grams"]
+    full = (votes.where("base").groupBy(*kind, "diagonal")
+            .agg(F.count(F.lit(1)).alias("hit"), F.min("pos").alias("start"), (F.max("pos") + k).alias("end"))
+            .where("hit = n_grams").withColumn("cover", F.lit(1.0)))
+    w = Window.partitionBy("rid", "template").orderBy("diagonal", "place")
+    merged = (votes.where("NOT base")
               .withColumn("fresh", F.when(F.col("diagonal") - F.lag("diagonal").over(w) <= gap, 0).otherwise(1))
               .withColumn("match", F.sum("fresh").over(w))
-              .groupBy("rid", "template", "label", "base", "n_grams", "match")
-              .agg(F.bit_or("mask").alias("mask"), F.min("start").alias("start"), F.max("end").alias("end"),
-                   F.min("first").alias("first"), F.max("last").alias("last")))
-    cover = F.bit_count("mask") / F.col("n_grams")
+              .groupBy(*kind, "match")
+              .agg(F.count_distinct("place").alias("hit"), F.min("pos").alias("start"), (F.max("pos") + k).alias("end"),
+                   F.min("place").alias("first"), F.max("place").alias("last")))
     near = (merged.join(F.broadcast(known), "template")
-            .where((F.bit_count("mask") >= F.col("least"))
+            .where((F.col("hit") >= F.col("least"))
                    & (F.col("end") - F.col("start") <= (F.col("n_grams") + k - 1) * 1.5 + gap)))
     begin, stop = F.col("start") - F.col("first"), F.col("end") + F.col("n_grams") - 1 - F.col("last")
     shifts = F.array(*[F.lit(i) for i in range(-SHIFT, SHIFT + 1)])
     same = F.exists(shifts, lambda a: F.exists(shifts, lambda b: F.transform(
         F.filter("telling", lambda s: (s["pos"] >= begin + a) & (s["pos"] < stop + b)), lambda s: s["word"]) == F.col("tells")))
-    verified = near.join(found.select("rid", "telling"), "rid").where((F.bit_count("mask") == F.col("n_grams")) | same)
-    cols = ["rid", "label", "base", "start", "end", cover.cast("double").alias("cover")]
+    verified = (near.join(found.select("rid", "telling"), "rid").where((F.col("hit") == F.col("n_grams")) | same)
+                .withColumn("cover", F.col("hit") / F.col("n_grams")))
+    cols = ["rid", "label", "base", "start", "end", "cover"]
     return full.select(*cols).unionByName(verified.select(*cols))
 
 
