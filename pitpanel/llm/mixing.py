@@ -7,9 +7,9 @@ document posteriors p_d. Rates r >= 0 minimise
     1/2 sum_d (sum_i r_i q_i p_id - w_d)^2 / m_d  +  mu/2 sum_i q_i (r_i - 1)^2
 
 (q_i: the document's share of all tokens, w_d: target weight, m_d = sum_i q_i p_id) by projected
-gradient descent from r = 1. A step needs the domains' expected token totals only, one aggregation over
+gradient descent from r = 1, with momentum. A step needs the domains' expected token totals only, one aggregation over
 all documents; since every document starts at 1, its rate is the same fold over the steps'
-multipliers everywhere, so no table of rates is rewritten between steps. The total of tokens is kept.
+multipliers everywhere, so rates are written every ``FOLDED`` steps only. The total of tokens is kept.
 
 A document is then taken floor(r + u) times, u being a hash of doc_id and text in [0, 1).
 
@@ -38,7 +38,9 @@ STEPS, RATE, RIDGE = 120, 0.3, 2e-4
 DOMAINS = ("clean", "toxic", "low")
 TARGETS = {"clean": 0.92, "toxic": 0.04, "low": 0.04}
 CEILINGS = ("toxic", "low")      # for ``ceilings=``: targets as upper limits; such a domain is then never raised
-MU, MAX_STEPS, TOLERANCE = 1e-3, 40, 1e-4
+MU, TOLERANCE = 1e-5, 1e-4         # so weak a pull to 1 moves no weight by the tolerance
+FOLDED = 10                      # steps between two writings of the rates
+PATIENCE, LEAST_GAIN = 12, 0.01  # descent ends after so many steps that come no nearer by this share
 
 
 def fit(feature: np.ndarray, owner: np.ndarray, label: np.ndarray, classes: int) -> np.ndarray:
@@ -73,7 +75,7 @@ def posteriors(x: np.ndarray, feature: np.ndarray, owner: np.ndarray, n: int) ->
 
 
 def classify(docs: DataFrame, labels: DataFrame, rows: int = ROWS, keep: tuple = ()) -> tuple:
-    """((doc_id, n_tokens, u, p array<double>, *keep), names of the domains that have labels)."""
+    """((doc_id, n_tokens, u, p array<double>, *keep), names of the domains that have labels); ``keep`` may name the text."""
     domain = F.when(F.col("quality") == 0, 2).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 0)
     feature, _, owner, label = X.sample(docs, labels, {"domain": domain}, rows,
                                         lambda by_class, size: X.telling_classes(by_class, size, LEAST_DOCS, CHI2))
@@ -91,77 +93,100 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = ROWS, keep: tuple =
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, j - i), pa.array(words.astype(np.int64)), b.column("u").slice(i, j - i),
                      pa.ListArray.from_arrays(ends, pa.array(p.astype(np.float64).ravel())),
-                     *[b.column(c).slice(i, j - i) for c in ["text", *keep] if keep]],
-                    ["doc_id", "n_tokens", "u", "p", *(["text", *keep] if keep else [])])
+                     *[b.column(c).slice(i, j - i) for c in keep]], ["doc_id", "n_tokens", "u", "p", *keep])
 
     hashed = F.pmod(F.xxhash64("doc_id", "text", F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
-    d = texts(docs, *keep).withColumn("u", hashed)
-    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in d.schema.fields if keep and f.name not in ("doc_id", "u"))
+    d = texts(docs, *[c for c in keep if c != "text"]).withColumn("u", hashed)
+    more = "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in keep)
     return d.mapInArrow(run, "doc_id bigint, n_tokens bigint, u double, p array<double>" + more), names
 
 
-def fold(steps: list) -> F.Column:
-    """A document's rate after the given steps (each a list of one multiplier per domain)."""
-    rate = F.lit(1.0)
+def fold(steps: list, state: F.Column) -> F.Column:
+    """A document's (r, before) after the given steps from ``state``: the rate and the one of the step before. A
+    step is one multiplier per domain and its momentum."""
     if not steps:
-        return rate
+        return state
     history = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
-    eta = 1 / (1 + MU)
+    domains, eta = len(steps[0]) - 1, 1 / (1 + MU)
 
-    def step(r, lam):
-        pull = F.aggregate(F.zip_with("p", lam, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(r - eta * (pull + MU * (r - 1)), F.lit(0.0))
-    return F.aggregate(history, rate, step)
+    def step(s, lam):
+        y = ahead(s, F.element_at(lam, -1))
+        pull = F.aggregate(F.zip_with("p", F.slice(lam, 1, domains), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+        return F.struct(F.greatest(y - eta * (pull + MU * (y - 1)), F.lit(0.0)).alias("r"), s["r"].alias("before"))
+    return F.aggregate(history, state, step)
+
+
+def ahead(state: F.Column, momentum) -> F.Column:
+    """The point at which the next gradient is taken."""
+    return F.greatest(state["r"] + momentum * (state["r"] - state["before"]), F.lit(0.0))
 
 
 def rates(members: DataFrame, names: list, targets: dict = TARGETS, ceilings: tuple = ()) -> tuple:
     """(``members`` with ``rate`` and ``copies``, reached weights by domain). Targets are matched; only a
-    domain of ``ceilings`` is not raised to its target, and what it lacks goes to the other domains."""
+    domain of ``ceilings`` is not raised to its target, and what it lacks goes to the other domains.
+    Descent goes on until the weights are within ``TOLERANCE`` or no longer come nearer (targets that no rates
+    reach, say of a domain that no document belongs to); every ``FOLDED`` steps the rates are
+    written, so that a step's cost does not grow with the steps before it."""
     if not names:
         return members.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), {}
     w = np.array([targets.get(n, 0.0) for n in names])
     w = w / w.sum() if w.sum() > 0 else np.full(len(names), 1 / len(names))
 
-    def totals(rate):
-        row = members.agg(F.sum("n_tokens").alias("t"),
-                          *[F.sum(rate * F.col("n_tokens") * F.get("p", F.lit(i))) for i in range(len(names))]).first()
+    def totals(rows, rate):
+        row = rows.agg(F.sum("n_tokens").alias("t"),
+                       *[F.sum(rate * F.col("n_tokens") * F.get("p", F.lit(i))) for i in range(len(names))]).first()
         return np.array([v or 0.0 for v in row[1:]], dtype=float) / max(row[0] or 0, 1)
 
-    steps: list = []
-    mass = reached = totals(F.lit(1.0))
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("before"))
+    rows, state, steps, momentum, pace = members, start, [], 0.0, 1.0
+    mass = reached = totals(members, F.lit(1.0))
     limited = np.array([n in ceilings for n in names])
     if not limited.all() and mass.sum() > 0:
         w = np.where(limited, np.minimum(w, mass), w)
         w[~limited] *= (1 - w[limited].sum()) / max(w[~limited].sum(), 1e-12)
-    for _ in range(MAX_STEPS if mass.sum() > 0 else 0):
-        if np.abs(reached - w).max() <= TOLERANCE:
+    nearest, since, last = np.inf, 0, np.inf
+    while mass.sum() > 0:
+        far = np.abs(reached - w).max()
+        nearest, since = (far, 0) if far < nearest * (1 - LEAST_GAIN) else (nearest, since + 1)
+        if far <= TOLERANCE or since >= PATIENCE:
             break
-        steps.append(((reached - w) / np.maximum(mass, 1e-12)).tolist())
-        reached = totals(fold(steps))
-    rate = fold(steps)
-    out = members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + F.col("u")).cast("int"))
+        if far > last:                                            # momentum overshoots: begin anew
+            pace, momentum = 1.0, 0.0
+        last = far
+        steps.append([*((reached - w) / np.maximum(mass, 1e-12)).tolist(), momentum])
+        pace, faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2, pace
+        momentum = (faster - 1) / pace
+        if len(steps) == FOLDED:
+            rows, state, steps = staged(rows.withColumn("state", fold(steps, state)), "mix-rates"), F.col("state"), []
+        reached = totals(rows, ahead(fold(steps, state), F.lit(momentum)))
+    out = (rows.withColumn("rate", ahead(fold(steps, state), F.lit(momentum))).drop("state")
+           .withColumn("copies", F.floor(F.col("rate") + F.col("u")).cast("int")))
     return out, dict(zip(names, reached.tolist()))
 
 
 def report(names: list, targets: dict, reached: dict) -> None:
-    log.info("mixing: %s", ", ".join(f"{n} target {targets.get(n, 0.0):.4f} reached {reached[n]:.4f}"
-                                     for n in names if n in reached) or "no labelled domain")
+    total = sum(targets.get(n, 0.0) for n in names) or 1.0
+    told = ", ".join(f"{n} target {targets.get(n, 0.0) / total:.4f} reached {reached[n]:.4f}" for n in names if n in reached)
+    missed = any(abs(reached[n] - targets.get(n, 0.0) / total) > 2 * TOLERANCE for n in reached)
+    (log.warning if missed else log.info)("mixing: %s", told or "no labelled domain")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS, ceilings: tuple = ()) -> DataFrame:
-    """One row per document: (doc_id, n_tokens, p_<domain>..., rate, copies)."""
+    """One row per document: (doc_id, n_tokens, p_<domain>..., rate, copies, reached_<domain>...): the weight that each
+    domain reaches under all rates (NULL for a domain without labels)."""
     members, names = classify(docs, labels, rows)
     out, reached = rates(staged(members, "mix"), names, targets, ceilings)
     report(names, targets, reached)
     p = [F.get("p", F.lit(names.index(n))).alias(f"p_{n}") if n in names else F.lit(0.0).alias(f"p_{n}") for n in DOMAINS]
-    return out.select("doc_id", "n_tokens", *p, "rate", "copies")
+    got = [F.lit(reached.get(n)).cast("double").alias(f"reached_{n}") for n in DOMAINS]
+    return out.select("doc_id", "n_tokens", *p, "rate", "copies", *got)
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, rows: int = ROWS, ceilings: tuple = ()) -> DataFrame:
     """The documents, each as often as its rate asks for, with their columns."""
     keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    inner = docs.select("doc_id", "text", *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    members, names = classify(inner, labels, rows, tuple(f"k{i}" for i in range(len(keep))) or ("u",))
+    inner = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    members, names = classify(inner, labels, rows, ("text", *[f"k{i}" for i in range(len(keep))]))
     out, reached = rates(staged(members, "mix"), names, targets, ceilings)
     report(names, targets, reached)
     again = out.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
