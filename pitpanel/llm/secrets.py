@@ -33,11 +33,13 @@ BASE_RULES = (
     ("access", r"AKIA[A-Z0-9]+", re.ASCII, 0, 18),
     ("hex", r"[0-9a-f]{16,}", re.ASCII, 0, 16),       # a run of 16+ is the run that [0-9a-f]+ finds
 )
+# Each is linear in the text: a run of characters is tried from its beginning only and never given back.
 MORE_RULES = (
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", re.ASCII, 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII, 0, 1),
-    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", re.ASCII, 0, 1),
-    ("url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,80}:[^\s:/@]{3,80}@", re.ASCII, 0, 1),
+    # to the END line, or the header alone where the next line of dashes is not that
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----)?", re.ASCII, 0, 1),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", re.ASCII, 0, 1),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}+", re.ASCII, 0, 1),
+    ("url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]*+:[^\s:/@]++@", re.ASCII, 0, 1),
 )
 LEDGER = "sha binary, rule_version string, spans array<struct<kind:string,start:int,end:int>>"
 
@@ -69,9 +71,9 @@ def update(versions: DataFrame, ledger: str, rules=BASE_RULES + MORE_RULES) -> D
     rows (sha, spans) of this rule version. One scan writes to a ledger at a time."""
     spark, version = versions.sparkSession, rule_version(rules)
     blobs = texts(versions).select(F.unhex(F.sha2("text", 256)).alias("sha"), "text")
-    # one copy of each blob, combined before the shuffle; then without the ledger's
-    unseen = (blobs.groupBy("sha").agg(F.first("text").alias("text"))
-              .join(ledger_rows(spark, ledger, version).select("sha").distinct(), "sha", "left_anti"))
+    # which addresses are new is found without the texts; then one copy of each new blob, combined before the shuffle
+    new = blobs.select("sha").distinct().join(ledger_rows(spark, ledger, version).select("sha"), "sha", "left_anti")
+    unseen = blobs.join(new, "sha", "left_semi").groupBy("sha").agg(F.first("text").alias("text"))
 
     def run(batches):
         compiled = [(k, re.compile(p, f), g, n) for k, p, f, g, n in rules]
