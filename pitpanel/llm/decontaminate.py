@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import shingles as S
-from pitpanel.llm.base import staged, texts
+from pitpanel.llm.base import staged, texts, without_ids
 
 SEED = 5
 COVERAGE = 0.5
@@ -240,5 +240,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, covera
 
 def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
     """The documents without those that are contaminated (by doc_id), with their columns."""
-    bad = contaminated(docs, benchmark, seed, coverage).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
+    return without_ids(docs, contaminated(docs, benchmark, seed, coverage).select("doc_id"))

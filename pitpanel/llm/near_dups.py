@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import shingles as S
-from pitpanel.llm.base import staged, texts
+from pitpanel.llm.base import staged, texts, unused
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -308,11 +308,12 @@ def classes(docs: DataFrame, **params) -> DataFrame:
 
 
 def representatives(docs: DataFrame, **params) -> DataFrame:
-    """One document of each class - the one with the least doc_id - with its columns."""
+    """One document of each class - the one with the least doc_id - with its columns. Of rows that
+    repeat its doc_id and text any one stays."""
     _, named = text_classes(docs, **params)
+    own, kept, kept_id = unused(docs, "_own_content", "_kept_content", "_kept_id")
     first = named.groupBy("class").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "content")).alias("r"))
-    keep = first.select(F.col("r.content").alias("_kept_content"), F.col("r.first_id").alias("_kept_id"))
-    own = docs.withColumn("_own_content", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
-    return (own.join(keep, (F.col("_own_content") == F.col("_kept_content")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")),
-                     "left_semi")
-            .dropDuplicates(["doc_id", "_own_content"]).drop("_own_content"))
+    keep = first.select(F.col("r.content").alias(kept), F.col("r.first_id").alias(kept_id))
+    rows = docs.withColumn(own, F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    return (rows.join(keep, (F.col(own) == F.col(kept)) & F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+            .dropDuplicates(["doc_id", own]).drop(own))

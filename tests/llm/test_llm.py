@@ -416,4 +416,4 @@ def test_pipeline_stages(spark, docs, rows):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.judge(docs, labels).where("kept").collect()}
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
-    assert set(QUERIES) >= {"pipeline"} and len(QUERIES) == 11
+    assert set(QUERIES) >= {"pipeline"} and len(QUERIES) == 14
