@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitpanel.schemas import AVAILABILITY_COLUMNS, DISTRIBUTION_COLUMNS
+
 
 def _histogram(df: DataFrame, group_col: str, value_col: str, count_col: str | None = None) -> DataFrame:
     """``(group, value, count)`` with a running count of non-NULL values per
@@ -70,7 +72,7 @@ def _quantile(q: float, value_col: str, interpolation: str = "nearest"):
 
 
 def nearest_quantiles(df: DataFrame, group_col: str, value_col: str,
-                      quantiles=(0.1, 0.9), names=("10thPct", "90thPct"),
+                      quantiles=(0.1, 0.9), names=DISTRIBUTION_COLUMNS[3:],
                       interpolation: str = "nearest") -> DataFrame:
     """Exact quantiles per group (AG5), by default with nearest-rank
     interpolation: the value of rank round((n-1)·q)+1 among the group's n
@@ -93,6 +95,7 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
     median is the midpoint of the values at ranks floor((n+1)/2) and
     ceil((n+1)/2).
     """
+    mean, median, std_dev, low, high = DISTRIBUTION_COLUMNS
     hist = _histogram(df, group_col, value_col, count_col)
     dec = T.DecimalType(38, 0)
     v = F.col(value_col).cast(T.DecimalType(20, 0))
@@ -103,8 +106,8 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
         F.sum((v * v * c).cast(dec)).alias("_S2"),
         _value_at_rank(F.floor((F.col("_n") + 1) / 2), value_col).alias("_lo"),
         _value_at_rank(F.ceil((F.col("_n") + 1) / 2), value_col).alias("_hi"),
-        _quantile(0.1, value_col, interpolation).alias("10thPct"),
-        _quantile(0.9, value_col, interpolation).alias("90thPct"))
+        _quantile(0.1, value_col, interpolation).alias(low),
+        _quantile(0.9, value_col, interpolation).alias(high))
     n, s1, s2 = F.col("_N"), F.col("_S1"), F.col("_S2")
     var = F.when(n > 1, ((s2 - s1 * s1 / n) / (n - 1)).cast("double"))
     std = F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0))))
@@ -112,27 +115,24 @@ def distribution_panel(df: DataFrame, group_col: str, value_col: str,
         std = F.round(std, std_digits)
     return (stats.select(
         group_col,
-        F.round(F.when(n > 0, s1.cast("double") / n), 1).alias("Mean"),
-        ((F.col("_lo") + F.col("_hi")) / 2).cast("double").alias("Median"),
-        std.alias("StdDev"),
-        "10thPct", "90thPct")
+        F.round(F.when(n > 0, s1.cast("double") / n), 1).alias(mean),
+        ((F.col("_lo") + F.col("_hi")) / 2).cast("double").alias(median),
+        std.alias(std_dev), low, high)
         .orderBy(F.col(group_col).asc_nulls_first()))
 
 
 def availability_panel(df: DataFrame, group_col: str, value_col: str, count_col: str | None = None) -> DataFrame:
     """Rows, late (> 0) and available (<= 0) counts and their percentages
     per group (AG6-AG8). N counts rows with a NULL lag too."""
+    rows, late_n, late_pct, avail_n, avail_pct = AVAILABILITY_COLUMNS
     v = F.col(value_col)
     w, none = _weight(count_col), F.lit(0).cast("bigint")
     n = F.sum(w)
     late = F.sum(F.when(v > 0, w).otherwise(none))
     avail = F.sum(F.when(v <= 0, w).otherwise(none))
     return (df.groupBy(group_col).agg(
-        n.alias("N"),
-        late.alias("FF92_not_available"),
-        F.round(late / n * 100, 1).alias("Pct_FF92_not_avail"),
-        avail.alias("Data_available_by_FF92"),
-        F.round(avail / n * 100, 1).alias("Pct_data_avail_by_FF92"))
+        n.alias(rows), late.alias(late_n), F.round(late / n * 100, 1).alias(late_pct),
+        avail.alias(avail_n), F.round(avail / n * 100, 1).alias(avail_pct))
         .orderBy(F.col(group_col).asc_nulls_first()))
 
 

@@ -26,6 +26,7 @@ from pitpanel.plans import lag
 from pitpanel.plans import portfolios as pf
 from pitpanel.plans import prices as px
 from pitpanel.plans.predictors import predictors, predictors_from_wide
+from pitpanel.schemas import PANEL_FILES
 from pitpanel.session import work_dir
 from pitpanel.sources import sinks
 from pitpanel.sources._fs import is_complete, list_files, remove
@@ -143,19 +144,19 @@ def panels(final_no_cols: DataFrame, std_digits=None) -> dict:
     """CJ4-CJ6 from one small table, the lags' histogram: the facts are read once."""
     hist = materialize(lag.lag_histogram(lag.lag_features(final_no_cols)), "lag-histogram")
     return {
-        "panel_A_diff_pit_to_fye": lag.panel_a(hist, std_digits, "n"),
-        "panel_B_diff_pit_to_ff92": lag.panel_b(hist, std_digits, "n"),
-        "panel_C_availability_at_FF92": lag.panel_c(hist, "n"),
-        "panel_after_ff92_only": lag.panel_after(hist, std_digits, "n"),
-        "panel_before_ff92_only": lag.panel_before(hist, std_digits, "n"),
-        "lag_counts": lag.lag_counts(hist, "n"),
+        PANEL_FILES["a"]: lag.panel_a(hist, std_digits, "n"),
+        PANEL_FILES["b"]: lag.panel_b(hist, std_digits, "n"),
+        PANEL_FILES["c"]: lag.panel_c(hist, "n"),
+        PANEL_FILES["after"]: lag.panel_after(hist, std_digits, "n"),
+        PANEL_FILES["before"]: lag.panel_before(hist, std_digits, "n"),
+        PANEL_FILES["counts"]: lag.lag_counts(hist, "n"),
     }
 
 
 def panels_job(spark: SparkSession, final_path: str, out_dir: str, if_exists: str = "overwrite",
                report: str | None = None) -> None:
     """Write every panel as a CSV with header (SK2)."""
-    if _skipped(spark, f"{out_dir}/lag_counts", if_exists):          # the last one written
+    if _skipped(spark, f"{out_dir}/{PANEL_FILES['counts']}", if_exists):          # the last one written
         return
     for name, df in panels(spark.read.parquet(final_path)).items():
         _write_counted(df, f"{out_dir}/{name}", sinks.write_panel_csv, "panels", report)

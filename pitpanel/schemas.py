@@ -99,6 +99,17 @@ CURRENCY_TAGS = ("LC", "USD")
 # which a predictor holds, the date it was known and the fiscal year's end.
 COMPANY_COLUMN, COUNTRY_COLUMN = "WC06105", "GEOGC"
 PREDICTOR_COMPANY, HOLD_FROM, PIT_DATE, FYE_DATE = "ws_id", "ff92_date", "pit_date", "fye_date"
+# Names of the lag panels' files and of their columns.
+PANEL_FILES = {
+    "a": "panel_A_diff_pit_to_fye",
+    "b": "panel_B_diff_pit_to_ff92",
+    "c": "panel_C_availability_at_FF92",
+    "after": "panel_after_ff92_only",
+    "before": "panel_before_ff92_only",
+    "counts": "lag_counts",
+}
+DISTRIBUTION_COLUMNS = ("Mean", "Median", "StdDev", "10thPct", "90thPct")
+AVAILABILITY_COLUMNS = ("N", "FF92_not_available", "Pct_FF92_not_avail", "Data_available_by_FF92", "Pct_data_avail_by_FF92")
 # File-name tag of the market-value leg (otherwise the return-index leg, "RI").
 MV_TAG = "MV"
 
