@@ -227,8 +227,13 @@ FOLIO_NAMES = [p.name for p in FOLIO_REGISTRY]
 
 
 def _folio_predictors(t) -> DataFrame:
-    final = _final(t).select(*ITEM_KEYS, "item_code", "value")
-    return pr.predictors(final, FOLIO_REGISTRY, mode="split")
+    """From the registry's items and the period markers that are read, written once: ``split`` reads its
+    input once per part."""
+    from pitpanel.plans.jobs import materialize
+    facts = fx.facts(t).where(F.col("item_code").isin(registry_codes(FOLIO_REGISTRY)))
+    calendar = fx.calendar(t).where(F.col("item_code").isin(55350, 55555))
+    final = fu.final(fu.merged(facts, calendar, fx.reported(t))).select(*ITEM_KEYS, "item_code", "value")
+    return pr.predictors(materialize(final, "folio-items"), FOLIO_REGISTRY, mode="split")
 
 
 def _members(t) -> DataFrame:

@@ -155,3 +155,11 @@ def test_portfolios_job(spark):
     assert jobs.portfolios_job(spark, f"{out}/predictors", f"{out}/panel", f"{out}/match", f"{out}/folios", if_exists="skip") == 0
     with pytest.raises(Exception):
         pf.formation(spark.read.parquet(f"{out}/predictors"), spark.read.parquet(f"{out}/match"), ["absent"]).count()
+
+
+def test_folio_items_are_written_once(spark):
+    """Breakpoints, spells and both parts of ``split`` read written items, not the facts once more each."""
+    from pitpanel.plans import catalog
+    t = catalog._t(spark, "/root/testdata/sf0.001")
+    plan = catalog._folio_predictors(t)._jdf.queryExecution().executedPlan().toString()
+    assert "folio-items" in plan and "lineitem" not in plan and "orders" not in plan
