@@ -364,12 +364,14 @@ def q_head_export(spark, d):
 # --- file sources and sinks --------------------------------------------------
 
 def q_fundamentals_from_files(spark, d):
-    """SC5/SC6 + CJ3: pipe files (each kind's text parsed once, file order as "first")."""
+    """SC5/SC6 + CJ3: pipe files (each kind's text parsed once, file order as "first"). The facts, which the
+    join reads twice, come from a typed store; each period kind is read once, from its text."""
     from pitpanel.plans.fixture_files import write_fundamentals_files
-    from pitpanel.sources.fundamentals import BAD, write_fundamentals_store
+    from pitpanel.sources.fundamentals import BAD, read_fundamentals, write_fundamentals_store
     root = work_dir(spark, "ws")
     write_fundamentals_files(spark, _t(spark, d), root)
-    k = write_fundamentals_store(spark, root, work_dir(spark, "ws-store"))
+    k = {**read_fundamentals(spark, root, ["WSCalendarPrd", "WSReportedPrd"]),
+         **write_fundamentals_store(spark, root, work_dir(spark, "ws-store"), ["WSFV"])}
     k = {kind: df.drop(BAD) for kind, df in k.items()}
     return fu.merged(k["WSFV"], k["WSCalendarPrd"], k["WSReportedPrd"]).drop("ord")
 

@@ -56,15 +56,16 @@ SIX = ["ws_id", "point_date", "freq", "fiscal_period", "item_code", "value"]
 
 def write_fundamentals_files(spark: SparkSession, t: fx.Tables, root: str, kinds=None, facts_kind: str = "WSFV") -> None:
     """Facts (named ``facts_kind``), WSCalendarPrd and WSReportedPrd pipe files, rows in
-    ``ord`` order across files so file order reproduces the fixture order."""
-    all_kinds = [(facts_kind, fx.facts, SIX),
-                 ("WSCalendarPrd", fx.calendar, SIX),
-                 ("WSReportedPrd", fx.reported, ["ws_id", "point_date", "freq", "item_code", "value"])]
+    ``ord`` order across files so file order reproduces the fixture order. The periods are dealt over
+    ranges of ``ord`` before their rows are made, so one row per period is shuffled and sampled."""
+    in_ranges = fx.period(t).repartitionByRange("ord")
+    all_kinds = [(facts_kind, lambda: fx.facts(t).repartitionByRange("ord", "item_code", "value"), SIX),
+                 ("WSCalendarPrd", lambda: fx.calendar_rows(in_ranges), SIX),
+                 ("WSReportedPrd", lambda: fx.reported_rows(in_ranges), ["ws_id", "point_date", "freq", "item_code", "value"])]
     for kind, make, cols in all_kinds:
         if kinds is not None and kind not in kinds:
             continue
-        df = make(t)
-        ordered = df.orderBy("ord", "item_code", "value")
+        ordered = make().sortWithinPartitions("ord", "item_code", "value")
         write_lines(spark, _pipe_line(ordered, cols), root, kind, "txt", "windows-1252")
 
 

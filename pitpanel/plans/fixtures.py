@@ -103,9 +103,13 @@ def facts(t: Tables) -> DataFrame:
 
 @_memo
 def calendar(t: Tables) -> DataFrame:
+    return calendar_rows(period(t))
+
+
+def calendar_rows(periods: DataFrame) -> DataFrame:
     """Calendar-period EAV rows (4 codes per period; for ord % 50 = 0 under the
     next fiscal period, so that the facts miss them)."""
-    p = period(t).withColumn("fiscal_period", F.col("fiscal_period") + F.when(F.col("ord") % 50 == 0, 1).otherwise(0))
+    p = periods.withColumn("fiscal_period", F.col("fiscal_period") + F.when(F.col("ord") % 50 == 0, 1).otherwise(0))
     p = p.withColumn("item_code", F.explode(F.array(*[F.lit(c).cast("bigint") for c in CAL1_CODES])))
     fye_num = F.year("fye") * 10000 + F.month("fye") * 100 + F.dayofmonth("fye")
     value = (F.when(F.col("item_code") == 55350, F.concat(F.lit('"d'), fye_num.cast("string"), F.lit('"')))
@@ -118,10 +122,14 @@ def calendar(t: Tables) -> DataFrame:
 
 @_memo
 def reported(t: Tables) -> DataFrame:
+    return reported_rows(period(t))
+
+
+def reported_rows(periods: DataFrame) -> DataFrame:
     """Reported-period EAV rows (2 codes; for ord % 33 = 0 under frequency
     ``R``, so that the facts miss them; both '0' for ord % 10 = 0; a stale
     year for ord % 4 = 0)."""
-    p = period(t).withColumn("freq", F.when(F.col("ord") % 33 == 0, "R").otherwise(F.col("freq")))
+    p = periods.withColumn("freq", F.when(F.col("ord") % 33 == 0, "R").otherwise(F.col("freq")))
     p = p.withColumn("item_code", F.explode(F.array(*[F.lit(c).cast("bigint") for c in CAL2_CODES])))
     value = (F.when(F.col("ord") % 10 == 0, F.lit("0"))
              .when(F.col("item_code") == 55558, F.lit("1"))

@@ -235,3 +235,22 @@ def test_only_intermediate_folders_are_removed(spark, tmpdir_uri):
         remove(spark, "/root/testdata")
     remove(spark, tmpdir_uri)
     assert list_files(spark, tmpdir_uri) == []
+
+
+def test_period_files_are_in_order_with_repeated_periods(spark, tmpdir_uri):
+    """Periods are dealt over ranges before their rows are made: the files' order is that of a sort of all rows."""
+    from pitpanel.plans import fixture_files as ff
+    from pitpanel.sources._fs import list_files
+    from pitpanel.plans import fixtures as fx
+    t = fx.Tables(spark, "/root/testdata/sf0.001")
+    t._frames["_period"] = fx.period(t).where("ord < 300").unionByName(fx.period(t).where("ord < 40"))
+    want = [r.line for r in ff._pipe_line(fx.calendar_rows(fx.period(t)).orderBy("ord", "item_code", "value"), ff.SIX).collect()]
+    ff.write_fundamentals_files(spark, t, tmpdir_uri, kinds=["WSCalendarPrd"])
+    files = sorted(p for p, _ in list_files(spark, tmpdir_uri) if p.endswith(".txt"))
+    assert [r.value for f in files for r in spark.read.text(f).collect()] == want and len(want) == 4 * 340
+
+
+def test_period_kinds_are_not_written_before_their_only_use(spark):
+    from pitpanel.plans import catalog
+    plan = catalog.QUERIES["fundamentals_from_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" csv") == 2 and "Relation" in plan
