@@ -133,7 +133,8 @@ def wide_prices_long(spark: SparkSession, root: str, n_meta: int = PRICE_META_CO
                        .alias("hdates")))
     above = F.col("first_split") & ((F.col("line") == F.col("banner")) | (F.col("line") == F.col("header")))
     data = (read_price_lines(spark, root, files).join(file_map, "file").where(~above & (F.col("line") != "")).join(layouts, "layout")
-            .select("file", "rel_path", "id_pos", "n_dates", "hdates", _cells(F.col("line")).alias("c")))
+            # exploded from an array of one, so that the optimizer does not cut the line again at each use
+            .select("file", "rel_path", "id_pos", "n_dates", "hdates", F.explode(F.array(_cells(F.col("line")))).alias("c")))
     code = F.nullif(_unquote(F.get("c", F.col("id_pos") - 1)), F.lit(""))
     n = F.greatest(F.col("n_dates"), F.lit(0))
     given = F.slice("c", F.lit(n_meta + 1), F.greatest(F.least(F.size("c") - n_meta, n), F.lit(0)))

@@ -254,3 +254,10 @@ def test_period_kinds_are_not_written_before_their_only_use(spark):
     from pitpanel.plans import catalog
     plan = catalog.QUERIES["fundamentals_from_files"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(" csv") == 2 and "Relation" in plan
+
+
+def test_price_lines_are_cut_into_cells_once(spark, tmpdir_uri):
+    write(f"{tmpdir_uri}/LC/DailyReturnsLC_1.csv", b"banner\nName,DATES,C,I,G,S,So,01/02/2024,02/02/2024\nCo,U1,LC,,,,DS,1,2\n")
+    out = wide_prices_long(spark, tmpdir_uri)
+    assert sorted((r.DSCode, r.Value) for r in out.collect()) == [("U1", 1.0), ("U1", 2.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
