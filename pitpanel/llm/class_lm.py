@@ -1,19 +1,23 @@
 """Brown class n-grams: a class bigram model whose classes come from exchange clustering.
 
 Tokens are the runs of characters other than space and tab to carriage return, A-Z folded, and
-one end per text. Counts of all training tokens are a Spark aggregation. The ``clustered``
-most frequent words are exchanged between ``classes`` classes; every other word has a fixed class
-by its form (length band, letters only or not), and the end has its own. Exchange: in a sweep every
-word's best class is computed in parallel from its class contexts (word -> next class, previous
-class -> word) as the move with the largest gain in the class bigrams' log likelihood; the moves
-of a quarter of the words are applied at a time, and a sweep that lowers the likelihood is taken
-back and ends the search. What reaches the driver is bounded by the two parameters: the clustered words, their
-classes and the class bigram table.
-
-P(w | v) = P(class w | class v) * P(w | class w), both with 0.5 added to every count (an unseen
-word is one more word of its form's class), so every text has a finite score. Frequent words are
-scored where the text is (at most ``held`` of the most frequent); the counts of all other words
-are joined, one row per text and word.
+one end per text. Counts of all training tokens are a Spark aggregation. Every training word takes
+part in the exchange; it starts in the class of its form (length band, letters only or not), and the
+end has its own class. The move looked for is the one with the largest gain in the class bigrams' log likelihood,
+found in parallel from a word's class contexts (word -> next class, previous class -> word).
+First the ``clustered`` most frequent words are exchanged between ``classes`` classes, a quarter of
+them at a time; then in each of ``rounds`` rounds every training word, however rare, is tried against
+the class table. The first of these leaves the forms behind, whatever the likelihood; other moves that lower it
+together are tried again for every second word, and so on.
+
+The ``held`` most frequent words are coded where the text is, and their classes are held by every task. All
+other words stay in Spark tables: one row per occurrence with its neighbours, grouped to one row per word
+for the moves, and joined back to score the texts. What reaches the driver is bounded by the parameters: the
+held words, their classes and the class bigram table.
+
+P(w | v) = P(class w | class v) * P(w | class w), both with 0.5 added to every count, so every text has a
+finite score. A word that is not among the training words has the class of its form; since a word met once
+is, but for that one place, such a word, it counts there as an unseen word of its form as well.
 
 Defined cases: a NULL or empty text is one end; repeated rows and NULL doc_ids are scored row by row (a NULL
 doc_id falls on crc32 of the empty text, 0: training); without training rows all counts are 0.
@@ -28,15 +32,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.base import staged, texts
+from pitpanel.llm.base import discard, staged, texts
 
 CLUSTERED = 2000
-HELD = 60_000          # most frequent words whose counts every task holds; other words' counts are joined
+HELD = 60_000          # most frequent words whose counts and classes every task holds; other words' are joined
 CLASSES = 48
-SWEEPS = 12            # a quarter of the words each
+SWEEPS = 12            # a quarter of the clustered words each
+ROUNDS = 2             # every training word each
+SHARES = (1, 2, 4)     # a round's moves that lower the likelihood together are tried again for every 2nd, every 4th word
 FORMS = 8
 HOLD_OUT = (5, 1)      # a text is held out if crc32(doc_id as text) mod 5 is 1
 KEEP = 300_000         # counted or coded words kept by a task before it hands counts on
+CHUNK = 1024           # words whose gains are computed together
 
 
 def tokens(text: str) -> list:
@@ -106,29 +113,98 @@ def frequent(counts: DataFrame, most: int) -> list:
     return sorted(rows, key=lambda r: (-r["n"], r["word"]))
 
 
-def bigram_counts(training: DataFrame, words: list) -> DataFrame:
-    """(a, b, n): neighbouring codes, each text between two ends; at most (codes)**2 rows."""
+def coded(docs: DataFrame, words: list, log_count: np.ndarray) -> DataFrame:
+    """A row per text: (rid, doc_id, train, codes, known, base), its codes between two ends as 32-bit integers, how
+    many of them are held words or ends, and the sum of their ``log_count``. A row per occurrence of another word: (rid,
+    train, word, around, follow), the codes before and after it as one number (the code after the end's stands for
+    the same word), and the next word, if that is not held either and another."""
     def run(batches):
         codes = Codes(words)
-        size, waiting, pending = codes.end + 1, [], 0
+        itself, size = codes.end + 1, codes.end + 2
+
+        def rows(rid, doc_id, train, seqs, toks):
+            seq = np.concatenate(seqs)
+            lens = np.array([len(s) for s in seqs])
+            starts = np.cumsum(lens) - lens
+            other = (seq >= codes.n) & (seq < codes.end)
+            first = np.zeros(len(seq), dtype=bool)
+            first[starts] = True                                     # the end before a text is no token of it
+            value = np.where(other | first, 0.0, log_count[seq])
+            at = np.flatnonzero(other)
+            text = np.repeat(np.arange(len(seqs)), lens)[at]
+            word = [toks[x] for x in at.tolist()]
+            before, after = seq[at - 1], seq[at + 1]
+            follow = [None] * len(at)
+            for x in np.flatnonzero(np.diff(at) == 1).tolist():
+                if word[x] == word[x + 1]:
+                    after[x] = before[x + 1] = itself
+                else:
+                    follow[x] = word[x + 1]
+            n, m = len(seqs), len(at)
+            rid, train = np.array(rid, dtype=np.int64), np.array(train, dtype=bool)
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([rid, rid[text]])), pa.array(doc_id + [None] * m, pa.int64()),
+                pa.array(np.concatenate([train, train[text]])),
+                pa.array([s.astype("<i4").tobytes() for s in seqs] + [None] * m, pa.binary()),
+                pa.array(np.add.reduceat((~(other | first)).astype(np.int64), starts).tolist() + [None] * m, pa.int64()),
+                pa.array(np.add.reduceat(value, starts).tolist() + [None] * m, pa.float64()),
+                pa.array([None] * n + word, pa.string()),
+                pa.array([None] * n + (before * size + after).tolist(), pa.int64()),
+                pa.array([None] * n + follow, pa.string())],
+                ["rid", "doc_id", "train", "codes", "known", "base", "word", "around", "follow"])
+        for b in batches:
+            waiting, toks = ([], [], [], []), []
+            for row in zip(b.column("rid").to_pylist(), b.column("doc_id").to_pylist(), b.column("train").to_pylist(),
+                           b.column("text").to_pylist()):
+                own = tokens(row[3])
+                for some, x in zip(waiting, (*row[:3], np.array([codes.end, *map(codes.__getitem__, own), codes.end],
+                                                                dtype=np.int64))):
+                    some.append(x)
+                toks.append(b"")
+                toks += own
+                toks.append(b"")
+                if len(toks) > 500_000:
+                    yield rows(*waiting, toks)
+                    waiting, toks = ([], [], [], []), []
+            if toks:
+                yield rows(*waiting, toks)
+
+    return docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", (~held_out(F.col("doc_id"))).alias("train"),
+                       "text").mapInArrow(
+        run, "rid bigint, doc_id bigint, train boolean, codes binary, known bigint, base double, word string, "
+             "around bigint, follow string")
+
+
+def code_pairs(texts_coded: DataFrame, words: int) -> DataFrame:
+    """(a, b, n): neighbouring codes of the ``coded`` texts; at most (codes)**2 rows."""
+    size = words + FORMS + 1
+
+    def run(batches):
+        waiting, pending = [], 0
 
         def rows():
             pairs, n = np.unique(np.concatenate(waiting), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
         for b in batches:
-            for text in b.column("text").to_pylist():
-                seq = np.array([codes.end, *map(codes.__getitem__, tokens(text)), codes.end], dtype=np.int64)
+            for codes in b.column("codes").to_pylist():
+                seq = np.frombuffer(codes, dtype="<i4").astype(np.int64)
                 waiting.append(seq[:-1] * size + seq[1:])
                 pending += len(seq)
-                if pending > 8_000_000:
+                if pending > 4_000_000:
                     yield rows()
                     waiting, pending = [], 0
         if waiting:
             yield rows()
 
-    size = len(words) + FORMS + 1
-    return (training.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-            .select(F.floor(F.col("pair") / size).cast("int").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n"))
+    # one code's successors lie together, so that its contexts are summed where they are
+    return (texts_coded.select("codes").mapInArrow(run, "pair bigint, n bigint")
+            .select(F.floor(F.col("pair") / size).cast("int").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
+            .repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n")))
+
+
+def bigram_counts(training: DataFrame, words: list) -> DataFrame:
+    """(a, b, n): neighbouring codes of the texts, each between two ends."""
+    return code_pairs(coded(training, words, np.zeros(len(words) + FORMS + 1)).where("codes is not null"), len(words))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -140,61 +216,89 @@ def likelihood(n: np.ndarray) -> float:
     return float(_xlogx(n).sum() - _xlogx(n.sum(1)).sum() - _xlogx(n.sum(0)).sum())
 
 
-def best_move(n: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, same: float, movable: int) -> tuple:
-    """(class, gain) of the best class for a word of class ``own``: ``right`` / ``left`` are its counts
-    before / after each class (without itself), ``same`` its count beside itself."""
-    m = n.copy()
-    m[own, :] -= right
-    m[:, own] -= left
-    m[own, own] -= same
-    r, l = right.sum() + same, left.sum() + same
-    rows, cols = m.sum(1), m.sum(0)
-    old = _xlogx(m)
-    by_row = _xlogx(m + right[None, :]) - old
-    by_col = _xlogx(m + left[:, None]) - old
-    k = np.arange(len(n))
-    corner = _xlogx(m[k, k] + right + left + same) - old[k, k]
-    gain = (by_row.sum(1) - by_row[k, k] + by_col.sum(0) - by_col[k, k] + corner
-            - _xlogx(rows + r) + _xlogx(rows) - _xlogx(cols + l) + _xlogx(cols))[:movable]
-    best = int(np.argmax(gain))
-    return best, float(gain[best] - gain[own])
-
-
-def class_table(bigrams: DataFrame, cls: np.ndarray) -> np.ndarray:
-    """Class bigram counts under a code -> class array."""
-    of = bigrams.sparkSession.createDataFrame(list(enumerate(cls.tolist())), "code int, cls int")
-    got = (bigrams.join(F.broadcast(of.select(F.col("code").alias("a"), F.col("cls").alias("c"))), "a")
-           .join(F.broadcast(of.select(F.col("code").alias("b"), F.col("cls").alias("d"))), "b")
-           .groupBy("c", "d").agg(F.sum("n").alias("n")).toArrow())
-    k = int(cls.max()) + 1
-    out = np.zeros((k, k))
+def best_moves(n: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarray, same: np.ndarray, movable: int) -> tuple:
+    """(classes, gains) of the best moves of words of the classes ``own`` into one of the first ``movable`` classes:
+    ``right`` / ``left`` (a row per word) are their counts before / after each class (without themselves), ``same``
+    their counts beside themselves. A gain is what the move alone adds to the likelihood of the class table ``n``."""
+    f, w = _xlogx, np.arange(len(own))
+    r, l = right.sum(1) + same, left.sum(1) + same
+    rows, cols, diag = n.sum(1), n.sum(0), n.diagonal()
+    gain = np.zeros(right.shape)
+    for part, table in ((right, n), (left, n.T)):
+        i, c = np.nonzero(part)
+        if len(i):
+            x = part[i, c].astype(np.int64)
+            cells, at = np.unique(x * len(n) + c, return_inverse=True)
+            to = table[:, cells % len(n)]
+            starts = np.flatnonzero(np.diff(i, prepend=-1))
+            gain[i[starts]] += np.add.reduceat((f(to + cells // len(n)) - f(to)).T[at], starts, axis=0)
+    # the cells beside the word's own class lack the word's counts
+    for part, back, table in ((right, left, n[:, own].T), (left, right, n[own])):
+        x = part[w, own][:, None]
+        gain += f(table - back + x) - f(table - back) - f(table + x) + f(table)
+    gain += f(diag + right + left + same[:, None]) + f(diag) - f(diag + right) - f(diag + left)
+    gain -= f(rows + r[:, None]) - f(rows) + f(cols + l[:, None]) - f(cols)
+    stay = np.zeros(len(own))
+    for part, table in ((right, n[own]), (left, n[:, own].T)):
+        cells = f(table) - f(table - part)
+        cells[w, own] = 0
+        stay += cells.sum(1)
+    stay += f(diag[own]) - f(diag[own] - right[w, own] - left[w, own] - same)
+    stay -= f(rows[own]) - f(rows[own] - r) + f(cols[own]) - f(cols[own] - l)
+    gain -= stay[:, None]
+    gain[w, own] = 0
+    best = np.argmax(gain[:, :movable], axis=1)
+    return best, gain[w, best]
+
+
+def class_of(code: str, cls: np.ndarray) -> Column:
+    """The class of a code column, by a constant array."""
+    return F.get(F.split(F.lit(",".join(map(str, cls.tolist()))), ",").cast("array<int>"), F.col(code))
+
+
+def filled(counted: DataFrame, k: int) -> np.ndarray:
+    """The table of (c, d, n) rows."""
+    got, out = counted.toArrow(), np.zeros((k, k))
     out[got.column("c").to_numpy(), got.column("d").to_numpy()] = got.column("n").to_numpy()
     return out
 
 
-def proposals(bigrams: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int) -> DataFrame:
-    """(word, cls, gain): every word's best move against the class table ``n``, in parallel."""
-    spark = bigrams.sparkSession
-    of = F.broadcast(spark.createDataFrame(list(enumerate(cls.tolist())), "code int, cls int"))
-    right = bigrams.join(of, F.col("b") == F.col("code")).select(F.col("a").alias("w"), F.lit(0).alias("side"), "cls", "n")
-    left = bigrams.join(of, F.col("a") == F.col("code")).select(F.col("b").alias("w"), F.lit(1).alias("side"), "cls", "n")
+def class_table(bigrams: DataFrame, cls: np.ndarray, right: np.ndarray | None = None, k: int | None = None) -> np.ndarray:
+    """Class bigram counts under a code -> class array (``right``: another one for the second code)."""
+    c, d = class_of("a", cls), class_of("b", cls if right is None else right)
+    return filled(bigrams.select(c.alias("c"), d.alias("d"), "n").where("c >= 0 and d >= 0")
+                  .groupBy("c", "d").agg(F.sum("n").alias("n")), int(cls.max()) + 1 if k is None else k)
+
+
+def proposals(bigrams: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int,
+              beside: DataFrame | None = None) -> DataFrame:
+    """(w, cls, gain): every coded word's best move against the class table ``n``, in parallel; ``beside`` adds
+    contexts (w, side, cls, n) among words without a code."""
+    right = bigrams.select(F.col("a").alias("w"), F.lit(0).alias("side"), class_of("b", cls).alias("cls"), "n")
+    left = bigrams.select(F.col("b").alias("w"), F.lit(1).alias("side"), class_of("a", cls).alias("cls"), "n")
     same = bigrams.where("a = b").select(F.col("a").alias("w"), F.lit(2).alias("side"), F.lit(0).alias("cls"), "n")
-    context = (right.union(left).union(same).where(F.col("w") < words)
-               .groupBy("w", "side", "cls").agg(F.sum("n").alias("n")))
+    context = right.union(left).union(same)
+    if beside is not None:
+        context = context.union(beside)
+    context = context.where(F.col("w") < words).groupBy("w", "side", "cls").agg(F.sum("n").alias("n"))
 
     def run(table: pa.Table) -> pa.Table:
         w, side, c, x = (table.column(i).to_numpy() for i in ("w", "side", "cls", "n"))
-        out = []
-        for word in np.unique(w):
-            at = w == word
-            v = np.zeros((3, len(n)))
-            v[side[at], c[at]] = x[at]
-            own, self_count = int(cls[word]), v[2, 0]
-            v[0, own] -= self_count
-            v[1, own] -= self_count
-            out.append((int(word), *best_move(n, own, v[0], v[1], self_count, movable)))
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))],
-                        names=["w", "cls", "gain"])
+        code, at = np.unique(w, return_inverse=True)
+        to, gains = [], []
+        for first in range(0, len(code), CHUNK):
+            some = code[first:first + CHUNK]
+            part = (at >= first) & (at < first + CHUNK)
+            v = np.zeros((len(some), 3, len(n)))
+            v[at[part] - first, side[part], c[part]] = x[part]
+            own, same_n = cls[some], v[:, 2, 0]
+            v[np.arange(len(some)), 0, own] -= same_n
+            v[np.arange(len(some)), 1, own] -= same_n
+            best, gain = best_moves(n, own, v[:, 0], v[:, 1], same_n, movable)
+            to.append(best)
+            gains.append(gain)
+        return pa.table([pa.array(code, pa.int32()), pa.array(np.concatenate(to), pa.int32()),
+                         pa.array(np.concatenate(gains), pa.float64())], names=["w", "cls", "gain"])
 
     return context.groupBy((F.col("w") % 24).alias("block")).applyInArrow(run, "w int, cls int, gain double")
 
@@ -203,92 +307,267 @@ def exchange(bigrams: DataFrame, words: int, classes: int = CLASSES, sweeps: int
     """(code -> class, class bigram table) after exchange clustering."""
     classes = max(min(classes, words), 1)
     cls = np.concatenate([np.arange(words) % classes, classes + np.arange(FORMS + 1)]).astype(np.int64)
-    n = class_table(bigrams, cls)
+    n, idle = class_table(bigrams, cls), 0
     for sweep in range(sweeps if words else 0):
         moves = proposals(bigrams.where(f"(a % 4 = {sweep % 4} and a < {words}) or (b % 4 = {sweep % 4} and b < {words})"),
                           cls, n, words, classes).where(f"gain > 0 and w % 4 = {sweep % 4}").toArrow()
-        if not moves.num_rows:
-            continue
-        tried = cls.copy()
-        tried[moves.column("w").to_numpy()] = moves.column("cls").to_numpy()
-        m = class_table(bigrams, tried)
-        if likelihood(m) <= likelihood(n):
+        w, to, gain = (moves.column(i).to_numpy() for i in ("w", "cls", "gain"))
+        order = np.lexsort((w, -gain))
+        idle += 1
+        while len(order):
+            tried = cls.copy()
+            tried[w[order]] = to[order]
+            m = class_table(bigrams, tried)
+            if likelihood(m) > likelihood(n):
+                cls, n, idle = tried, m, 0
+                break
+            order = order[:-1:2] if len(order) > 1 else order[:0]
+        if idle == 4:
             break
-        cls, n = tried, m
     return cls, n
 
 
+def placements(tail: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int, placed: bool) -> DataFrame:
+    """(word, around, own, to, gain): the best move of every word without a code. ``tail`` has a row per word: (word, its
+    occurrences' ``around``, its class). Other such words beside it are taken by their form, or, if they are ``placed``,
+    by their classes, further numbers in ``around``: -1 - c for a class c after it, -1 - len(n) - c before it."""
+    k, size, end = len(n), words + FORMS + 2, words + FORMS
+
+    def run(batches):
+        for b in batches:
+            for first in range(0, b.num_rows, CHUNK):
+                part = b.slice(first, CHUNK)
+                m = part.num_rows
+                own = part.column("cls").to_numpy()
+                w = np.repeat(np.arange(m), part.column("around").value_lengths().to_numpy())
+                pairs = part.column("around").flatten().to_numpy()
+                near, x = -1 - pairs[pairs < 0], w[pairs < 0]
+                w, pairs = w[pairs >= 0], pairs[pairs >= 0]
+                sides = []
+                for side, code in ((0, pairs % size), (1, pairs // size)):
+                    use = (code < words) | (code == end) | ((code < end) & (not placed))
+                    at = np.concatenate([w[use] * k + cls[code[use]], x[near // k == side] * k + near[near // k == side] % k])
+                    sides.append(np.bincount(at, minlength=m * k).reshape(m, k).astype(float))
+                same = np.bincount(w[pairs % size > end], minlength=m).astype(float)
+                to, gain = best_moves(n, own, *sides, same, movable)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(w, minlength=m))])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("word"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs)),
+                     pa.array(own, pa.int32()), pa.array(to, pa.int32()), pa.array(gain, pa.float64())],
+                    ["word", "around", "own", "to", "gain"])
+
+    return tail.select("word", "around", "cls").mapInArrow(
+        run, "word string, around array<bigint>, own int, to int, gain double")
+
+
+def edges(tail: DataFrame, words: int, k: int, first_form: int) -> DataFrame:
+    """(w, side, cls, n): how often a code stands before (side 0) or after (1) the words without a code, by their class;
+    the code after the end's: beside themselves. Words met once count a second time as class ``k`` + their form."""
+    size, end, wide = words + FORMS + 2, words + FORMS, k + FORMS
+
+    def run(batches):
+        sums = np.zeros(size * 2 * wide, dtype=np.int64)
+        for b in batches:
+            around, c = b.column("around"), b.column("cls").to_numpy()
+            lens = around.value_lengths().to_numpy()
+            w, pairs = np.repeat(np.arange(b.num_rows), lens), around.flatten().to_numpy()
+            once = (lens == 1)[w]
+            unseen = b.column("form").to_numpy()[w] + k
+            for side, code in ((0, pairs // size), (1, pairs % size)):
+                use = ((code < words) | (code >= end)) & ((code <= end) | (side == 1))
+                for of, some in ((c[w], use), (unseen, use & once)):
+                    at, x = np.unique((code[some] * 2 + side) * wide + of[some], return_counts=True)
+                    sums[at] += x
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at // (2 * wide), pa.int32()), pa.array(at // wide % 2, pa.int32()),
+                                          pa.array(at % wide, pa.int32()), pa.array(sums[at])], ["w", "side", "cls", "n"])
+
+    return (tail.select("around", "cls", form_of(F.col("word")).alias("form")).mapInArrow(
+        run, "w int, side int, cls int, n bigint").groupBy("w", "side", "cls").agg(F.sum("n").alias("n")))
+
+
+def neighbours(rare: DataFrame, of: DataFrame, first_form: int) -> DataFrame:
+    """(rid, train, word, follow, c, d, ...): words without a code beside each other and their classes by ``of`` (word, cls,
+    once); words that it lacks have the class of their form."""
+    out = rare.where("follow is not null").select("rid", "train", "word", "follow")
+    for name, side in (("word", "c"), ("follow", "d")):
+        out = out.join(of.select(F.col("word").alias(name), F.col("cls").alias(side), F.col("once").alias(f"once_{side}")),
+                       name, "left")
+        out = (out.withColumn(f"form_{side}", first_form + form_of(F.col(name)))
+               .withColumn(side, F.coalesce(side, f"form_{side}")))
+    return out
+
+
+def whole_table(inner: DataFrame, cls: np.ndarray, beside: DataFrame, pairs: DataFrame, words: int, k: int) -> np.ndarray:
+    """The class bigram table of all words: of the codes' own bigrams ``inner``, of ``edges`` and of ``neighbours``. The
+    rows and columns from ``k`` on are, by form, the places of words without a code that are met once."""
+    end, wide = words + FORMS, k + FORMS
+    out = np.zeros((wide, wide))
+    out[:k, :k] = class_table(inner, cls, k=k)
+    own = F.when(F.col("w") > end, F.col("cls")).otherwise(class_of("w", cls))
+    out += filled(beside.groupBy(F.when(F.col("side") == 0, own).otherwise(F.col("cls")).alias("c"),
+                                               F.when(F.col("side") == 0, F.col("cls")).otherwise(own).alias("d"))
+                  .agg(F.sum("n").alias("n")), wide)
+    first_form = k - FORMS - 1
+    kinds = ["c", "d", F.coalesce("once_c", F.lit(False)).alias("p"), F.coalesce("once_d", F.lit(False)).alias("q"),
+             "form_c", "form_d"]
+    for r in pairs.where("train").select(*kinds).groupBy("c", "d", "p", "q", "form_c", "form_d").count().collect():
+        c, d = [r["c"]], [r["d"]]
+        if r["p"]:
+            c.append(k + r["form_c"] - first_form)
+        if r["q"]:
+            d.append(k + r["form_d"] - first_form)
+        for x in c:
+            for y in d:
+                out[x, y] += r["count"]
+    return out
+
+
+def exchange_all(bigrams: DataFrame, rare: DataFrame, cls: np.ndarray, words: int, movable: int, rounds: int = ROUNDS) -> tuple:
+    """Rounds of exchange of every training word. ``rare`` are the ``coded`` rows of words without a code, ``cls`` the classes
+    the codes start with. Returns code -> class, (word, around, cls, once) of the words without a code, their
+    ``neighbours`` and the ``whole_table``."""
+    end = words + FORMS
+    first_form, k = int(cls[words]), int(cls[end]) + 1
+    once = (F.size("around") == 1).alias("once")
+    contexts = staged(rare.where("train").groupBy("word").agg(F.collect_list("around").alias("around")), "lm-contexts")
+    tail, old = contexts.withColumn("cls", first_form + form_of(F.col("word"))), [contexts]
+    inner = bigrams.where(f"(a < {words} or a = {end}) and (b < {words} or b = {end})")
+
+    def state(of, tried):
+        of = of.select("word", "around", "cls", once)
+        pairs = staged(neighbours(rare, of.drop("around"), first_form), "lm-neighbours")
+        beside = staged(edges(of, words, k, first_form), "lm-edges")
+        return tried, of, pairs, whole_table(inner, tried, beside, pairs, words, k), beside
+
+    found, n = None, class_table(bigrams, cls)
+    for turn in range(rounds):
+        if found:
+            pairs = found[2].where("train")
+            near = (pairs.select("word", (-1 - F.col("d")).cast("bigint").alias("x"))
+                    .union(pairs.select("follow", (-1 - k - F.col("c")).cast("bigint")))
+                    .groupBy("word").agg(F.collect_list("x").alias("near")))
+            tail = found[1].join(near, "word", "left").withColumn(
+                "around", F.when(F.col("near").isNull(), F.col("around")).otherwise(F.concat("around", "near")))
+            got = proposals(inner, cls, n, words, movable, found[4].where(f"cls < {k} and w <= {end}"))
+        else:
+            got = proposals(bigrams, cls, n, words, movable)
+        got = got.where("gain > 0").toArrow()
+        w, to, gain = (got.column(i).to_numpy() for i in ("w", "cls", "gain"))
+        moves = staged(placements(tail, cls, n, words, movable, found is not None), "lm-moves")
+        better = False
+        for share in SHARES:
+            some = (gain > 0) & (w % share == 0)
+            tried = cls.copy()
+            tried[w[some]] = to[some]
+            move = (F.col("gain") > 0) & (F.pmod(F.hash("word"), F.lit(share)) == 0)
+            new = state(moves.select("word", "around", F.when(move, F.col("to")).otherwise(F.col("own")).alias("cls")), tried)
+            better = not turn or likelihood(new[3][:k, :k]) > likelihood(n)
+            if better:
+                discard(*old)
+                found, cls, n, old = new, tried, new[3][:k, :k], [moves, new[2], new[4]]
+                break
+            discard(new[2], new[4])
+        if not better:
+            discard(moves)
+            break
+    return (found or state(tail, cls))[:4]
+
+
 def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, sweeps: int = SWEEPS,
-          held: int = HELD) -> DataFrame:
+          held: int = HELD, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     perplexity): log10 probabilities under add-0.5 unigrams and under the class model."""
     d = texts(docs)
-    training = d.where(~held_out(F.col("doc_id")))
-    counts = staged(word_counts(training), "lm-counts")
+    counts = staged(word_counts(d.where(~held_out(F.col("doc_id")))), "lm-counts")
     total, distinct, ends = counts.agg(F.sum("n"), F.count(F.lit(1)),
                                        F.sum(F.when(F.col("word") == "", F.col("n")))).first()
     total, ends = total or 0, ends or 0
     head = frequent(counts.where("word != ''"), max(held, clustered))
-    words, head_n = [r["word"].encode() for r in head], np.array([r["n"] for r in head], dtype=float)
-    exchanged = min(clustered, len(words))
-    bigrams = staged(bigram_counts(training, words[:exchanged]), "lm-bigrams")
-    cls, table = exchange(bigrams, exchanged, classes, sweeps)
-    k, first_form = len(table), int(cls[exchanged])
-    # every code's class: exchanged words, held words by their form, the forms, the end
-    cls = np.concatenate([cls[:exchanged], [first_form + form(w) for w in words[exchanged:]], cls[exchanged:]]).astype(int)
-    chosen = F.broadcast(docs.sparkSession.createDataFrame([(r["word"],) for r in head[:exchanged]], "word string"))
-    forms = {r["f"]: (r["n"], r["v"]) for r in counts.where("word != ''").join(chosen, "word", "left_anti")
-             .groupBy(form_of(F.col("word")).alias("f")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    # per code: what its emission adds (of a form: its denominator alone) and its base count
-    code_n = np.concatenate([head_n, np.zeros(FORMS), [ends]])
-    mass = np.bincount(cls[:exchanged], weights=head_n[:exchanged], minlength=k)
-    kinds = np.bincount(cls[:exchanged], minlength=k).astype(float)
-    for f in range(FORMS):
-        mass[first_form + f], kinds[first_form + f] = forms.get(f, (0, 0))
-    mass[cls[-1]], kinds[cls[-1]] = ends, 1
-    is_form = (np.arange(len(cls)) >= len(words)) & (np.arange(len(cls)) < len(words) + FORMS)
-    log_count = np.where(is_form, 0.0, np.log10(code_n + 0.5))
-    emit = log_count - np.log10(mass[cls] + 0.5 * (kinds[cls] + 1))
-    step = np.log10((table + 0.5) / (table.sum(1, keepdims=True) + 0.5 * k))
-
-    def run(batches):
-        codes = Codes(words)
+    names, head_n = [r["word"].encode() for r in head], np.array([r["n"] for r in head], dtype=float)
+    words, forms = len(names), np.arange(FORMS)
+    end, exchanged = words + FORMS, min(clustered, words)
+    head_form = np.array([form(w) for w in names], dtype=np.int64)
+    log_count = np.concatenate([np.log10(head_n + 0.5), np.zeros(FORMS), [np.log10(ends + 0.5)]])
+    all_coded = staged(coded(d, names, log_count), "lm-coded")
+    per_text, rare = all_coded.where("codes is not null"), all_coded.where("word is not null")
+    bigrams = staged(code_pairs(per_text.where("train"), words), "lm-bigrams")
+    # the most frequent words alone, all others by their form
+    fold = np.concatenate([np.arange(exchanged), exchanged + head_form[exchanged:], exchanged + forms, [exchanged + FORMS]])
+    core = staged(bigrams.groupBy(class_of("a", fold).alias("a"), class_of("b", fold).alias("b")).agg(F.sum("n").alias("n")),
+                  "lm-core")
+    cls, _ = exchange(core, exchanged, classes, sweeps)
+    discard(counts, core)
+    first_form, k = int(cls[exchanged]), int(cls[-1]) + 1
+    cls, tail, pairs, table = exchange_all(bigrams, rare, cls[fold], words, first_form, rounds)
+
+    # what the classes emit; words met once are, by their form, unseen words too
+    mass, kinds = (np.bincount(cls[:words], weights=x, minlength=k).astype(float) for x in (head_n, np.ones(words)))
+    mass[k - 1], kinds[k - 1] = ends, 1
+    for r in tail.groupBy("cls").agg(F.sum(F.size("around")).alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        mass[r["cls"]] += r["n"]
+        kinds[r["cls"]] += r["v"]
+    unseen = np.bincount(head_form[head_n == 1], minlength=FORMS).astype(float)
+    for r in tail.where("once").groupBy(form_of(F.col("word")).alias("f")).count().collect():
+        unseen[r["f"]] += r["count"]
+    if (head_n == 1).any():
+        ghost = np.concatenate([np.where(head_n == 1, k + head_form, -1), np.full(FORMS + 1, -1)])
+        for left, right in ((cls, ghost), (ghost, cls), (ghost, ghost)):
+            table += class_table(bigrams, left, right, len(table))
+    discard(bigrams)
+    target = np.concatenate([np.arange(k), first_form + forms])
+    n = np.zeros((k, k))
+    np.add.at(n, (target[:, None], target[None, :]), table)
+    mass[first_form:k - 1] += unseen
+    kinds[first_form:k - 1] += unseen
+    spread = np.log10(mass + 0.5 * (kinds + 1))
+    step = np.log10((n + 0.5) / (n.sum(1, keepdims=True) + 0.5 * k))
+
+    def run_texts(batches):
+        for b in batches:
+            model, n_tokens = [], []
+            for codes in b.column("codes").to_pylist():
+                seq = np.frombuffer(codes, dtype="<i4")
+                own, c = (seq < words) | (seq == end), cls[seq]
+                model.append(float(step[c[:-1], c[1:]][own[:-1] & own[1:]].sum() - spread[c[1:]][own[1:]].sum()))
+                n_tokens.append(len(seq) - 1)
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in ("rid", "doc_id", "known", "base")),
+                                              pa.array(n_tokens, pa.int64()), pa.array(model, pa.float64())],
+                                             ["rid", "doc_id", "known", "base", "n_tokens", "model"])
+
+    def run_rare(batches):
+        size, wide = end + 2, np.append(cls, -1)
         for b in batches:
-            rid, doc_id = b.column("rid").to_pylist(), b.column("doc_id").to_pylist()
-            per, tails = [], ([], [], [])
-            for r, i, text in zip(rid, doc_id, b.column("text").to_pylist()):
-                toks = tokens(text)
-                seq = np.array([codes.end, *map(codes.__getitem__, toks), codes.end], dtype=np.int64)
-                now, c = seq[1:], cls[seq]
-                rare = is_form[now]
-                per.append((r, i, len(now), int((~rare).sum() if ends else len(now) - rare.sum() - 1),
-                            float(log_count[now].sum()), float(emit[now].sum() + step[c[:-1], c[1:]].sum())))
-                for w, n in Counter([toks[x] for x in np.flatnonzero(rare).tolist()]).items():
-                    tails[0].append(r)
-                    tails[1].append(w)
-                    tails[2].append(n)
-            n_doc, n_tail = len(per), len(tails[0])
-
-            def column(i, kind):
-                return pa.array([p[i] for p in per] + [None] * n_tail, kind)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in per] + tails[0], pa.int64()), column(1, pa.int64()),
-                 pa.array([None] * n_doc + tails[1], pa.string()), pa.array([0] * n_doc + tails[2], pa.int64()),
-                 column(2, pa.int64()), column(3, pa.int64()), column(4, pa.float64()), column(5, pa.float64())],
-                ["rid", "doc_id", "word", "n", "n_tokens", "known", "base", "model"])
-
-    scored = staged(d.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(
-        run, "rid bigint, doc_id bigint, word string, n bigint, n_tokens bigint, known bigint, base double, model double"),
-        "lm-scored")
-    rare = (scored.where("word is not null").select("rid", "word", "n")
-            .join(counts.withColumnRenamed("n", "c"), "word", "left")
-            .groupBy("rid").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
-                                F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare")))
-    per = scored.where("word is null").select("rid", "doc_id", "n_tokens", "known", "base", "model").join(rare, "rid", "left")
-    extra = F.coalesce("rare", F.lit(0.0))
-    model = F.col("model") + extra
+            c, around = b.column("cls").to_numpy(), b.column("around").to_numpy()
+            before, after = around // size, around % size
+            out = -spread[c]
+            for code, of in ((before, lambda x: step[x, c]), (after, lambda x: step[c, x])):
+                near = (code < words) | (code == end)
+                out += np.where(near, of(wide[np.where(near, code, end)]), 0.0)
+            out += np.where(after == end + 1, step[c, c], 0.0)
+            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("c"), pa.array(out)], ["rid", "c", "model"])
+
+    known = tail.select("word", "cls", F.size("around").cast("bigint").alias("c"))
+    of_rare = (rare.select("rid", "word", "around").join(known, "word", "left")
+               .select("rid", "around", F.coalesce("c", F.lit(0)).alias("c"),
+                       F.coalesce("cls", first_form + form_of(F.col("word"))).alias("cls"))
+               .mapInArrow(run_rare, "rid bigint, c bigint, model double"))
+    steps = F.broadcast(docs.sparkSession.createDataFrame(
+        pa.table({"c": np.repeat(np.arange(k, dtype=np.int32), k), "d": np.tile(np.arange(k, dtype=np.int32), k),
+                  "model": step.ravel()})))
+    of_pairs = pairs.join(steps, ["c", "d"]).select("rid", F.lit(None).cast("bigint").alias("c"), "model")
+    more = (of_rare.union(of_pairs).groupBy("rid")
+            .agg(F.count(F.when(F.col("c") > 0, 1)).alias("more"), F.sum(F.log10(F.col("c") + 0.5)).alias("rare"),
+                 F.sum("model").alias("rare_model")))
+    per = (per_text.select("rid", "doc_id", "known", "base", "codes").mapInArrow(
+        run_texts, "rid bigint, doc_id bigint, known bigint, base double, n_tokens bigint, model double")
+        .join(more, "rid", "left"))
+    if not ends:
+        per = per.withColumn("known", F.col("known") - 1)
+    base = F.col("base") + F.coalesce("rare", F.lit(0.0))
+    model = base + F.col("model") + F.coalesce("rare_model", F.lit(0.0))
     return per.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * float(np.log10(total + 0.5 * (distinct + 1)))).alias("base_score"),
+        (base - F.col("n_tokens") * float(np.log10(total + 0.5 * (distinct + 1)))).alias("base_score"),
         model.alias("score"), F.pow(F.lit(10.0), -model / F.col("n_tokens")).alias("perplexity"))
