@@ -25,10 +25,9 @@ doc_id falls on crc32 of the empty text, 0: training); without training rows all
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +41,9 @@ ROUNDS = 2             # every training word each
 SHARES = (1, 2, 4)     # a round's moves that lower the likelihood together are tried again for every 2nd, every 4th word
 FORMS = 8
 HOLD_OUT = (5, 1)      # a text is held out if crc32(doc_id as text) mod 5 is 1
-KEEP = 300_000         # counted or coded words kept by a task before it hands counts on
+KEEP = 16_000_000      # bytes of words kept by a task before it hands their counts on
+PART = 4_000_000       # bytes of text coded together
+BLOCKS = 240           # tables of codes are merged and tried in so many parts
 CHUNK = 1024           # words whose gains are computed together
 
 
@@ -59,19 +60,20 @@ def form_of(word: Column) -> Column:
             + F.when(F.rlike(word, F.lit("[^a-z]")), 4).otherwise(0)).cast("int")
 
 
-class Codes(dict):
-    """Word -> code: 0.. the clustered words, then the forms; ``end`` follows them."""
+def words_of(text: pa.Array) -> tuple:
+    """(text, word) of all ``tokens`` of some texts, by numbers of texts."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words = cut.flatten()
+    full = pc.binary_length(words).to_numpy() > 0                    # white space at an end cuts off an empty word
+    return np.repeat(np.arange(len(cut)), cut.value_lengths().to_numpy())[full], words.filter(pa.array(full))
 
-    def __init__(self, words: list):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.n = len(words)
-        self.end = self.n + FORMS
 
-    def __missing__(self, word: bytes) -> int:
-        code = self.n + form(word)
-        if len(self) < self.n + KEEP:
-            self[word] = code
-        return code
+def slices(batch: pa.RecordBatch, most: int):
+    """A batch in parts whose texts have about ``most`` bytes."""
+    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)) // most
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for first, last in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(first, last - first)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -81,19 +83,23 @@ def held_out(doc_id: Column) -> Column:
 def word_counts(training: DataFrame) -> DataFrame:
     """(word, n) of all training tokens; the end is the empty word."""
     def run(batches):
-        count: Counter = Counter()
+        waiting, ends, pending = [], 0, 0
 
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()),
-                                               pa.array(list(count.values()), pa.int64())], ["word", "n"])
+            count = pa.chunked_array([*waiting, pa.array([], pa.string())]).value_counts()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([count.field("values"), pa.array([""])]),
+                                               pa.concat_arrays([count.field("counts"), pa.array([ends], pa.int64())])],
+                                              ["word", "n"])
         for b in batches:
-            for text in b.column("text").to_pylist():
-                count.update(tokens(text))
-                count[b""] += 1
-                if len(count) > KEEP:
+            for part in slices(b, PART):
+                waiting.append(words_of(part.column("text"))[1])
+                ends += part.num_rows
+                pending += waiting[-1].nbytes
+                if pending > KEEP:
                     yield rows()
-                    count.clear()
-        yield rows()
+                    waiting, ends, pending = [], 0, 0
+        if ends:
+            yield rows()
 
     return training.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -118,56 +124,49 @@ def coded(docs: DataFrame, words: list, log_count: np.ndarray) -> DataFrame:
     many of them are held words or ends, and the sum of their ``log_count``. A row per occurrence of another word: (rid,
     train, word, around, follow), the codes before and after it as one number (the code after the end's stands for
     the same word), and the next word, if that is not held either and another."""
-    def run(batches):
-        codes = Codes(words)
-        itself, size = codes.end + 1, codes.end + 2
+    n = len(words)
+    end, itself, size = n + FORMS, n + FORMS + 1, n + FORMS + 2
 
-        def rows(rid, doc_id, train, seqs, toks):
-            seq = np.concatenate(seqs)
-            lens = np.array([len(s) for s in seqs])
+    def run(batches):
+        head = pa.array(words, pa.string())
+
+        def rows(b):
+            text, word = words_of(b.column("text"))
+            word = word.dictionary_encode()
+            distinct = word.dictionary
+            code = pc.index_in(distinct, value_set=head)
+            forms = (np.minimum((pc.binary_length(distinct).to_numpy() - 1) // 3, 3)
+                     + np.where(pc.ascii_is_alpha(distinct).to_numpy(zero_copy_only=False), 0, 4))
+            code = np.where(code.is_null().to_numpy(zero_copy_only=False), n + forms, code.fill_null(0).to_numpy())
+            lens = np.bincount(text, minlength=b.num_rows) + 2
             starts = np.cumsum(lens) - lens
-            other = (seq >= codes.n) & (seq < codes.end)
+            at = np.arange(len(text)) + 2 * text + 1
+            seq, which = np.full(lens.sum(), end), np.full(lens.sum(), -1)
+            which[at] = word.indices.to_numpy()
+            seq[at] = code[which[at]]
+            other = (seq >= n) & (seq < end)
             first = np.zeros(len(seq), dtype=bool)
             first[starts] = True                                     # the end before a text is no token of it
             value = np.where(other | first, 0.0, log_count[seq])
             at = np.flatnonzero(other)
-            text = np.repeat(np.arange(len(seqs)), lens)[at]
-            word = [toks[x] for x in at.tolist()]
             before, after = seq[at - 1], seq[at + 1]
-            follow = [None] * len(at)
-            for x in np.flatnonzero(np.diff(at) == 1).tolist():
-                if word[x] == word[x + 1]:
-                    after[x] = before[x + 1] = itself
-                else:
-                    follow[x] = word[x + 1]
-            n, m = len(seqs), len(at)
-            rid, train = np.array(rid, dtype=np.int64), np.array(train, dtype=bool)
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([rid, rid[text]])), pa.array(doc_id + [None] * m, pa.int64()),
-                pa.array(np.concatenate([train, train[text]])),
-                pa.array([s.astype("<i4").tobytes() for s in seqs] + [None] * m, pa.binary()),
-                pa.array(np.add.reduceat((~(other | first)).astype(np.int64), starts).tolist() + [None] * m, pa.int64()),
-                pa.array(np.add.reduceat(value, starts).tolist() + [None] * m, pa.float64()),
-                pa.array([None] * n + word, pa.string()),
-                pa.array([None] * n + (before * size + after).tolist(), pa.int64()),
-                pa.array([None] * n + follow, pa.string())],
-                ["rid", "doc_id", "train", "codes", "known", "base", "word", "around", "follow"])
+            same = which[at] == which[at + 1]
+            after[same] = itself
+            before[np.flatnonzero(same) + 1] = itself
+            per_text = [b.column("doc_id"), packed(np.repeat(np.arange(len(lens)), lens), seq, seq)[1],
+                        pa.array(np.add.reduceat((~(other | first)).astype(np.int64), starts)),
+                        pa.array(np.add.reduceat(value, starts))]
+            doc_id, codes, known, base = (pa.concat_arrays([x, pa.nulls(len(at), x.type)]) for x in per_text)
+            per_word = [distinct.take(pa.array(which[at])), pa.array(before * size + after),
+                        distinct.take(pa.array(which[at + 1], mask=same | ~other[at + 1]))]
+            word, around, follow = (pa.concat_arrays([pa.nulls(b.num_rows, x.type), x]) for x in per_word)
+            of = pa.array(np.repeat(np.arange(b.num_rows), np.add.reduceat(other.astype(np.int64), starts)))
+            rid, train = (pa.concat_arrays([x, x.take(of)]) for x in (b.column("rid"), b.column("train")))
+            return pa.RecordBatch.from_arrays([rid, doc_id, train, codes, known, base, word, around, follow], [
+                "rid", "doc_id", "train", "codes", "known", "base", "word", "around", "follow"])
         for b in batches:
-            waiting, toks = ([], [], [], []), []
-            for row in zip(b.column("rid").to_pylist(), b.column("doc_id").to_pylist(), b.column("train").to_pylist(),
-                           b.column("text").to_pylist()):
-                own = tokens(row[3])
-                for some, x in zip(waiting, (*row[:3], np.array([codes.end, *map(codes.__getitem__, own), codes.end],
-                                                                dtype=np.int64))):
-                    some.append(x)
-                toks.append(b"")
-                toks += own
-                toks.append(b"")
-                if len(toks) > 500_000:
-                    yield rows(*waiting, toks)
-                    waiting, toks = ([], [], [], []), []
-            if toks:
-                yield rows(*waiting, toks)
+            for part in slices(b, PART):
+                yield rows(part)
 
     return docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", (~held_out(F.col("doc_id"))).alias("train"),
                        "text").mapInArrow(
@@ -175,8 +174,26 @@ def coded(docs: DataFrame, words: list, log_count: np.ndarray) -> DataFrame:
              "around bigint, follow string")
 
 
+def packed(key: np.ndarray, value: np.ndarray, n: np.ndarray) -> tuple:
+    """(keys, and for each of them the bytes of its values and of their counts): ``key`` is sorted."""
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    ends = np.append(starts, len(key))
+    out = [pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((ends * width).astype("<i4").tobytes()),
+                                                            pa.py_buffer(x.astype(kind).tobytes())])
+           for x, kind, width in ((value, "<i4", 4), (n, "<i8", 8))]
+    return key[starts], *out
+
+
+def unpacked(batch, name: str) -> tuple:
+    """(row, value, count) of a batch's ``packed`` column ``name``, one after the other."""
+    value, n = (b"".join(batch.column(x).to_pylist()) for x in (name, f"{name}_n"))
+    lens = pc.binary_length(batch.column(name)).to_numpy(zero_copy_only=False) // 4
+    return np.repeat(np.arange(batch.num_rows), lens), np.frombuffer(value, "<i4"), np.frombuffer(n, "<i8")
+
+
 def code_pairs(texts_coded: DataFrame, words: int) -> DataFrame:
-    """(a, b, n): neighbouring codes of the ``coded`` texts; at most (codes)**2 rows."""
+    """(w, after, after_n, before, before_n): a row per code, ``packed`` with the codes beside it in the ``coded`` texts and
+    how often they are; at most (codes)**2 pairs."""
     size = words + FORMS + 1
 
     def run(batches):
@@ -184,26 +201,77 @@ def code_pairs(texts_coded: DataFrame, words: int) -> DataFrame:
 
         def rows():
             pairs, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+            a, b = pairs // size, pairs % size
+            order = np.argsort(b, kind="stable")
+            for side, found in ((0, packed(a, b, n)), (1, packed(b[order], a[order], n[order]))):
+                for i in range(0, len(found[0]), 10_000):
+                    w, near, near_n = (x[i:i + 10_000] for x in found)
+                    yield pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(np.full(len(w), side), pa.int32()),
+                                                      near, near_n], ["w", "side", "near", "near_n"])
         for b in batches:
             for codes in b.column("codes").to_pylist():
                 seq = np.frombuffer(codes, dtype="<i4").astype(np.int64)
                 waiting.append(seq[:-1] * size + seq[1:])
                 pending += len(seq)
                 if pending > 4_000_000:
-                    yield rows()
+                    yield from rows()
                     waiting, pending = [], 0
         if waiting:
-            yield rows()
+            yield from rows()
+
+    def merged(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        of, side = table.column("w").to_numpy(), table.column("side").to_numpy()
+        codes, sides = np.unique(of), []
+        row, near, n = unpacked(table, "near")
+        for x in (0, 1):
+            use = side[row] == x
+            pairs, at = np.unique(of[row[use]].astype(np.int64) * size + near[use], return_inverse=True)
+            found = packed(pairs // size, pairs % size, np.bincount(at, n[use], len(pairs)))
+            lacks = pa.array(np.searchsorted(found[0], codes), mask=~np.isin(codes, found[0]))
+            sides += [pc.fill_null(column.take(lacks), b"") for column in found[1:]]
+        return pa.table([pa.array(codes, pa.int32()), *sides], names=["w", "after", "after_n", "before", "before_n"])
+
+    return (texts_coded.select("codes").mapInArrow(run, "w int, side int, near binary, near_n binary")
+            .groupBy((F.col("w") % BLOCKS).alias("block"))
+            .applyInArrow(merged, "w int, after binary, after_n binary, before binary, before_n binary"))
+
+
+def folded(bigrams: DataFrame, fold: np.ndarray, kept: int) -> DataFrame:
+    """``code_pairs`` with the codes ``fold`` gives: a row of each code below ``kept``, which ``fold`` leaves as it is, and
+    one or more of the others, to be added up."""
+    size = int(fold.max()) + 1
 
-    # one code's successors lie together, so that its contexts are summed where they are
-    return (texts_coded.select("codes").mapInArrow(run, "pair bigint, n bigint")
-            .select(F.floor(F.col("pair") / size).cast("int").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
-            .repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n")))
+    def run(batches):
+        rest: dict = {}
+        for b in batches:
+            w = b.column("w").to_numpy()
+            to, columns = fold[w], []
+            own = np.flatnonzero(w < kept)
+            for side, name in enumerate(("after", "before")):
+                row, near, n = unpacked(b, name)
+                pairs, at = np.unique(to[row] * size + fold[near], return_inverse=True)
+                sums = np.bincount(at, n, len(pairs)).astype(np.int64)
+                low = pairs < kept * size
+                for x, y in zip(pairs[~low].tolist(), sums[~low].tolist()):
+                    rest[side, x] = rest.get((side, x), 0) + y
+                found = packed(pairs[low] // size, pairs[low] % size, sums[low])
+                lacks = pa.array(np.searchsorted(found[0], w[own]), mask=~np.isin(w[own], found[0]))
+                columns += [pc.fill_null(column.take(lacks), b"") for column in found[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(w[own], pa.int32()), *columns],
+                                             ["w", "after", "after_n", "before", "before_n"])
+        for side in (0, 1):
+            pairs = np.array(sorted(x for s, x in rest if s == side), dtype=np.int64)
+            code, *found = packed(pairs // size, pairs % size, np.array([rest[side, x] for x in pairs.tolist()], dtype=np.int64))
+            none = pa.array([b""] * len(code), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), *(found + [none] * 2 if side == 0 else [none] * 2 + found)],
+                                             ["w", "after", "after_n", "before", "before_n"])
+
+    return bigrams.mapInArrow(run, bigrams.schema)
 
 
 def bigram_counts(training: DataFrame, words: list) -> DataFrame:
-    """(a, b, n): neighbouring codes of the texts, each between two ends."""
+    """The ``code_pairs`` of the texts, each between two ends."""
     return code_pairs(coded(training, words, np.zeros(len(words) + FORMS + 1)).where("codes is not null"), len(words))
 
 
@@ -223,26 +291,28 @@ def best_moves(n: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarr
     f, w = _xlogx, np.arange(len(own))
     r, l = right.sum(1) + same, left.sum(1) + same
     rows, cols, diag = n.sum(1), n.sum(0), n.diagonal()
-    gain = np.zeros(right.shape)
+    gain, stay = np.zeros(right.shape), np.zeros(len(own))
     for part, table in ((right, n), (left, n.T)):
         i, c = np.nonzero(part)
         if len(i):
             x = part[i, c].astype(np.int64)
             cells, at = np.unique(x * len(n) + c, return_inverse=True)
-            to = table[:, cells % len(n)]
+            to = np.ascontiguousarray(table.T)[cells % len(n)]
             starts = np.flatnonzero(np.diff(i, prepend=-1))
-            gain[i[starts]] += np.add.reduceat((f(to + cells // len(n)) - f(to)).T[at], starts, axis=0)
+            gain[i[starts]] += np.add.reduceat((f(to + (cells // len(n))[:, None]) - f(to))[at], starts, axis=0)
+            old = table[own[i], c]
+            stay += np.bincount(i, np.where(c == own[i], 0.0, f(old) - f(old - x)), len(own))
     # the cells beside the word's own class lack the word's counts
-    for part, back, table in ((right, left, n[:, own].T), (left, right, n[own])):
-        x = part[w, own][:, None]
-        gain += f(table - back + x) - f(table - back) - f(table + x) + f(table)
-    gain += f(diag + right + left + same[:, None]) + f(diag) - f(diag + right) - f(diag + left)
-    gain -= f(rows + r[:, None]) - f(rows) + f(cols + l[:, None]) - f(cols)
-    stay = np.zeros(len(own))
-    for part, table in ((right, n[own]), (left, n[:, own].T)):
-        cells = f(table) - f(table - part)
-        cells[w, own] = 0
-        stay += cells.sum(1)
+    for part, back, table in ((right, left, n.T), (left, right, n)):
+        some = np.flatnonzero(part[w, own])
+        x, there, least = part[some, own[some]][:, None], table[own[some]], table[own[some]] - back[some]
+        gain[some] += f(least + x) - f(least) - f(there + x) + f(there)
+    i, c = np.nonzero(((right > 0) & (left > 0)) | (same > 0)[:, None])
+    x, y, mid = right[i, c], left[i, c], diag[c]
+    gain[i, c] += f(mid + x + y + same[i]) + f(mid) - f(mid + x) - f(mid + y)
+    for sums, count in ((rows, r), (cols, l)):
+        x, at = np.unique(count, return_inverse=True)
+        gain -= (f(sums + x[:, None]) - f(sums))[at]
     stay += f(diag[own]) - f(diag[own] - right[w, own] - left[w, own] - same)
     stay -= f(rows[own]) - f(rows[own] - r) + f(cols[own]) - f(cols[own] - l)
     gain -= stay[:, None]
@@ -251,11 +321,6 @@ def best_moves(n: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarr
     return best, gain[w, best]
 
 
-def class_of(code: str, cls: np.ndarray) -> Column:
-    """The class of a code column, by a constant array."""
-    return F.get(F.split(F.lit(",".join(map(str, cls.tolist()))), ",").cast("array<int>"), F.col(code))
-
-
 def filled(counted: DataFrame, k: int) -> np.ndarray:
     """The table of (c, d, n) rows."""
     got, out = counted.toArrow(), np.zeros((k, k))
@@ -263,44 +328,94 @@ def filled(counted: DataFrame, k: int) -> np.ndarray:
     return out
 
 
-def class_table(bigrams: DataFrame, cls: np.ndarray, right: np.ndarray | None = None, k: int | None = None) -> np.ndarray:
-    """Class bigram counts under a code -> class array (``right``: another one for the second code)."""
-    c, d = class_of("a", cls), class_of("b", cls if right is None else right)
-    return filled(bigrams.select(c.alias("c"), d.alias("d"), "n").where("c >= 0 and d >= 0")
-                  .groupBy("c", "d").agg(F.sum("n").alias("n")), int(cls.max()) + 1 if k is None else k)
+def class_tables(bigrams: DataFrame, classes: list, k: int) -> np.ndarray:
+    """Class bigram counts under each of (the first code's, the second code's) class arrays; a class of -1 is left out."""
+    def run(batches):
+        sums = np.zeros((len(classes), k * k))
+        for b in batches:
+            row, near, n = unpacked(b, "after")
+            of = b.column("w").to_numpy()[row]
+            for own, (left, right) in zip(sums, classes):
+                c, d = left[of], right[near]
+                use = (c >= 0) & (d >= 0)
+                own += np.bincount(c[use] * k + d[use], n[use], k * k)
+        which, cell = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(which * k + cell // k), pa.array(cell % k),
+                                          pa.array(sums[which, cell].astype(np.int64))], ["c", "d", "n"])
+
+    got = (bigrams.select("w", "after", "after_n").mapInArrow(run, "c bigint, d bigint, n bigint")
+           .groupBy("c", "d").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros((len(classes) * k, k))
+    out[got.column("c").to_numpy(), got.column("d").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(len(classes), k, k)
+
+
+def class_table(bigrams: DataFrame, cls: np.ndarray) -> np.ndarray:
+    """Class bigram counts under a code -> class array."""
+    return class_tables(bigrams, [(cls, cls)], int(cls.max()) + 1)[0]
+
+
+def tries(w: np.ndarray, side: np.ndarray, c: np.ndarray, x: np.ndarray, cls: np.ndarray, n: np.ndarray, movable: int) -> list:
+    """[(codes, classes, gains)]: the best moves of codes by their contexts, one or more (code, side, class, count) each:
+    before (side 0) and after a class, or beside themselves (side 2)."""
+    out, k = [], len(n)
+    code, at = np.unique(w, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    at, cell, x = at[order], (side * k + c)[order], x[order]
+    for first in range(0, len(code), CHUNK):
+        some = code[first:first + CHUNK]
+        part = slice(*np.searchsorted(at, (first, first + len(some))))
+        v = np.bincount((at[part] - first) * 3 * k + cell[part], x[part], len(some) * 3 * k).reshape(-1, 3, k)
+        out.append((some, *best_moves(n, cls[some], v[:, 0], v[:, 1], v[:, 2].sum(1), movable)))
+    return out
 
 
 def proposals(bigrams: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int,
               beside: DataFrame | None = None) -> DataFrame:
-    """(w, cls, gain): every coded word's best move against the class table ``n``, in parallel; ``beside`` adds
-    contexts (w, side, cls, n) among words without a code."""
-    right = bigrams.select(F.col("a").alias("w"), F.lit(0).alias("side"), class_of("b", cls).alias("cls"), "n")
-    left = bigrams.select(F.col("b").alias("w"), F.lit(1).alias("side"), class_of("a", cls).alias("cls"), "n")
-    same = bigrams.where("a = b").select(F.col("a").alias("w"), F.lit(2).alias("side"), F.lit(0).alias("cls"), "n")
-    context = right.union(left).union(same)
-    if beside is not None:
-        context = context.union(beside)
-    context = context.where(F.col("w") < words).groupBy("w", "side", "cls").agg(F.sum("n").alias("n"))
-
-    def run(table: pa.Table) -> pa.Table:
-        w, side, c, x = (table.column(i).to_numpy() for i in ("w", "side", "cls", "n"))
-        code, at = np.unique(w, return_inverse=True)
-        to, gains = [], []
-        for first in range(0, len(code), CHUNK):
-            some = code[first:first + CHUNK]
-            part = (at >= first) & (at < first + CHUNK)
-            v = np.zeros((len(some), 3, len(n)))
-            v[at[part] - first, side[part], c[part]] = x[part]
-            own, same_n = cls[some], v[:, 2, 0]
-            v[np.arange(len(some)), 0, own] -= same_n
-            v[np.arange(len(some)), 1, own] -= same_n
-            best, gain = best_moves(n, own, v[:, 0], v[:, 1], same_n, movable)
-            to.append(best)
-            gains.append(gain)
-        return pa.table([pa.array(code, pa.int32()), pa.array(np.concatenate(to), pa.int32()),
-                         pa.array(np.concatenate(gains), pa.float64())], names=["w", "cls", "gain"])
-
-    return context.groupBy((F.col("w") % 24).alias("block")).applyInArrow(run, "w int, cls int, gain double")
+    """(w, cls, gain): every coded word's best move against the class table ``n``, in parallel; codes of class -1 are no
+    contexts. ``beside`` adds contexts among words without a code: (w, near, near_n), ``packed`` with 3 * class + side."""
+    k, out = len(n), "w int, cls int, gain double"
+
+    def contexts(b):
+        found = []
+        w = b.column("w").to_numpy()
+        for side, name in enumerate(("after", "before")):
+            row, near, x = unpacked(b, name)
+            itself, c = near == w[row], cls[near]
+            use = (c >= 0) & ~itself
+            found.append((w[row[use]], np.full(use.sum(), side), c[use], x[use]))
+            if not side:
+                found.append((w[row[itself]], np.full(itself.sum(), 2), np.zeros(itself.sum(), dtype=np.int64), x[itself]))
+        return [np.concatenate(x) for x in zip(*found)]
+
+    def moves(found):
+        none = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0))
+        return [pa.array(np.concatenate(x), t) for x, t in zip(zip(none, *found), (pa.int32(), pa.int32(), pa.float64()))]
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(moves(tries(*contexts(b), cls, n, movable)), ["w", "cls", "gain"])
+
+    def run_packed(batches):
+        for b in batches:
+            w, side, c, x = contexts(b)
+            cells, at = np.unique(w.astype(np.int64) * 3 * k + c * 3 + side, return_inverse=True)
+            found, near, near_n = packed(cells // (3 * k), cells % (3 * k), np.bincount(at, x, len(cells)))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), near, near_n], ["w", "near", "near_n"])
+
+    def run_block(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        row, near, x = unpacked(table, "near")
+        use = near < 3 * k
+        row, near = row[use], near[use]
+        found = tries(table.column("w").to_numpy()[row], near % 3, near // 3, x[use], cls, n, movable)
+        return pa.table(moves(found), names=["w", "cls", "gain"])
+
+    bigrams = bigrams.where(F.col("w") < words)
+    if beside is None:
+        return bigrams.mapInArrow(run, out)
+    return (bigrams.mapInArrow(run_packed, "w int, near binary, near_n binary").union(beside.where(F.col("w") < words))
+            .groupBy((F.col("w") % BLOCKS).alias("block")).applyInArrow(run_block, out))
 
 
 def exchange(bigrams: DataFrame, words: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple:
@@ -309,24 +424,61 @@ def exchange(bigrams: DataFrame, words: int, classes: int = CLASSES, sweeps: int
     cls = np.concatenate([np.arange(words) % classes, classes + np.arange(FORMS + 1)]).astype(np.int64)
     n, idle = class_table(bigrams, cls), 0
     for sweep in range(sweeps if words else 0):
-        moves = proposals(bigrams.where(f"(a % 4 = {sweep % 4} and a < {words}) or (b % 4 = {sweep % 4} and b < {words})"),
-                          cls, n, words, classes).where(f"gain > 0 and w % 4 = {sweep % 4}").toArrow()
+        moves = proposals(bigrams.where(F.col("w") % 4 == sweep % 4), cls, n, words, classes).where("gain > 0").toArrow()
         w, to, gain = (moves.column(i).to_numpy() for i in ("w", "cls", "gain"))
         order = np.lexsort((w, -gain))
         idle += 1
+        tried = []
         while len(order):
-            tried = cls.copy()
-            tried[w[order]] = to[order]
-            m = class_table(bigrams, tried)
+            tried.append(cls.copy())
+            tried[-1][w[order]] = to[order]
+            order = order[:-1:2] if len(order) > 1 else order[:0]
+        tables = class_tables(bigrams, [(x, x) for x in tried], len(n)) if tried else []
+        for x, m in zip(tried, tables):
             if likelihood(m) > likelihood(n):
-                cls, n, idle = tried, m, 0
+                cls, n, idle = x, m, 0
                 break
-            order = order[:-1:2] if len(order) > 1 else order[:0]
         if idle == 4:
             break
     return cls, n
 
 
+def by_word(rare: DataFrame) -> DataFrame:
+    """(word, around): a row per word with all its occurrences' ``around``."""
+    def run(batches):
+        last = None
+        for b in batches:
+            b = pa.Table.from_batches([b] if last is None else [last, b]).combine_chunks()
+            if not b.num_rows:
+                continue
+            b, last = grouped(b, False)
+            yield b
+        if last is not None:
+            yield grouped(pa.Table.from_batches([last]), True)[0]
+
+    def grouped(b, whole):
+        """The rows of all words but for those of the last number, which may go on, and these."""
+        def changes(x):
+            return np.append(True, pc.not_equal(x.slice(1), x.slice(0, len(x) - 1)).to_numpy(zero_copy_only=False))
+
+        numbers = np.flatnonzero(changes(b.column("number")))
+        rest = b.slice(numbers[-1])
+        b = b if whole else b.slice(0, numbers[-1])
+        new = np.flatnonzero(changes(b.column("word"))) if b.num_rows else np.zeros(0, dtype=np.int64)
+        if len(new) != len(numbers) - (not whole):                   # words that share a number
+            b = b.sort_by([("number", "ascending"), ("word", "ascending")]).combine_chunks()
+            new = np.flatnonzero(changes(b.column("word")))
+        word, around = (pa.concat_arrays(b.column(x).chunks) if b.num_rows else pa.array([], t)
+                        for x, t in (("word", pa.string()), ("around", pa.int64())))
+        out = pa.RecordBatch.from_arrays(
+            [word.take(pa.array(new)), pa.ListArray.from_arrays(pa.array(np.append(new, b.num_rows), pa.int32()), around)],
+            ["word", "around"])
+        return out, rest.combine_chunks().to_batches()[0]
+
+    return (rare.select("word", "around").repartition("word").withColumn("number", F.xxhash64("word"))
+            .sortWithinPartitions("number").mapInArrow(run, "word string, around array<bigint>"))
+
+
 def placements(tail: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int, placed: bool) -> DataFrame:
     """(word, around, own, to, gain): the best move of every word without a code. ``tail`` has a row per word: (word, its
     occurrences' ``around``, its class). Other such words beside it are taken by their form, or, if they are ``placed``,
@@ -334,39 +486,67 @@ def placements(tail: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, mova
     k, size, end = len(n), words + FORMS + 2, words + FORMS
 
     def run(batches):
+        # words met once that share their class and those around them have the same move
+        met = np.full(k * (k + 1) ** 2, -1, dtype=np.int32)
+        met_gain = np.zeros(len(met))
         for b in batches:
-            for first in range(0, b.num_rows, CHUNK):
-                part = b.slice(first, CHUNK)
-                m = part.num_rows
-                own = part.column("cls").to_numpy()
-                w = np.repeat(np.arange(m), part.column("around").value_lengths().to_numpy())
-                pairs = part.column("around").flatten().to_numpy()
-                near, x = -1 - pairs[pairs < 0], w[pairs < 0]
-                w, pairs = w[pairs >= 0], pairs[pairs >= 0]
-                sides = []
-                for side, code in ((0, pairs % size), (1, pairs // size)):
-                    use = (code < words) | (code == end) | ((code < end) & (not placed))
-                    at = np.concatenate([w[use] * k + cls[code[use]], x[near // k == side] * k + near[near // k == side] % k])
-                    sides.append(np.bincount(at, minlength=m * k).reshape(m, k).astype(float))
-                same = np.bincount(w[pairs % size > end], minlength=m).astype(float)
-                to, gain = best_moves(n, own, *sides, same, movable)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(w, minlength=m))])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("word"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs)),
-                     pa.array(own, pa.int32()), pa.array(to, pa.int32()), pa.array(gain, pa.float64())],
-                    ["word", "around", "own", "to", "gain"])
+            m, own = b.num_rows, b.column("cls").to_numpy()
+            w = np.repeat(np.arange(m), b.column("around").value_lengths().to_numpy())
+            pairs = b.column("around").flatten().to_numpy()
+            near, x = -1 - pairs[pairs < 0], w[pairs < 0]
+            w, pairs = w[pairs >= 0], pairs[pairs >= 0]
+            sides = []
+            for side, code in ((0, pairs % size), (1, pairs // size)):
+                use = (code < words) | (code == end) | ((code < end) & (not placed))
+                sides.append((np.concatenate([w[use], x[near // k == side]]),
+                              np.concatenate([cls[code[use]], near[near // k == side] % k])))
+            same = np.bincount(w[pairs % size > end], minlength=m).astype(float)
+            lens = np.bincount(w, minlength=m)
+            around = np.full((2, m), k)
+            for of, (v, c) in zip(around, sides):
+                of[v] = c
+            key = (own * (k + 1) + around[0]) * (k + 1) + around[1]
+            once = np.flatnonzero(lens == 1)
+            unmet = once[met[key[once]] < 0]
+            unmet = unmet[np.unique(key[unmet], return_index=True)[1]]
+            to, gain = np.zeros(m, dtype=np.int32), np.zeros(m)
+            todo = np.concatenate([unmet, np.flatnonzero(lens != 1)])
+            at = np.full(m, -1)
+            for first in range(0, len(todo), CHUNK):
+                some = todo[first:first + CHUNK]
+                at[some] = np.arange(len(some))
+                full = []
+                for v, c in sides:
+                    use = at[v] >= 0
+                    full.append(np.bincount(at[v[use]] * k + c[use], minlength=len(some) * k).reshape(-1, k).astype(float))
+                to[some], gain[some] = best_moves(n, own[some], *full, same[some], movable)
+                at[some] = -1
+            met[key[unmet]], met_gain[key[unmet]] = to[unmet], gain[unmet]
+            to[once], gain[once] = met[key[once]], met_gain[key[once]]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("word"), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)), pa.int32()), pa.array(pairs)),
+                 pa.array(own, pa.int32()), pa.array(to, pa.int32()), pa.array(gain, pa.float64())],
+                ["word", "around", "own", "to", "gain"])
 
     return tail.select("word", "around", "cls").mapInArrow(
         run, "word string, around array<bigint>, own int, to int, gain double")
 
 
-def edges(tail: DataFrame, words: int, k: int, first_form: int) -> DataFrame:
-    """(w, side, cls, n): how often a code stands before (side 0) or after (1) the words without a code, by their class;
-    the code after the end's: beside themselves. Words met once count a second time as class ``k`` + their form."""
+def edges(tail: DataFrame, words: int, k: int) -> DataFrame:
+    """(w, near, near_n), one or more rows a code, ``packed`` with 3 * class + side: how often the code stands before (side 0)
+    or after (1) the words without a code, by their class; the code after the end's: beside themselves. Words met once
+    count a second time as class ``k`` + their form."""
     size, end, wide = words + FORMS + 2, words + FORMS, k + FORMS
 
     def run(batches):
-        sums = np.zeros(size * 2 * wide, dtype=np.int64)
+        waiting, pending = [], 0
+
+        def rows():
+            at, x = np.unique(np.concatenate(waiting), return_counts=True)
+            w, near, near_n = packed(at // (3 * wide), at % (3 * wide), x)
+            for i in range(0, len(w), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 10_000], pa.int32()), near[i:i + 10_000],
+                                                  near_n[i:i + 10_000]], ["w", "near", "near_n"])
         for b in batches:
             around, c = b.column("around"), b.column("cls").to_numpy()
             lens = around.value_lengths().to_numpy()
@@ -376,14 +556,21 @@ def edges(tail: DataFrame, words: int, k: int, first_form: int) -> DataFrame:
             for side, code in ((0, pairs // size), (1, pairs % size)):
                 use = ((code < words) | (code >= end)) & ((code <= end) | (side == 1))
                 for of, some in ((c[w], use), (unseen, use & once)):
-                    at, x = np.unique((code[some] * 2 + side) * wide + of[some], return_counts=True)
-                    sums[at] += x
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at // (2 * wide), pa.int32()), pa.array(at // wide % 2, pa.int32()),
-                                          pa.array(at % wide, pa.int32()), pa.array(sums[at])], ["w", "side", "cls", "n"])
+                    waiting.append((code[some] * wide + of[some]) * 3 + side)
+                    pending += len(waiting[-1])
+            if pending > 4_000_000:
+                yield from rows()
+                waiting, pending = [], 0
+        if waiting:
+            yield from rows()
+
+    return tail.select("around", "cls", form_of(F.col("word")).alias("form")).mapInArrow(
+        run, "w int, near binary, near_n binary")
+
 
-    return (tail.select("around", "cls", form_of(F.col("word")).alias("form")).mapInArrow(
-        run, "w int, side int, cls int, n bigint").groupBy("w", "side", "cls").agg(F.sum("n").alias("n")))
+def without_forms(cls: np.ndarray, words: int) -> np.ndarray:
+    """The classes of held words and the end alone; words without a code have their own."""
+    return np.concatenate([cls[:words], np.full(FORMS, -1), cls[words + FORMS:]])
 
 
 def neighbours(rare: DataFrame, of: DataFrame, first_form: int) -> DataFrame:
@@ -391,23 +578,34 @@ def neighbours(rare: DataFrame, of: DataFrame, first_form: int) -> DataFrame:
     once); words that it lacks have the class of their form."""
     out = rare.where("follow is not null").select("rid", "train", "word", "follow")
     for name, side in (("word", "c"), ("follow", "d")):
-        out = out.join(of.select(F.col("word").alias(name), F.col("cls").alias(side), F.col("once").alias(f"once_{side}")),
-                       name, "left")
+        out = out.join(of.select(F.col("word").alias(name), F.col("cls").alias(side), F.col("once").alias(f"once_{side}"))
+                       .hint("shuffle_hash"), name, "left")
         out = (out.withColumn(f"form_{side}", first_form + form_of(F.col(name)))
                .withColumn(side, F.coalesce(side, f"form_{side}")))
     return out
 
 
-def whole_table(inner: DataFrame, cls: np.ndarray, beside: DataFrame, pairs: DataFrame, words: int, k: int) -> np.ndarray:
-    """The class bigram table of all words: of the codes' own bigrams ``inner``, of ``edges`` and of ``neighbours``. The
+def whole_table(bigrams: DataFrame, cls: np.ndarray, beside: DataFrame, pairs: DataFrame, words: int, k: int) -> np.ndarray:
+    """The class bigram table of all words: of the held words' own bigrams, of ``edges`` and of ``neighbours``. The
     rows and columns from ``k`` on are, by form, the places of words without a code that are met once."""
     end, wide = words + FORMS, k + FORMS
     out = np.zeros((wide, wide))
-    out[:k, :k] = class_table(inner, cls, k=k)
-    own = F.when(F.col("w") > end, F.col("cls")).otherwise(class_of("w", cls))
-    out += filled(beside.groupBy(F.when(F.col("side") == 0, own).otherwise(F.col("cls")).alias("c"),
-                                               F.when(F.col("side") == 0, F.col("cls")).otherwise(own).alias("d"))
-                  .agg(F.sum("n").alias("n")), wide)
+    of = np.append(without_forms(cls, words), -1)
+    out[:k, :k] = class_tables(bigrams, [(of, of)], k)[0]
+
+    def run(batches):
+        sums = np.zeros(wide * wide)
+        for b in batches:
+            row, near, n = unpacked(b, "near")
+            c, side = near // 3, near % 3
+            own = of[b.column("w").to_numpy()[row]]
+            own = np.where(own < 0, c, own)
+            sums += np.bincount(np.where(side == 0, own * wide + c, c * wide + own), n, wide * wide)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at // wide), pa.array(at % wide), pa.array(sums[at].astype(np.int64))],
+                                         ["c", "d", "n"])
+
+    out += filled(beside.mapInArrow(run, "c bigint, d bigint, n bigint").groupBy("c", "d").agg(F.sum("n").alias("n")), wide)
     first_form = k - FORMS - 1
     kinds = ["c", "d", F.coalesce("once_c", F.lit(False)).alias("p"), F.coalesce("once_d", F.lit(False)).alias("q"),
              "form_c", "form_d"]
@@ -430,15 +628,14 @@ def exchange_all(bigrams: DataFrame, rare: DataFrame, cls: np.ndarray, words: in
     end = words + FORMS
     first_form, k = int(cls[words]), int(cls[end]) + 1
     once = (F.size("around") == 1).alias("once")
-    contexts = staged(rare.where("train").groupBy("word").agg(F.collect_list("around").alias("around")), "lm-contexts")
+    contexts = staged(by_word(rare.where("train")), "lm-contexts")
     tail, old = contexts.withColumn("cls", first_form + form_of(F.col("word"))), [contexts]
-    inner = bigrams.where(f"(a < {words} or a = {end}) and (b < {words} or b = {end})")
 
     def state(of, tried):
         of = of.select("word", "around", "cls", once)
         pairs = staged(neighbours(rare, of.drop("around"), first_form), "lm-neighbours")
-        beside = staged(edges(of, words, k, first_form), "lm-edges")
-        return tried, of, pairs, whole_table(inner, tried, beside, pairs, words, k), beside
+        beside = staged(edges(of, words, k), "lm-edges")
+        return tried, of, pairs, whole_table(bigrams, tried, beside, pairs, words, k), beside
 
     found, n = None, class_table(bigrams, cls)
     for turn in range(rounds):
@@ -449,7 +646,7 @@ def exchange_all(bigrams: DataFrame, rare: DataFrame, cls: np.ndarray, words: in
                     .groupBy("word").agg(F.collect_list("x").alias("near")))
             tail = found[1].join(near, "word", "left").withColumn(
                 "around", F.when(F.col("near").isNull(), F.col("around")).otherwise(F.concat("around", "near")))
-            got = proposals(inner, cls, n, words, movable, found[4].where(f"cls < {k} and w <= {end}"))
+            got = proposals(bigrams, without_forms(cls, words), n, words, movable, found[4])
         else:
             got = proposals(bigrams, cls, n, words, movable)
         got = got.where("gain > 0").toArrow()
@@ -494,8 +691,7 @@ def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
     bigrams = staged(code_pairs(per_text.where("train"), words), "lm-bigrams")
     # the most frequent words alone, all others by their form
     fold = np.concatenate([np.arange(exchanged), exchanged + head_form[exchanged:], exchanged + forms, [exchanged + FORMS]])
-    core = staged(bigrams.groupBy(class_of("a", fold).alias("a"), class_of("b", fold).alias("b")).agg(F.sum("n").alias("n")),
-                  "lm-core")
+    core = staged(folded(bigrams, fold, exchanged).repartition(8), "lm-core")
     cls, _ = exchange(core, exchanged, classes, sweeps)
     discard(counts, core)
     first_form, k = int(cls[exchanged]), int(cls[-1]) + 1
@@ -512,8 +708,7 @@ def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
         unseen[r["f"]] += r["count"]
     if (head_n == 1).any():
         ghost = np.concatenate([np.where(head_n == 1, k + head_form, -1), np.full(FORMS + 1, -1)])
-        for left, right in ((cls, ghost), (ghost, cls), (ghost, ghost)):
-            table += class_table(bigrams, left, right, len(table))
+        table += class_tables(bigrams, [(cls, ghost), (ghost, cls), (ghost, ghost)], len(table)).sum(0)
     discard(bigrams)
     target = np.concatenate([np.arange(k), first_form + forms])
     n = np.zeros((k, k))
@@ -548,7 +743,7 @@ def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("c"), pa.array(out)], ["rid", "c", "model"])
 
     known = tail.select("word", "cls", F.size("around").cast("bigint").alias("c"))
-    of_rare = (rare.select("rid", "word", "around").join(known, "word", "left")
+    of_rare = (rare.select("rid", "word", "around").join(known.hint("shuffle_hash"), "word", "left")
                .select("rid", "around", F.coalesce("c", F.lit(0)).alias("c"),
                        F.coalesce("cls", first_form + form_of(F.col("word"))).alias("cls"))
                .mapInArrow(run_rare, "rid bigint, c bigint, model double"))
