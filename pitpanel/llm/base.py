@@ -15,12 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again, so that later
-    jobs neither repeat its work nor lose it with an executor."""
+    jobs neither repeat its work nor lose it with an executor. ``codec``: of the files, else the session's."""
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

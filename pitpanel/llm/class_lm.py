@@ -443,8 +443,11 @@ def exchange(bigrams: DataFrame, words: int, classes: int = CLASSES, sweeps: int
     return cls, n
 
 
-def by_word(rare: DataFrame) -> DataFrame:
-    """(word, around): a row per word with all its occurrences' ``around``."""
+def by_word(rare: DataFrame, more: tuple = (), then=None, out: str = "") -> DataFrame:
+    """(word, around, *more): a row per word with all its occurrences' ``around`` and, in the same order, their columns
+    ``more``. ``then`` takes these rows on in the same task, to rows of the columns ``out``."""
+    names = ["around", *more]
+
     def run(batches):
         last = None
         for b in batches:
@@ -468,20 +471,46 @@ def by_word(rare: DataFrame) -> DataFrame:
         if len(new) != len(numbers) - (not whole):                   # words that share a number
             b = b.sort_by([("number", "ascending"), ("word", "ascending")]).combine_chunks()
             new = np.flatnonzero(changes(b.column("word")))
-        word, around = (pa.concat_arrays(b.column(x).chunks) if b.num_rows else pa.array([], t)
-                        for x, t in (("word", pa.string()), ("around", pa.int64())))
-        out = pa.RecordBatch.from_arrays(
-            [word.take(pa.array(new)), pa.ListArray.from_arrays(pa.array(np.append(new, b.num_rows), pa.int32()), around)],
-            ["word", "around"])
+        word, *lists = (pa.concat_arrays(b.column(x).chunks) if b.num_rows else pa.array([], t)
+                        for x, t in (("word", pa.string()), *((x, pa.int64()) for x in names)))
+        ends = pa.array(np.append(new, b.num_rows), pa.int32())
+        out = pa.RecordBatch.from_arrays([word.take(pa.array(new)), *(pa.ListArray.from_arrays(ends, x) for x in lists)],
+                                         ["word", *names])
         return out, rest.combine_chunks().to_batches()[0]
 
-    return (rare.select("word", "around").repartition("word").withColumn("number", F.xxhash64("word"))
-            .sortWithinPartitions("number").mapInArrow(run, "word string, around array<bigint>"))
+    return (rare.select("word", *names).repartition("word").withColumn("number", F.xxhash64("word"))
+            .sortWithinPartitions("number")
+            .mapInArrow((lambda batches: then(run(batches))) if then else run,
+                        out or "word string, " + ", ".join(f"{x} array<bigint>" for x in names)))
+
+
+def by_form(batches, first_form: int):
+    """Rows of ``by_word`` with the class of their word's form, in batches of thousands."""
+    waiting, pending = [], 0
+
+    def rows():
+        b = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+        word = b.column("word")
+        forms = (np.minimum((pc.binary_length(word).to_numpy() - 1) // 3, 3)
+                 + np.where(pc.ascii_is_alpha(word).to_numpy(zero_copy_only=False), 0, 4))
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(first_form + forms, pa.int32())], [*b.schema.names, "cls"])
+    for b in batches:
+        if b.num_rows:
+            waiting.append(b)
+            pending += b.num_rows
+        if pending > 8_000:
+            yield rows()
+            waiting, pending = [], 0
+    if waiting:
+        yield rows()
+
+
+MOVES = "word string, around array<bigint>, rid array<bigint>, own int, to int, gain double"
 
 
-def placements(tail: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, movable: int, placed: bool) -> DataFrame:
-    """(word, around, own, to, gain): the best move of every word without a code. ``tail`` has a row per word: (word, its
-    occurrences' ``around``, its class). Other such words beside it are taken by their form, or, if they are ``placed``,
+def placing(cls: np.ndarray, n: np.ndarray, words: int, movable: int, placed: bool):
+    """The function from batches of words without a code to their best moves, ``MOVES``. A row is (word, its occurrences'
+    ``around`` and ``rid``, its class). Other such words beside it are taken by their form, or, if they are ``placed``,
     by their classes, further numbers in ``around``: -1 - c for a class c after it, -1 - len(n) - c before it."""
     k, size, end = len(n), words + FORMS + 2, words + FORMS
 
@@ -525,11 +554,10 @@ def placements(tail: DataFrame, cls: np.ndarray, n: np.ndarray, words: int, mova
             to[once], gain[once] = met[key[once]], met_gain[key[once]]
             yield pa.RecordBatch.from_arrays(
                 [b.column("word"), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)), pa.int32()), pa.array(pairs)),
-                 pa.array(own, pa.int32()), pa.array(to, pa.int32()), pa.array(gain, pa.float64())],
-                ["word", "around", "own", "to", "gain"])
+                 b.column("rid"), pa.array(own, pa.int32()), pa.array(to, pa.int32()), pa.array(gain, pa.float64())],
+                ["word", "around", "rid", "own", "to", "gain"])
 
-    return tail.select("word", "around", "cls").mapInArrow(
-        run, "word string, around array<bigint>, own int, to int, gain double")
+    return run
 
 
 def edges(tail: DataFrame, words: int, k: int) -> DataFrame:
@@ -575,13 +603,14 @@ def without_forms(cls: np.ndarray, words: int) -> np.ndarray:
 
 def neighbours(rare: DataFrame, of: DataFrame, first_form: int) -> DataFrame:
     """(rid, train, word, follow, c, d, ...): words without a code beside each other and their classes by ``of`` (word, cls,
-    once); words that it lacks have the class of their form."""
+    once); words that it lacks have the class of their form, which is given beside the classes of words met once."""
     out = rare.where("follow is not null").select("rid", "train", "word", "follow")
     for name, side in (("word", "c"), ("follow", "d")):
-        out = out.join(of.select(F.col("word").alias(name), F.col("cls").alias(side), F.col("once").alias(f"once_{side}"))
-                       .hint("shuffle_hash"), name, "left")
-        out = (out.withColumn(f"form_{side}", first_form + form_of(F.col(name)))
-               .withColumn(side, F.coalesce(side, f"form_{side}")))
+        # both times the same columns under new names, so that Spark deals them out once
+        out = out.join(of.select(F.col("word").alias(f"of_{side}"), F.col("cls").alias(side), F.col("once").alias(f"once_{side}"))
+                       .hint("shuffle_hash"), F.col(name) == F.col(f"of_{side}"), "left").drop(f"of_{side}")
+        by_form = first_form + form_of(F.col(name))
+        out = out.withColumn(f"form_{side}", F.when(F.col(f"once_{side}"), by_form)).withColumn(side, F.coalesce(side, by_form))
     return out
 
 
@@ -623,22 +652,26 @@ def whole_table(bigrams: DataFrame, cls: np.ndarray, beside: DataFrame, pairs: D
 
 def exchange_all(bigrams: DataFrame, rare: DataFrame, cls: np.ndarray, words: int, movable: int, rounds: int = ROUNDS) -> tuple:
     """Rounds of exchange of every training word. ``rare`` are the ``coded`` rows of words without a code, ``cls`` the classes
-    the codes start with. Returns code -> class, (word, around, cls, once) of the words without a code, their
+    the codes start with. Returns code -> class, (word, around, rid, cls, once) of the words without a code, their
     ``neighbours`` and the ``whole_table``."""
     end = words + FORMS
     first_form, k = int(cls[words]), int(cls[end]) + 1
     once = (F.size("around") == 1).alias("once")
-    contexts = staged(by_word(rare.where("train")), "lm-contexts")
-    tail, old = contexts.withColumn("cls", first_form + form_of(F.col("word"))), [contexts]
 
-    def state(of, tried):
-        of = of.select("word", "around", "cls", once)
-        pairs = staged(neighbours(rare, of.drop("around"), first_form), "lm-neighbours")
+    def state(of, tried, last):
+        # texts held out are only scored: their neighbours wait for the last round's classes
+        of = of.select("word", "around", "rid", "cls", once)
+        pairs = staged(neighbours(rare if last else rare.where("train"), of.drop("around", "rid"), first_form),
+                       "lm-neighbours", "zstd")
         beside = staged(edges(of, words, k), "lm-edges")
-        return tried, of, pairs, whole_table(bigrams, tried, beside, pairs, words, k), beside
+        return tried, of, pairs, whole_table(bigrams, tried, beside, pairs, words, k), beside, last
 
-    found, n = None, class_table(bigrams, cls)
+    if not rounds:
+        start = staged(by_word(rare.where("train"), ("rid",)), "lm-contexts")
+        return state(start.withColumn("cls", first_form + form_of(F.col("word"))), cls, True)[:4]
+    found, n, old = None, class_table(bigrams, cls), []
     for turn in range(rounds):
+        place = placing(cls, n, words, movable, found is not None)
         if found:
             pairs = found[2].where("train")
             near = (pairs.select("word", (-1 - F.col("d")).cast("bigint").alias("x"))
@@ -647,28 +680,37 @@ def exchange_all(bigrams: DataFrame, rare: DataFrame, cls: np.ndarray, words: in
             tail = found[1].join(near, "word", "left").withColumn(
                 "around", F.when(F.col("near").isNull(), F.col("around")).otherwise(F.concat("around", "near")))
             got = proposals(bigrams, without_forms(cls, words), n, words, movable, found[4])
+            moves = tail.select("word", "around", "rid", "cls").mapInArrow(place, MOVES)
         else:
             got = proposals(bigrams, cls, n, words, movable)
+            moves = by_word(rare.where("train"), ("rid",), lambda batches, of=place: of(by_form(batches, first_form)), MOVES)
         got = got.where("gain > 0").toArrow()
         w, to, gain = (got.column(i).to_numpy() for i in ("w", "cls", "gain"))
-        moves = staged(placements(tail, cls, n, words, movable, found is not None), "lm-moves")
+        moves = staged(moves, "lm-moves", "zstd")
+        if found:
+            discard(found[4])
         better = False
         for share in SHARES:
             some = (gain > 0) & (w % share == 0)
             tried = cls.copy()
             tried[w[some]] = to[some]
             move = (F.col("gain") > 0) & (F.pmod(F.hash("word"), F.lit(share)) == 0)
-            new = state(moves.select("word", "around", F.when(move, F.col("to")).otherwise(F.col("own")).alias("cls")), tried)
+            new = state(moves.select("word", "around", "rid", F.when(move, F.col("to")).otherwise(F.col("own")).alias("cls")),
+                        tried, turn == rounds - 1)
             better = not turn or likelihood(new[3][:k, :k]) > likelihood(n)
             if better:
                 discard(*old)
-                found, cls, n, old = new, tried, new[3][:k, :k], [moves, new[2], new[4]]
+                found, cls, n, old = new, tried, new[3][:k, :k], [moves, new[2]]
                 break
             discard(new[2], new[4])
         if not better:
             discard(moves)
             break
-    return (found or state(tail, cls))[:4]
+    cls, of, pairs, n, _, last = found
+    if not last:
+        pairs = pairs.union(staged(neighbours(rare.where("not train"), of.drop("around", "rid"), first_form),
+                                   "lm-neighbours", "zstd"))
+    return cls, of, pairs, n
 
 
 def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, sweeps: int = SWEEPS,
@@ -686,9 +728,9 @@ def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
     end, exchanged = words + FORMS, min(clustered, words)
     head_form = np.array([form(w) for w in names], dtype=np.int64)
     log_count = np.concatenate([np.log10(head_n + 0.5), np.zeros(FORMS), [np.log10(ends + 0.5)]])
-    all_coded = staged(coded(d, names, log_count), "lm-coded")
+    all_coded = staged(coded(d, names, log_count), "lm-coded", "zstd")
     per_text, rare = all_coded.where("codes is not null"), all_coded.where("word is not null")
-    bigrams = staged(code_pairs(per_text.where("train"), words), "lm-bigrams")
+    bigrams = staged(code_pairs(per_text.where("train"), words), "lm-bigrams", "zstd")
     # the most frequent words alone, all others by their form
     fold = np.concatenate([np.arange(exchanged), exchanged + head_form[exchanged:], exchanged + forms, [exchanged + FORMS]])
     core = staged(folded(bigrams, fold, exchanged).repartition(8), "lm-core")
@@ -730,30 +772,81 @@ def score(docs: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
                                               pa.array(n_tokens, pa.int64()), pa.array(model, pa.float64())],
                                              ["rid", "doc_id", "known", "base", "n_tokens", "model"])
 
-    def run_rare(batches):
-        size, wide = end + 2, np.append(cls, -1)
-        for b in batches:
-            c, around = b.column("cls").to_numpy(), b.column("around").to_numpy()
-            before, after = around // size, around % size
-            out = -spread[c]
-            for code, of in ((before, lambda x: step[x, c]), (after, lambda x: step[c, x])):
-                near = (code < words) | (code == end)
-                out += np.where(near, of(wide[np.where(near, code, end)]), 0.0)
-            out += np.where(after == end + 1, step[c, c], 0.0)
-            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("c"), pa.array(out)], ["rid", "c", "model"])
+    def summed(parts):
+        """(block, rid, more, rare, model): sums by text of (rid, more, rare, model) parts, as far as a task holds them, a row
+        per block of texts with 8 bytes a text in each column."""
+        waiting, pending = [], 0
 
+        def rows():
+            rid, *values = (np.concatenate(x) for x in zip(*waiting))
+            rid, *values = by_text(rid, values)
+            block = (rid + (rid >> 33)) % blocks                     # the rows of a part of the input are numbered from its number << 33
+            order = np.argsort(block, kind="stable")
+            starts = np.flatnonzero(np.diff(block[order], prepend=-1))
+            ends = pa.py_buffer((np.append(starts, len(order)) * 8).astype("<i4").tobytes())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[order[starts]], pa.int64()),
+                 *(pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, pa.py_buffer(x[order].tobytes())])
+                   for x in (rid, *values))], ["block", "rid", "more", "rare", "model"])
+        for part in parts:
+            waiting.append(part)
+            pending += len(part[0])
+            if pending > 500_000:
+                yield rows()
+                waiting, pending = [], 0
+        if pending:
+            yield rows()
+
+    def by_text(rid, values):
+        text, at = np.unique(rid, return_inverse=True)
+        return [text, *(np.bincount(at, x, len(text)) for x in values)]
+
+    def merged(table: pa.Table) -> pa.Table:
+        rid, *values = (np.frombuffer(b"".join(table.column(x).to_pylist()), kind)
+                        for x, kind in (("rid", "<i8"), ("more", "<f8"), ("rare", "<f8"), ("model", "<f8")))
+        rid, more, *values = by_text(rid, values)
+        return pa.table([rid, more.astype(np.int64), *values], names=["rid", "more", "rare", "model"])
+
+    def occurrences(rid, around, c, count) -> tuple:
+        size, wide = end + 2, np.append(cls, -1)
+        before, after = around // size, around % size
+        out = -spread[c]
+        for code, of in ((before, lambda x: step[x, c]), (after, lambda x: step[c, x])):
+            near = (code < words) | (code == end)
+            out += np.where(near, of(wide[np.where(near, code, end)]), 0.0)
+        out += np.where(after == end + 1, step[c, c], 0.0)
+        return rid, (count > 0).astype(float), np.log10(count + 0.5), out
+
+    def run_training(batches):
+        def parts():
+            for b in batches:
+                lens = b.column("rid").value_lengths().to_numpy()
+                yield occurrences(b.column("rid").flatten().to_numpy(), b.column("around").flatten().to_numpy(),
+                                  np.repeat(b.column("cls").to_numpy(), lens), np.repeat(lens, lens))
+        return summed(parts())
+
+    def run_held_out(batches):
+        return summed(occurrences(*(b.column(x).to_numpy() for x in ("rid", "around", "cls", "c"))) for b in batches)
+
+    def run_pairs(batches):
+        def parts():
+            for b in batches:
+                none = np.zeros(b.num_rows)
+                yield b.column("rid").to_numpy(), none, none, step[b.column("c").to_numpy(), b.column("d").to_numpy()]
+        return summed(parts())
+
+    # a training word's row has its occurrences; those in texts held out look up the word
+    blocks = max(BLOCKS, int(total) // 20_000_000)
+    sums = "block bigint, rid binary, more binary, rare binary, model binary"
     known = tail.select("word", "cls", F.size("around").cast("bigint").alias("c"))
-    of_rare = (rare.select("rid", "word", "around").join(known.hint("shuffle_hash"), "word", "left")
-               .select("rid", "around", F.coalesce("c", F.lit(0)).alias("c"),
-                       F.coalesce("cls", first_form + form_of(F.col("word"))).alias("cls"))
-               .mapInArrow(run_rare, "rid bigint, c bigint, model double"))
-    steps = F.broadcast(docs.sparkSession.createDataFrame(
-        pa.table({"c": np.repeat(np.arange(k, dtype=np.int32), k), "d": np.tile(np.arange(k, dtype=np.int32), k),
-                  "model": step.ravel()})))
-    of_pairs = pairs.join(steps, ["c", "d"]).select("rid", F.lit(None).cast("bigint").alias("c"), "model")
-    more = (of_rare.union(of_pairs).groupBy("rid")
-            .agg(F.count(F.when(F.col("c") > 0, 1)).alias("more"), F.sum(F.log10(F.col("c") + 0.5)).alias("rare"),
-                 F.sum("model").alias("rare_model")))
+    of_training = tail.select("rid", "around", "cls").mapInArrow(run_training, sums)
+    of_held_out = (rare.where("not train").select("rid", "word", "around").join(known.hint("shuffle_hash"), "word", "left")
+                   .select("rid", "around", F.coalesce("c", F.lit(0).cast("bigint")).alias("c"),
+                           F.coalesce("cls", first_form + form_of(F.col("word"))).alias("cls"))
+                   .mapInArrow(run_held_out, sums))
+    of_pairs = pairs.select("rid", "c", "d").mapInArrow(run_pairs, sums)
+    more = (of_training.union(of_held_out).union(of_pairs).groupBy("block")
+            .applyInArrow(merged, "rid bigint, more bigint, rare double, model double").withColumnRenamed("model", "rare_model"))
     per = (per_text.select("rid", "doc_id", "known", "base", "codes").mapInArrow(
         run_texts, "rid bigint, doc_id bigint, known bigint, base double, n_tokens bigint, model double")
         .join(more, "rid", "left"))
